@@ -14,9 +14,10 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailsift.operators.classes import MAX_CLASSES, class_doc_counts
+from mailsift.session import cut_lineage
 
 # The logarithm of the smallest positive double. Below it a probability is taken as 0.
 LOG_OF_ZERO = math.log(5e-324)
@@ -30,6 +31,14 @@ class BayesModel:
     counts: DataFrame
     classes: DataFrame
 
+    def save(self, path: str) -> None:
+        self.counts.write.mode("overwrite").parquet(f"{path}/counts")
+        self.classes.write.mode("overwrite").parquet(f"{path}/classes")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> BayesModel:
+        return cls(spark.read.parquet(f"{path}/counts"), spark.read.parquet(f"{path}/classes"))
+
 
 def train_counts(tokens: DataFrame) -> DataFrame:
     """(class_id, word, cnt)"""
@@ -53,8 +62,9 @@ def class_stats(counts: DataFrame, class_docs: DataFrame) -> DataFrame:
 
 def train(tokens: DataFrame) -> BayesModel:
     """Model of ``(doc_id, class_id, word)`` tokens. Documents without tokens do not count
-    towards the priors."""
-    counts = train_counts(tokens)
+    towards the priors. The counts are materialised: priors, totals, vocabulary and every later
+    scoring read them instead of the corpus."""
+    counts = cut_lineage(train_counts(tokens))
     return BayesModel(counts, class_stats(counts, class_doc_counts(tokens)))
 
 

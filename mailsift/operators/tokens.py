@@ -52,6 +52,14 @@ def clean_tokens(
     return tokens
 
 
+def clean_text(messages: DataFrame) -> DataFrame:
+    """The messages with ``text`` replaced by its clean tokens, one per line. Moves no row."""
+    words = F.filter(
+        T.letter_tokens(T.without_headers(F.col("text"))), lambda w: ~w.isin(*T.ENGLISH_STOP_WORDS)
+    )
+    return messages.withColumn("text", F.concat_ws("\n", words))
+
+
 def split_tokens(messages: DataFrame, splitter) -> DataFrame:
     """(…, pos, word) with one of the splitting functions of :mod:`mailsift.functions.text`."""
     carried = [c for c in messages.columns if c != "text"]
