@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailsift.operators.classes import MAX_CLASSES, class_doc_counts
+from mailsift.operators.words import bounded, with_word_values
 from mailsift.session import cut_lineage
 
 # The logarithm of the smallest positive double. Below it a probability is taken as 0.
@@ -71,10 +72,7 @@ def train(tokens: DataFrame) -> BayesModel:
 def _class_array(classes: DataFrame) -> Column:
     """All class rows as one array, a scalar of the plan; fails beyond ``MAX_CLASSES``."""
     rows = F.collect_list(F.struct("class_id", "log_prior", "log_total"))
-    checked = F.when(F.count("*") <= MAX_CLASSES, rows).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_CLASSES} classes"))
-    )
-    return classes.agg(checked.alias("rows")).scalar()
+    return bounded(classes, MAX_CLASSES, "classes").agg(rows.alias("rows")).scalar()
 
 
 def log_scores(tf: DataFrame, model: BayesModel, prior: str = "documents") -> DataFrame:
@@ -88,9 +86,13 @@ def log_scores(tf: DataFrame, model: BayesModel, prior: str = "documents") -> Da
     base = lengths.select("doc_id", "_len", F.inline(_class_array(model.classes))).select(
         "doc_id", "class_id", (start - F.col("_len") * F.col("log_total")).alias("_part")
     )
+    per_word = model.counts.groupBy("word").agg(
+        F.collect_list(F.struct("class_id", F.log1p("cnt").alias("_log"))).alias("_seen"),
+        F.sum("cnt").alias("_total"),
+    )
     seen = (
-        tf.select("doc_id", "word", "cnt")
-        .join(model.counts.select("class_id", "word", F.log1p("cnt").alias("_log")), "word")
+        with_word_values(tf.select("doc_id", "word", "cnt"), per_word, "_total")
+        .select("doc_id", "cnt", F.inline("_seen"))
         .select("doc_id", "class_id", (F.col("cnt") * F.col("_log")).alias("_part"))
     )
     return base.unionByName(seen).groupBy("doc_id", "class_id").agg(F.sum("_part").alias("score"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 # A classification task has a small, fixed set of classes. Tables with one row per class are
 # broadcast; this bound is checked at run time before that happens.
-MAX_CLASSES = 10_000
+MAX_CLASSES = 1_000
 
 
 def class_map(messages: DataFrame) -> DataFrame:

@@ -10,24 +10,22 @@ from mailsift.session import cut_lineage
 _ROW_BITS = 33
 
 
-def number_in_order(values: DataFrame, column: str, number: str) -> DataFrame:
-    """Number the distinct values of ``column`` 1..n in byte order without a global sort task.
+def number_in_order(rows: DataFrame, column: str, number: str) -> DataFrame:
+    """Number the rows 1..n in the byte order of ``column`` without a global sort task. The
+    values of ``column`` are distinct; other columns are carried along.
 
-    The values are range partitioned and sorted inside their partitions, so a row's number is its
+    The rows are range partitioned and sorted inside their partitions, so a row's number is its
     place in its own partition plus the sizes of the partitions before it. Only those sizes, one
-    row per partition, meet in one place. The sorted values are materialised first, since both
+    row per partition, meet in one place. The sorted rows are materialised first, since both
     passes must see the same range boundaries.
     """
     ordered = cut_lineage(
-        values.select(column)
-        .filter(F.col(column).isNotNull())
-        .distinct()
-        .repartitionByRange(column)
+        rows.repartitionByRange(column)
         .sortWithinPartitions(column)
         .withColumn("_at", F.monotonically_increasing_id())
     )
     placed = ordered.select(
-        column,
+        *rows.columns,
         F.shiftright("_at", _ROW_BITS).alias("_part"),
         F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1).alias("_row"),
     )
@@ -38,10 +36,10 @@ def number_in_order(values: DataFrame, column: str, number: str) -> DataFrame:
         .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
     return placed.join(F.broadcast(offsets), "_part").select(
-        column, (F.col("_before") + F.col("_row") + 1).cast("int").alias(number)
+        *rows.columns, (F.col("_before") + F.col("_row") + 1).cast("int").alias(number)
     )
 
 
 def feature_dictionary(tokens: DataFrame) -> DataFrame:
     """(word, feature_id)"""
-    return number_in_order(tokens, "word", "feature_id")
+    return number_in_order(tokens.select("word").distinct(), "word", "feature_id")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from mailsift.operators.words import with_word_values
+
 
 def corpus_size(messages: DataFrame) -> Column:
     """The number of messages, empty ones included, as a scalar of the same plan."""
@@ -32,13 +34,10 @@ def inverse_document_frequency(df: DataFrame, n_docs: Column) -> DataFrame:
 
 
 def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    """``tf`` rows with ``weight = tf * idf``; words without an idf are dropped.
-
-    A word that is in most documents makes its join key hot on the ``tf`` side. There is one idf
-    row per word, so adaptive skew-join splitting divides that key over many tasks at no cost.
-    """
+    """``tf`` rows with ``weight = tf * idf``; words without an idf are dropped."""
     carried = [c for c in tf.columns if c not in ("word", "cnt", "doc_len", "tf")]
-    return tf.join(idf, "word").select(*carried, "word", (F.col("tf") * F.col("idf")).alias("weight"))
+    weight = (F.col("tf") * F.col("idf")).alias("weight")
+    return with_word_values(tf, idf, "df").select(*carried, "word", weight)
 
 
 def tfidf_of(messages: DataFrame, tokens: DataFrame, *carried: str) -> DataFrame:

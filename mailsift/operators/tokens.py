@@ -8,8 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from mailsift.functions import text as T
+from mailsift.operators.words import bounded
 from mailsift.session import shuffle_width
 
+# A stop list goes to every task; the run fails on a longer one.
+MAX_STOP_WORDS = 1_000_000
+
 
 def by_document(messages: DataFrame) -> DataFrame:
     """Spread messages over the cluster by ``doc_id`` while they are still compact text.
@@ -48,7 +52,8 @@ def clean_tokens(
         tokens = tokens.filter(~F.col("word").isin(*T.ENGLISH_STOP_WORDS))
     if stop_words is not None:
         listed = stop_words.select(T.lower_letters(F.col("word")).alias("word")).distinct()
-        tokens = tokens.join(listed, "word", "left_anti").select(*carried, "pos", "word")
+        small = F.broadcast(bounded(listed, MAX_STOP_WORDS, "stop words"))
+        tokens = tokens.join(small, "word", "left_anti").select(*carried, "pos", "word")
     return tokens
 
 

@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from mailsift.operators.dictionary import feature_dictionary
+from mailsift.operators.dictionary import number_in_order
 from mailsift.operators.tfidf import (
     corpus_size,
     document_frequency,
@@ -17,6 +17,7 @@ from mailsift.operators.tfidf import (
 )
 from mailsift.operators.tokens import by_document, clean_tokens
 from mailsift.operators.vectors import sparse_vectors
+from mailsift.operators.words import with_word_values
 from mailsift.session import cut_lineage
 
 
@@ -35,17 +36,12 @@ def corpus_tfidf(messages: DataFrame) -> DataFrame:
     return tfidf_of(messages, tokens_of(messages), "class_id")
 
 
-def corpus_vectors(messages: DataFrame) -> DataFrame:
-    """(doc_id, class_id, features) over the corpus's own dictionary."""
-    return sparse_vectors(corpus_tfidf(messages), feature_dictionary(tokens_of(messages)))
-
-
 def lexicon(messages: DataFrame) -> DataFrame:
     """(word, df, idf, feature_id): dictionary and document frequencies of a training corpus in
-    one materialised table, so that vectors need a single join on the word."""
+    one table, so that vectors need a single join on the word."""
     df = document_frequency(term_frequency(tokens_of(messages)))
-    idf = cut_lineage(inverse_document_frequency(df, corpus_size(messages)))
-    return idf.join(feature_dictionary(idf), "word")
+    idf = inverse_document_frequency(df, corpus_size(messages))
+    return number_in_order(idf, "word", "feature_id")
 
 
 def applied_vectors(messages: DataFrame, lexicon: DataFrame, idf_from: str = "train") -> DataFrame:
@@ -55,7 +51,7 @@ def applied_vectors(messages: DataFrame, lexicon: DataFrame, idf_from: str = "tr
     """
     tf = term_frequency(tokens_of(messages), "class_id")
     if idf_from == "train":
-        known = tf.join(lexicon, "word")
+        known = with_word_values(tf, lexicon, "df")
         weight = (F.col("tf") * F.col("idf")).alias("weight")
         features = F.array_sort(F.collect_list(F.struct("feature_id", weight)))
         return known.groupBy("doc_id", "class_id").agg(features.alias("features"))
@@ -63,6 +59,11 @@ def applied_vectors(messages: DataFrame, lexicon: DataFrame, idf_from: str = "tr
     return sparse_vectors(tfidf(tf, idf), lexicon.select("word", "feature_id"))
 
 
+def corpus_vectors(messages: DataFrame) -> DataFrame:
+    """(doc_id, class_id, features) over the corpus's own dictionary."""
+    return applied_vectors(messages, lexicon(messages))
+
+
 def train_and_test_vectors(train: DataFrame, test: DataFrame) -> Vectors:
     """Materialised vectors of both corpora over the dictionary and idf of the training corpus."""
     words = cut_lineage(lexicon(train))

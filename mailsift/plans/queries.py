@@ -408,28 +408,6 @@ def ovr_score(spark, sf_dir):
     return scored.select("doc_id", F.round("margin", 6).alias("margin"), "prediction")
 
 
-def _ml_vectors(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    split = corpora.documents_and_pages(spark, sf_dir)
-    vectors = V.train_and_test_vectors(split.train, split.test)
-    size = vectors.dictionary.agg(F.max("feature_id").alias("n")).scalar()
-
-    def prepared(rows: DataFrame) -> DataFrame:
-        return ml.labelled(rows).select(
-            "doc_id", "class_id", "label", as_ml_vector(F.col("features"), size).alias("features")
-        )
-
-    return cut_lineage(prepared(vectors.train)), cut_lineage(prepared(vectors.test))
-
-
-@query
-def svm_ovr(spark, sf_dir):
-    train, test = _ml_vectors(spark, sf_dir)
-    model = ml.one_vs_rest_svm().fit(train)
-    return ml.predict_one_vs_rest(model, test).select(
-        "doc_id", F.col("class_id").alias("label"), "prediction"
-    )
-
-
 # --- Spark ML estimators ----------------------------------------------------------------------------
 
 
@@ -450,6 +428,16 @@ def hashing_tfidf_nb(spark, sf_dir):
     return _predictions(ml.naive_bayes().fit(train).transform(test))
 
 
+@query
+def svm_ovr(spark, sf_dir):
+    """One linear SVM per language on the hashed weights; predictions are class ids, 0 for none."""
+    train, test = _hashed(spark, sf_dir)
+    model = ml.one_vs_rest_svm().fit(cut_lineage(train.select("label", "features")))
+    return ml.predict_one_vs_rest(model, test).select(
+        "doc_id", F.col("class_id").alias("label"), "prediction"
+    )
+
+
 @query
 def hashed_totals(spark, sf_dir):
     """The hashed counts of a message add up to its token count."""
@@ -588,8 +576,10 @@ def lenient_sparse_read(spark, sf_dir):
 def libsvm_round_trip(spark, sf_dir):
     """Rows, non-zero weights and their sum per label of vectors kept in libsvm form."""
     path = scratch_path(spark, "libsvm")
-    vectors = V.corpus_vectors(_by_lang(spark, sf_dir))
-    size = feature_dictionary(V.tokens_of(_by_lang(spark, sf_dir))).agg(F.max("feature_id").alias("n")).scalar()
+    messages = _by_lang(spark, sf_dir)
+    words = V.lexicon(messages)
+    vectors = V.applied_vectors(messages, words)
+    size = words.agg(F.max("feature_id").alias("n")).scalar()
     sparse.write_libsvm(
         vectors.select(F.col("class_id").cast("double").alias("label"), as_ml_vector(F.col("features"), size).alias("features")),
         path,
