@@ -14,10 +14,16 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from mailsift.operators.classes import MAX_CLASSES, class_doc_counts
-from mailsift.operators.words import bounded, with_word_values
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+
+from mailsift.operators.classes import (
+    class_doc_counts,
+    class_rows,
+    class_sums,
+    class_values,
+    per_class,
+)
+from mailsift.operators.words import with_word_values
 from mailsift.session import cut_lineage
 
 # The logarithm of the smallest positive double. Below it a probability is taken as 0.
@@ -48,10 +54,10 @@ def train_counts(tokens: DataFrame) -> DataFrame:
 
 def class_stats(counts: DataFrame, class_docs: DataFrame) -> DataFrame:
     """(class_id, n_docs, n_tokens, vocabulary, log_prior, log_total)"""
-    per_class = counts.groupBy("class_id").agg(F.sum("cnt").alias("n_tokens"))
+    tokens_per_class = counts.groupBy("class_id").agg(F.sum("cnt").alias("n_tokens"))
     vocabulary = counts.agg(F.count_distinct("word").alias("v")).scalar()
     n_docs = class_docs.agg(F.sum("n_docs").alias("n")).scalar()
-    return per_class.join(class_docs, "class_id").select(
+    return tokens_per_class.join(class_docs, "class_id").select(
         "class_id",
         "n_docs",
         "n_tokens",
@@ -69,33 +75,29 @@ def train(tokens: DataFrame) -> BayesModel:
     return BayesModel(counts, class_stats(counts, class_doc_counts(tokens)))
 
 
-def _class_array(classes: DataFrame) -> Column:
-    """All class rows as one array, a scalar of the plan; fails beyond ``MAX_CLASSES``."""
-    rows = F.collect_list(F.struct("class_id", "log_prior", "log_total"))
-    return bounded(classes, MAX_CLASSES, "classes").agg(rows.alias("rows")).scalar()
-
-
 def log_scores(tf: DataFrame, model: BayesModel, prior: str = "documents") -> DataFrame:
     """(doc_id, class_id, score) for every document with tokens and every class.
 
     ``tf`` has (doc_id, word, cnt). ``prior="documents"`` adds ``ln(n_docs_c / n_docs)``,
     ``prior="uniform"`` adds nothing. Words outside the vocabulary count with ``1/(tokens_c + V)``.
+
+    The model travels as one row per word with an array over the classes, so a document is a
+    single group with one running sum per class.
     """
-    lengths = tf.groupBy("doc_id").agg(F.sum("cnt").alias("_len"))
-    start = F.col("log_prior") if prior == "documents" else F.lit(0.0)
-    base = lengths.select("doc_id", "_len", F.inline(_class_array(model.classes))).select(
-        "doc_id", "class_id", (start - F.col("_len") * F.col("log_total")).alias("_part")
+    classes = class_rows(model.classes)
+    per_word = class_values(
+        model.counts, "word", classes, F.log1p("cnt"), F.sum("cnt").alias("_total")
     )
-    per_word = model.counts.groupBy("word").agg(
-        F.collect_list(F.struct("class_id", F.log1p("cnt").alias("_log"))).alias("_seen"),
-        F.sum("cnt").alias("_total"),
+    known = with_word_values(
+        tf.select("doc_id", "word", "cnt"), per_word, "_total", keep_unknown=True
     )
-    seen = (
-        with_word_values(tf.select("doc_id", "word", "cnt"), per_word, "_total")
-        .select("doc_id", "cnt", F.inline("_seen"))
-        .select("doc_id", "class_id", (F.col("cnt") * F.col("_log")).alias("_part"))
-    )
-    return base.unionByName(seen).groupBy("doc_id", "class_id").agg(F.sum("_part").alias("score"))
+    sums = class_sums(known, classes, "cnt", F.sum("cnt").alias("_len"))
+
+    def score(c: Row, seen: Column) -> Column:
+        start = c.log_prior if prior == "documents" else 0.0
+        return F.lit(start) - F.col("_len") * F.lit(c.log_total) + seen
+
+    return per_class(sums, classes, score, "score")
 
 
 def linear_scores(scores: DataFrame) -> DataFrame:
@@ -142,11 +144,11 @@ def log_odds(counts: DataFrame) -> DataFrame:
     """(class_id, word, weight): how much likelier a word is in a class than in the corpus, for
     the (class, word) pairs seen in training. A linear one-vs-rest weight table."""
     per_word = counts.groupBy("word").agg(F.sum("cnt").alias("_all"))
-    per_class = counts.groupBy("class_id").agg(F.sum("cnt").alias("_tokens"))
+    tokens_per_class = counts.groupBy("class_id").agg(F.sum("cnt").alias("_tokens"))
     corpus = counts.agg(F.sum("cnt").alias("n")).scalar()
     return (
         counts.join(per_word, "word")
-        .join(per_class, "class_id")
+        .join(tokens_per_class, "class_id")
         .select(
             "class_id",
             "word",

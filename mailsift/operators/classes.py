@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 # A classification task has a small, fixed set of classes. Tables with one row per class are
-# broadcast; this bound is checked at run time before that happens.
+# broadcast or turned into columns; this bound is checked before that happens.
 MAX_CLASSES = 1_000
 
 
@@ -34,3 +36,46 @@ def class_doc_counts(tokens: DataFrame) -> DataFrame:
     """(class_id, n_docs): documents that have at least one token, per class."""
     documents = tokens.select("class_id", "doc_id").distinct()
     return documents.groupBy("class_id").agg(F.count("*").alias("n_docs"))
+
+
+def class_rows(classes: DataFrame) -> list[Row]:
+    """The rows of a table with one row per class, by ``class_id``: the part of a model that is a
+    handful of constants. At most ``MAX_CLASSES + 1`` rows are fetched, and that many is an error."""
+    rows = classes.orderBy("class_id").limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return rows
+
+
+def class_values(
+    table: DataFrame, on: str, classes: list[Row], value: Column, *extra: Column
+) -> DataFrame:
+    """(<on>, extra…, by_class): ``value`` of the (class_id, <on>) rows side by side in one array,
+    in the order of ``classes``, 0 where a class has no row."""
+    values = [
+        F.coalesce(F.sum(F.when(F.col("class_id") == c.class_id, value)), F.lit(0.0))
+        for c in classes
+    ]
+    return table.groupBy(on).agg(*extra, F.array(*values).alias("by_class"))
+
+
+def class_sums(rows: DataFrame, classes: list[Row], weight: str, *extra: Column) -> DataFrame:
+    """(doc_id, extra…, by_class): per document the sums of ``weight`` times the values of each
+    class. A null array adds nothing."""
+    products = [
+        F.coalesce(F.sum(F.col(weight) * F.get("by_class", i)), F.lit(0.0))
+        for i in range(len(classes))
+    ]
+    return rows.groupBy("doc_id").agg(*extra, F.array(*products).alias("by_class"))
+
+
+def per_class(
+    sums: DataFrame, classes: list[Row], value: Callable[[Row, Column], Column], name: str
+) -> DataFrame:
+    """(doc_id, class_id, <name>): one row per document and class from one row per document;
+    ``value`` gets the class and its sum."""
+    rows = [
+        F.struct(F.lit(c.class_id).alias("class_id"), value(c, F.get("by_class", i)).alias(name))
+        for i, c in enumerate(classes)
+    ]
+    return sums.select("doc_id", F.inline(F.array(*rows)))

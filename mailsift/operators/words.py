@@ -47,15 +47,22 @@ def _looked_up(rows: DataFrame, table: DataFrame, frequency: str | None, on: str
 
 
 def with_word_values(
-    rows: DataFrame, table: DataFrame, frequency: str | None = None, on: str = "word"
+    rows: DataFrame,
+    table: DataFrame,
+    frequency: str | None = None,
+    on: str = "word",
+    keep_unknown: bool = False,
 ) -> DataFrame:
-    """Inner join of (doc_id, <on>, …) rows with a table that has one row per word.
+    """Join of (doc_id, <on>, …) rows with a table that has one row per word. Rows whose word is
+    not in the table are dropped, or kept with nulls.
 
     ``frequency`` names the column of ``table`` that says how often the word occurs; without it
     the rows are counted first. It decides only how rows travel, never which are found. Words are
     runs of letters or numbers; none starts with ``#``.
     """
-    found = _looked_up(rows, table, frequency, on).filter(F.col("_found").isNotNull())
+    found = _looked_up(rows, table, frequency, on)
+    if not keep_unknown:
+        found = found.filter(F.col("_found").isNotNull())
     return found.select(*rows.columns, "_found.*")
 
 
