@@ -14,7 +14,11 @@ def read_lines(spark: SparkSession, *paths: str, recursive: bool = False) -> Dat
 
 
 def read_files(spark: SparkSession, *paths: str, recursive: bool = True) -> DataFrame:
-    """(path, text): one row per whole file below the paths."""
+    """(path, text): one row per whole file below the paths.
+
+    Spark's file sources list no files of length 0. Empty messages count towards the size of a
+    corpus, so a corpus that has any is better kept as a table.
+    """
     reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
     return reader.text(list(paths), wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
@@ -42,7 +46,9 @@ def read_clean_tokens(spark: SparkSession, *paths: str, class_at_end: bool = Fal
     class_id = P.class_at_end_of(name) if class_at_end else P.class_of(name)
     words = F.explode(F.filter(F.split("value", "[ \t\n\r\f]+"), lambda w: w != ""))
     return read_lines(spark, *paths, recursive=True).select(
-        P.document_of(name).alias("doc_id"), F.try_to_number(class_id, F.lit("9999999999")).cast("int").alias("class_id"), words.alias("word")
+        P.document_of(name).alias("doc_id"),
+        class_id.try_cast("int").alias("class_id"),
+        words.alias("word"),
     )
 
 
