@@ -38,7 +38,12 @@ MAX_TOKEN_LETTERS = 255
 
 def lines(text: Column) -> Column:
     """The lines of a text, without an empty one after a final line end."""
-    body = F.regexp_replace(text, f"(?:{LINE_END})\\z", "")
+    ends_in = reduce(lambda a, b: a | b, [text.endswith(end) for end in "\n\r\u2028\u2029\u0085"])
+    body = (
+        F.when(text.endswith("\r\n"), F.left(text, F.length(text) - 2))
+        .when(ends_in, F.left(text, F.length(text) - 1))
+        .otherwise(text)
+    )
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_END))
 
 
@@ -82,9 +87,9 @@ def split_keeping_inner(text: Column, delimiter: str) -> Column:
 
     The empty text is one empty piece, a text of delimiters only has none.
     """
-    only = F.regexp_replace(text, f"{delimiter}+\\z", "")
-    return F.when((text != "") & (only == ""), F.array().cast("array<string>")).otherwise(
-        F.split(only, delimiter)
+    body = F.rtrim(text, F.lit(delimiter))
+    return F.when((text != "") & (body == ""), F.array().cast("array<string>")).otherwise(
+        F.split(body, delimiter)
     )
 
 

@@ -27,7 +27,9 @@ def class_map(messages: DataFrame) -> DataFrame:
 
 
 def with_class_id(messages: DataFrame, classes: DataFrame) -> DataFrame:
-    """Replace ``class_name`` by ``class_id``; null where the class is not in the map."""
+    """Replace ``class_name`` by ``class_id``; null where the class is not in the map. The maps of
+    :func:`class_map` and ``read_class_map`` are checked for their size, so they can go to every
+    task."""
     carried = [c for c in messages.columns if c != "class_name"]
     return messages.join(F.broadcast(classes), "class_name", "left").select("class_id", *carried)
 

@@ -191,6 +191,8 @@ _TRAIN_COUNTS = f"""with {_SOURCE_TOKENS}
 select class_id, word, count(*) as cnt from tok join classes using (class_name) group by class_id, word"""
 _TFIDF_ROWS = f"with {_TFIDF} select doc_id, class_id, word, round(weight, 9) as weight from tfidf"
 _CLASS_MAP = f"with {_SOURCE}, {_classes('by_source')} select class_id, class_name from classes"
+_CLASS_SIZES = f"""with {_SOURCE_TOKENS}
+select class_id, count(distinct doc_id) as n_docs from tok join classes using (class_name) group by class_id"""
 _SPACE_WORDS = f"""with lines as (select unnest({_LINES}) as line from documents),
 trimmed as (select line, regexp_replace(line, ' +$', '') as body from lines),
 words as (
@@ -240,8 +242,7 @@ from named""",
     "class_lookup": f"""with {_LANG}, {_PAGES}, {_classes('by_lang')}
 select doc_id, class_id, doc_id || '-' || coalesce(class_id::varchar, 'null') as name
 from page_messages left join classes using (class_name)""",
-    "class_doc_counts": f"""with {_SOURCE_TOKENS}
-select class_id, count(distinct doc_id) as n_docs from tok join classes using (class_name) group by class_id""",
+    "class_doc_counts": _CLASS_SIZES,
     "feature_dictionary": _DICTIONARY_ROWS,
     "term_frequency": f"""with {_LANG}, {_tokens('tok', 'by_lang')}, {_tf('tok')}
 select doc_id, word, cnt, doc_len, round(tf, 9) as tf from tf""",
@@ -315,6 +316,7 @@ select doc_id, (class_id - 1)::double as label, 100 as size from page_messages l
 select lang, count(*) as n_lines, sum(length(line))::bigint as n_chars from lines group by lang""",
     "clean_token_round_trip": _CLEAN_TOKENS,
     "class_map_round_trip": _CLASS_MAP,
+    "class_sizes_round_trip": _CLASS_SIZES,
     "table_round_trip": _DICTIONARY_ROWS,
     "tfidf_round_trip": _TFIDF_ROWS,
     "bayes_counts_round_trip": _TRAIN_COUNTS,

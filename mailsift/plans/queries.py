@@ -23,7 +23,7 @@ from mailsift.operators.tfidf import (
 )
 from mailsift.operators.vectors import unmatched_features as unmatched
 from mailsift.plans import corpora, features as V
-from mailsift.session import cut_lineage, scratch_path
+from mailsift.session import cut_lineage, scratch_path, spread
 from mailsift.sources import sparse, tables, text as text_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,7 +110,7 @@ def newline_tokens(spark, sf_dir):
 
 @query
 def word_count(spark, sf_dir):
-    documents = corpora.table(spark, sf_dir, "documents")
+    documents = spread(corpora.table(spark, sf_dir, "documents").select("text"))
     return K.word_count(documents.select(F.explode(T.lines(F.col("text"))).alias("value")))
 
 
@@ -530,6 +530,13 @@ def class_map_round_trip(spark, sf_dir):
     return tables.read_class_map(spark, path)
 
 
+@query
+def class_sizes_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "class-sizes")
+    tables.write_class_sizes(class_doc_counts(spark, sf_dir), path)
+    return tables.read_class_sizes(spark, path)
+
+
 @query
 def table_round_trip(spark, sf_dir):
     """The dictionary as tab-separated text."""

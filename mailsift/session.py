@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 def build_session(app_name: str = "mailsift", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every operator here assumes.
 
-    AQE (partition coalescing, skew-join splitting) and UTC. Anything in ``conf`` is added on top,
-    with ``__`` standing for a dot.
+    AQE (partition coalescing, skew-join splitting), checkpoints removed with the DataFrames that
+    read them, and UTC. Anything in ``conf`` is added on top, with ``__`` standing for a dot.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:
@@ -32,6 +33,15 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan that arrives in fewer partitions than there are cores, spread over all of them.
+
+    For CPU-bound work on a few compact files; a scan of many files is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
