@@ -412,10 +412,15 @@ def ovr_score(spark, sf_dir):
 
 
 def _hashed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Hashed TF-IDF of both corpora; the training features are materialised for the solvers."""
     split = corpora.documents_and_pages(spark, sf_dir)
-    train, test = (cut_lineage(ml.labelled(K.clean_text(s))) for s in (split.train, split.test))
+    train, test = (
+        ml.labelled(K.clean_text(K.by_document(s))) for s in (split.train, split.test)
+    )
     pipeline = ml.hashing_tfidf().fit(train)
-    return pipeline.transform(train), pipeline.transform(test)
+    hashed = pipeline.transform(train).select("doc_id", "label", "features")
+    # Solvers pass over the rows many times: few partitions of the advisory size, not one per core.
+    return cut_lineage(hashed.hint("rebalance")), pipeline.transform(test)
 
 
 def _predictions(rows: DataFrame) -> DataFrame:
@@ -432,7 +437,7 @@ def hashing_tfidf_nb(spark, sf_dir):
 def svm_ovr(spark, sf_dir):
     """One linear SVM per language on the hashed weights; predictions are class ids, 0 for none."""
     train, test = _hashed(spark, sf_dir)
-    model = ml.one_vs_rest_svm().fit(cut_lineage(train.select("label", "features")))
+    model = ml.one_vs_rest_svm().fit(train)
     return ml.predict_one_vs_rest(model, test).select(
         "doc_id", F.col("class_id").alias("label"), "prediction"
     )
@@ -447,7 +452,7 @@ def hashed_totals(spark, sf_dir):
 
 
 def _words(messages: DataFrame) -> DataFrame:
-    return ml.labelled(K.clean_text(messages)).select(
+    return ml.labelled(K.clean_text(K.by_document(messages))).select(
         "doc_id", "label", T.newline_tokens(F.col("text")).alias("words")
     )
 
@@ -478,7 +483,7 @@ def w2v_naive_bayes(spark, sf_dir):
 @query
 def random_forest(spark, sf_dir):
     train, test = _hashed(spark, sf_dir)
-    return _predictions(ml.random_forest().fit(cut_lineage(train)).transform(test))
+    return _predictions(ml.random_forest().fit(train).transform(test))
 
 
 @query
