@@ -10,7 +10,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mailsift.operators.linear import MARGIN_FLOOR, NO_CLASS
-from mailsift.session import shuffle_width
 
 SEED = 42
 
@@ -37,11 +36,11 @@ def naive_bayes(model_type: str = "multinomial") -> NaiveBayes:
 
 
 def word2vec(rows: DataFrame, size: int = 100, min_count: int = 0) -> Word2Vec:
-    """Document vectors of ``words``. Training is spread over as many tasks as a shuffle."""
+    """Document vectors of ``words``. Training is spread over all cores."""
     return Word2Vec(
         vectorSize=size,
         minCount=min_count,
-        numPartitions=shuffle_width(rows.sparkSession),
+        numPartitions=rows.sparkSession.sparkContext.defaultParallelism,
         seed=SEED,
         inputCol="words",
         outputCol="features",
