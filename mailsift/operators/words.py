@@ -30,19 +30,21 @@ def _looked_up(rows: DataFrame, table: DataFrame, frequency: str | None, on: str
     else:
         keyed_table = table.select(on, values, F.col(frequency).alias("_n"))
     most = keyed_table.orderBy(F.desc_nulls_last("_n"), on).limit(HOT_WORDS)
-    hot = most.select(on, F.col("_values").alias("_hot"))
-    marked = rows.join(F.broadcast(hot), on, "left")
-    # Rows that have their values get a key no word can have, so that they spread evenly.
+    # Rows with a hot word travel under a key no word can have, so that they spread evenly, and get
+    # their values only after the shuffle, so that these need not travel.
+    marked = rows.join(F.broadcast(most.select(on, F.lit(True).alias("_is_hot"))), on, "left")
     spread = F.concat(F.lit("#"), F.pmod(F.xxhash64("doc_id"), F.lit(_SPREAD)).cast("string"))
-    key = F.when(F.col("_hot").isNull(), F.col(on).cast("string")).otherwise(spread)
+    key = F.when(F.col("_is_hot").isNull(), F.col(on).cast("string")).otherwise(spread)
+    hot = most.select(on, F.col("_values").alias("_hot"))
     others = keyed_table.select(
         F.col(on).cast("string").alias("_key"), F.col("_values").alias("_other")
     )
     return (
         marked.withColumn("_key", key)
         .join(others, "_key", "left")
+        .join(F.broadcast(hot), on, "left")
         .withColumn("_found", F.coalesce("_hot", "_other"))
-        .drop("_key", "_hot", "_other")
+        .drop("_key", "_is_hot", "_hot", "_other")
     )
 
 
