@@ -85,12 +85,8 @@ def log_scores(tf: DataFrame, model: BayesModel, prior: str = "documents") -> Da
     single group with one running sum per class.
     """
     classes = class_rows(model.classes)
-    per_word = class_values(
-        model.counts, "word", classes, F.log1p("cnt"), F.sum("cnt").alias("_total")
-    )
-    known = with_word_values(
-        tf.select("doc_id", "word", "cnt"), per_word, "_total", keep_unknown=True
-    )
+    per_word = class_values(model.counts, "word", classes, F.log1p("cnt"))
+    known = with_word_values(tf.select("doc_id", "word", "cnt"), per_word, keep_unknown=True)
     sums = class_sums(known, classes, "cnt", F.sum("cnt").alias("_len"))
 
     def score(c: Row, seen: Column) -> Column:

@@ -49,16 +49,14 @@ def class_rows(classes: DataFrame) -> list[Row]:
     return rows
 
 
-def class_values(
-    table: DataFrame, on: str, classes: list[Row], value: Column, *extra: Column
-) -> DataFrame:
-    """(<on>, extra…, by_class): ``value`` of the (class_id, <on>) rows side by side in one array,
+def class_values(table: DataFrame, on: str, classes: list[Row], value: Column) -> DataFrame:
+    """(<on>, by_class): ``value`` of the (class_id, <on>) rows side by side in one array,
     in the order of ``classes``, 0 where a class has no row."""
     values = [
         F.coalesce(F.sum(F.when(F.col("class_id") == c.class_id, value)), F.lit(0.0))
         for c in classes
     ]
-    return table.groupBy(on).agg(*extra, F.array(*values).alias("by_class"))
+    return table.groupBy(on).agg(F.array(*values).alias("by_class"))
 
 
 def class_sums(rows: DataFrame, classes: list[Row], weight: str, *extra: Column) -> DataFrame:

@@ -33,15 +33,16 @@ def inverse_document_frequency(df: DataFrame, n_docs: Column) -> DataFrame:
     return df.select("word", "df", F.log10((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
 
 
-def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    """``tf`` rows with ``weight = tf * idf``; words without an idf are dropped."""
+def tfidf(tf: DataFrame, idf: DataFrame, frequency: str | None = None) -> DataFrame:
+    """``tf`` rows with ``weight = tf * idf``; words without an idf are dropped. ``frequency="df"``
+    states that ``idf`` was made from these ``tf`` rows (see ``with_word_values``)."""
     carried = [c for c in tf.columns if c not in ("word", "cnt", "doc_len", "tf")]
     weight = (F.col("tf") * F.col("idf")).alias("weight")
-    return with_word_values(tf, idf, "df").select(*carried, "word", weight)
+    return with_word_values(tf, idf, frequency).select(*carried, "word", weight)
 
 
 def tfidf_of(messages: DataFrame, tokens: DataFrame, *carried: str) -> DataFrame:
     """TF-IDF of a corpus against itself."""
     tf = term_frequency(tokens, *carried)
     idf = inverse_document_frequency(document_frequency(tf), corpus_size(messages))
-    return tfidf(tf, idf)
+    return tfidf(tf, idf, "df")

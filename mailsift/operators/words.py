@@ -1,9 +1,9 @@
 """Joins on words.
 
-Words follow a power law: one word may be in a third of all rows or more. The most frequent
-``HOT_WORDS`` of a table are therefore handed to every task, and only the other words meet in a
-shuffle. The (HOT_WORDS + 1)-th most frequent word cannot hold more than one row in HOT_WORDS, so no
-key of that shuffle is hot, whatever the data. The broadcast is bounded by HOT_WORDS rows.
+Words follow a power law: one word may be in a third of all rows or more. The ``HOT_WORDS`` most
+frequent words of the rows therefore get their values from a broadcast, and only the other words meet
+in a shuffle. The (HOT_WORDS + 1)-th most frequent word cannot hold more than one row in HOT_WORDS, so
+no key of that shuffle is hot, whatever the data. The broadcast is bounded by HOT_WORDS rows.
 """
 
 from __future__ import annotations
@@ -25,20 +25,19 @@ def _looked_up(rows: DataFrame, table: DataFrame, frequency: str | None, on: str
     """``rows`` with the columns of ``table`` for their word as a struct ``_found``, or null."""
     values = F.struct(*[c for c in table.columns if c != on]).alias("_values")
     if frequency is None:
+        # A word may be frequent in the rows and yet be missing in the table.
         seen = rows.groupBy(on).agg(F.count("*").alias("_n"))
-        keyed_table = table.select(on, values).join(seen, on, "left")
+        counted = table.select(on, values).join(seen, on, "full")
     else:
-        keyed_table = table.select(on, values, F.col(frequency).alias("_n"))
-    most = keyed_table.orderBy(F.desc_nulls_last("_n"), on).limit(HOT_WORDS)
+        counted = table.select(on, values, F.col(frequency).alias("_n"))
+    most = counted.orderBy(F.desc_nulls_last("_n"), on).limit(HOT_WORDS)
     # Rows with a hot word travel under a key no word can have, so that they spread evenly, and get
     # their values only after the shuffle, so that these need not travel.
     marked = rows.join(F.broadcast(most.select(on, F.lit(True).alias("_is_hot"))), on, "left")
     spread = F.concat(F.lit("#"), F.pmod(F.xxhash64("doc_id"), F.lit(_SPREAD)).cast("string"))
     key = F.when(F.col("_is_hot").isNull(), F.col(on).cast("string")).otherwise(spread)
     hot = most.select(on, F.col("_values").alias("_hot"))
-    others = keyed_table.select(
-        F.col(on).cast("string").alias("_key"), F.col("_values").alias("_other")
-    )
+    others = table.select(F.col(on).cast("string").alias("_key"), values.alias("_other"))
     return (
         marked.withColumn("_key", key)
         .join(others, "_key", "left")
@@ -58,9 +57,10 @@ def with_word_values(
     """Join of (doc_id, <on>, …) rows with a table that has one row per word. Rows whose word is
     not in the table are dropped, or kept with nulls.
 
-    ``frequency`` names the column of ``table`` that says how often the word occurs; without it
-    the rows are counted first. It decides only how rows travel, never which are found. Words are
-    runs of letters or numbers; none starts with ``#``.
+    The rows are counted per word first. When the table itself was made from these very rows,
+    ``frequency`` can name its column that says how often the word occurs, which saves that pass.
+    It decides only how rows travel, never which are found. Words are runs of letters or numbers;
+    none starts with ``#``.
     """
     found = _looked_up(rows, table, frequency, on)
     if not keep_unknown:

@@ -44,29 +44,34 @@ def lexicon(messages: DataFrame) -> DataFrame:
     return number_in_order(idf, "word", "feature_id")
 
 
-def applied_vectors(messages: DataFrame, lexicon: DataFrame, idf_from: str = "train") -> DataFrame:
+def applied_vectors(
+    messages: DataFrame, lexicon: DataFrame, idf_from: str = "train", own_lexicon: bool = False
+) -> DataFrame:
     """(doc_id, class_id, features) of a corpus over the dictionary of another.
 
     ``idf_from="self"`` weighs with the document frequencies of ``messages`` themselves.
+    ``own_lexicon`` states that the lexicon was made from ``messages``, which saves counting words.
     """
     tf = term_frequency(tokens_of(messages), "class_id")
     if idf_from == "train":
-        known = with_word_values(tf, lexicon, "df")
+        known = with_word_values(tf, lexicon, "df" if own_lexicon else None)
         weight = (F.col("tf") * F.col("idf")).alias("weight")
         features = F.array_sort(F.collect_list(F.struct("feature_id", weight)))
         return known.groupBy("doc_id", "class_id").agg(features.alias("features"))
     idf = inverse_document_frequency(document_frequency(tf), corpus_size(messages))
-    return sparse_vectors(tfidf(tf, idf), lexicon.select("word", "feature_id"))
+    return sparse_vectors(tfidf(tf, idf, "df"), lexicon.select("word", "feature_id"))
 
 
 def corpus_vectors(messages: DataFrame) -> DataFrame:
     """(doc_id, class_id, features) over the corpus's own dictionary."""
-    return applied_vectors(messages, lexicon(messages))
+    return applied_vectors(messages, lexicon(messages), own_lexicon=True)
 
 
 def train_and_test_vectors(train: DataFrame, test: DataFrame) -> Vectors:
     """Materialised vectors of both corpora over the dictionary and idf of the training corpus."""
     words = cut_lineage(lexicon(train))
     return Vectors(
-        cut_lineage(applied_vectors(train, words)), cut_lineage(applied_vectors(test, words)), words
+        cut_lineage(applied_vectors(train, words, own_lexicon=True)),
+        cut_lineage(applied_vectors(test, words)),
+        words,
     )

@@ -590,7 +590,7 @@ def libsvm_round_trip(spark, sf_dir):
     path = scratch_path(spark, "libsvm")
     messages = _by_lang(spark, sf_dir)
     words = V.lexicon(messages)
-    vectors = V.applied_vectors(messages, words)
+    vectors = V.applied_vectors(messages, words, own_lexicon=True)
     size = words.agg(F.max("feature_id").alias("n")).scalar()
     sparse.write_libsvm(
         vectors.select(F.col("class_id").cast("double").alias("label"), as_ml_vector(F.col("features"), size).alias("features")),

@@ -64,6 +64,13 @@ def test_word_join_equals_plain_join_whatever_is_hot(spark, rows_of, monkeypatch
     rejects = rows_of(rows.join(table, "word", "left_anti").select("doc_id", "word"))
     assert rejects and rows_of(W.without_word_values(rows, table, "df")) == rejects
     assert W.with_word_values(rows, table, "df", keep_unknown=True).count() == 3000
+    rare = table.filter("word <> 'the'")  # the hottest word of the rows is not in the table
+    assert rows_of(W.without_word_values(rows, rare)) == rows_of(
+        rows.join(rare, "word", "left_anti").select("doc_id", "word")
+    )
+    known = W.with_word_values(rows, rare, keep_unknown=True)
+    assert known.filter("word = 'the' and df is null").count() == 1000
+    assert known.count() == 3000
 
 
 def test_bounded_fails_beyond_its_limit(spark):
