@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailsift.llm import chat, mixing, quality, sharding, simhash, warc
+from mailsift.llm import chat, embedding, mixing, quality, sharding, simhash, warc
 from mailsift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,8 @@ def op8_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_kernel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_duplicates(table(spark, sf_dir, "embeddings"))
