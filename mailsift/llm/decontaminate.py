@@ -266,24 +266,32 @@ def document_windows(documents: DataFrame, sizes: list[int], packed: np.ndarray)
 
 def longest_run(matches: list[dict], size: int) -> tuple[int, int]:
     """Template tokens in the longest run of windows at consecutive places whose placeholder values
-    stay consistent, and the tokens that all consistent runs cover."""
-    best, covered, run, said, last = 0, set(), 0, {}, None
+    are consistent, and the tokens of all runs that are also consistent with longer ones."""
+    runs: list[tuple[int, int, dict]] = []
     for m in sorted(matches, key=lambda m: m["at"]):
-        if last is not None and m["at"] == last:
-            continue
         pairs = [(a, b) for a, b in zip(m["item_values"], m["doc_values"]) if a and b]
-        joins = last is not None and m["at"] == last + 1
-        merged = dict(said) if joins else {}
-        agrees = all(merged.setdefault(a, b) == b for a, b in pairs)
-        if not agrees:
-            merged, joins = {}, False
-            if not all(merged.setdefault(a, b) == b for a, b in pairs):
-                run, said, last = 0, {}, None
-                continue
-        run, said, last = (run + 1 if joins else size), merged, m["at"]
-        covered.update(range(m["at"], m["at"] + size))
-        best = max(best, run)
-    return best, len(covered)
+        own = _agreed({}, pairs)
+        if own is None or (runs and runs[-1][1] == m["at"]):
+            continue
+        first, last, said = runs[-1] if runs else (0, -2, {})
+        joined = _agreed(said, pairs) if last == m["at"] - 1 else None
+        if joined is None:
+            runs.append((m["at"], m["at"], own))
+        else:
+            runs[-1] = (first, m["at"], joined)
+    said, covered = {}, set()
+    for first, last, values in sorted(runs, key=lambda r: (r[0] - r[1], r[0])):
+        joined = _agreed(said, values.items())
+        if joined is not None:
+            said = joined
+            covered.update(range(first, last + size))
+    return max((last - first + size for first, last, _ in runs), default=0), len(covered)
+
+
+def _agreed(said: dict, pairs) -> dict | None:
+    """``said`` with further pairs, or None if one value would stand for two."""
+    merged = dict(said)
+    return merged if all(merged.setdefault(a, b) == b for a, b in pairs) else None
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -326,5 +334,5 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` that hold no benchmark item."""
     found = leaks(documents, benchmark).select(F.col("doc_id").alias("_id"), F.col("doc").alias("_doc")).distinct()
-    same = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("_doc")
-    return documents.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & same, "left_anti")
+    same = F.xxhash64(F.coalesce(documents["text"], F.lit(""))) == found["_doc"]
+    return documents.join(found, documents["doc_id"].eqNullSafe(found["_id"]) & same, "left_anti")
