@@ -145,5 +145,5 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     found = near_duplicates(documents).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = found.groupBy("doc_id").agg(F.min("fingerprint").alias("_f"))
     kept = kept.select(F.col("doc_id").alias("_id")).distinct()
-    rows = documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    rows = documents.join(kept, documents["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
     return rows.dropDuplicates(["doc_id"])
