@@ -31,6 +31,11 @@ def class_at_end_of(name: Column) -> Column:
     return F.element_at(F.split(name, "-"), -1)
 
 
+def document_before_class(name: Column) -> Column:
+    """``<document>-<class>``: the part before the last dash."""
+    return F.left(name, F.char_length(name) - F.char_length(class_at_end_of(name)) - 1)
+
+
 def clean_name(name: Column, class_id: Column) -> Column:
     """The ``<document>-<class>`` name of a cleaned message; a class that was not found is written
     as the word ``null``."""

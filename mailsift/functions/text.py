@@ -31,8 +31,6 @@ ENGLISH_STOP_WORDS = (
 # Line ends as java.util.Scanner sees them.
 LINE_END = "\r\n|[\n\r\u2028\u2029\u0085]"
 
-# A token is a run of letters; a longer run is cut after this many.
-MAX_TOKEN_LETTERS = 255
 # ----------------------------------------------------------------------------------------------
 
 
@@ -66,9 +64,7 @@ def lower_letters(text: Column) -> Column:
 
 def letter_tokens(text: Column) -> Column:
     """Maximal runs of letters, in lower case."""
-    return F.regexp_extract_all(
-        lower_letters(text), F.lit(f"\\p{{L}}{{1,{MAX_TOKEN_LETTERS}}}"), F.lit(0)
-    )
+    return F.regexp_extract_all(lower_letters(text), F.lit("\\p{L}+"), F.lit(0))
 
 
 def whitespace_tokens(text: Column) -> Column:

@@ -14,17 +14,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
-
-from mailsift.operators.classes import (
-    class_doc_counts,
-    class_rows,
-    class_sums,
-    class_values,
-    per_class,
-)
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from mailsift.operators.classes import class_sums, class_values, for_every_class
 from mailsift.operators.words import with_word_values
-from mailsift.session import cut_lineage
+from mailsift.session import stored
 
 # The logarithm of the smallest positive double. Below it a probability is taken as 0.
 LOG_OF_ZERO = math.log(5e-324)
@@ -52,12 +46,15 @@ def train_counts(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("class_id", "word").agg(F.count("*").alias("cnt"))
 
 
-def class_stats(counts: DataFrame, class_docs: DataFrame) -> DataFrame:
-    """(class_id, n_docs, n_tokens, vocabulary, log_prior, log_total)"""
-    tokens_per_class = counts.groupBy("class_id").agg(F.sum("cnt").alias("n_tokens"))
+def class_stats(counts: DataFrame) -> DataFrame:
+    """(class_id, n_docs, n_tokens, vocabulary, log_prior, log_total) from (class_id, word, cnt,
+    n_first)."""
+    per_class = counts.groupBy("class_id").agg(
+        F.sum("cnt").alias("n_tokens"), F.sum("n_first").alias("n_docs")
+    )
     vocabulary = counts.agg(F.count_distinct("word").alias("v")).scalar()
-    n_docs = class_docs.agg(F.sum("n_docs").alias("n")).scalar()
-    return tokens_per_class.join(class_docs, "class_id").select(
+    n_docs = counts.agg(F.sum("n_first").alias("n")).scalar()
+    return per_class.select(
         "class_id",
         "n_docs",
         "n_tokens",
@@ -68,32 +65,31 @@ def class_stats(counts: DataFrame, class_docs: DataFrame) -> DataFrame:
 
 
 def train(tokens: DataFrame) -> BayesModel:
-    """Model of ``(doc_id, class_id, word)`` tokens. Documents without tokens do not count
-    towards the priors. The counts are materialised: priors, totals, vocabulary and every later
-    scoring read them instead of the corpus."""
-    counts = cut_lineage(train_counts(tokens))
-    return BayesModel(counts, class_stats(counts, class_doc_counts(tokens)))
+    """Model of (class_id, word, is_first) tokens, ``is_first`` marking one token of each document, in
+    one pass. Documents without tokens do not count towards the priors. The counts are stored: priors,
+    totals, vocabulary and every later scoring read them instead of the corpus."""
+    first = F.sum(F.col("is_first").cast("bigint")).alias("n_first")
+    counts = tokens.groupBy("class_id", "word").agg(F.count("*").alias("cnt"), first)
+    counts = stored(counts, "bayes-counts")
+    return BayesModel(counts.drop("n_first"), class_stats(counts))
 
 
 def log_scores(tf: DataFrame, model: BayesModel, prior: str = "documents") -> DataFrame:
     """(doc_id, class_id, score) for every document with tokens and every class.
 
-    ``tf`` has (doc_id, word, cnt). ``prior="documents"`` adds ``ln(n_docs_c / n_docs)``,
+    ``tf`` has (doc_id, word, cnt), stored. ``prior="documents"`` adds ``ln(n_docs_c / n_docs)``,
     ``prior="uniform"`` adds nothing. Words outside the vocabulary count with ``1/(tokens_c + V)``.
 
-    The model travels as one row per word with an array over the classes, so a document is a
-    single group with one running sum per class.
+    The model travels as one row per word with the classes that have it.
     """
-    classes = class_rows(model.classes)
-    per_word = class_values(model.counts, "word", classes, F.log1p("cnt"))
-    known = with_word_values(tf.select("doc_id", "word", "cnt"), per_word, keep_unknown=True)
-    sums = class_sums(known, classes, "cnt", F.sum("cnt").alias("_len"))
-
-    def score(c: Row, seen: Column) -> Column:
-        start = c.log_prior if prior == "documents" else 0.0
-        return F.lit(start) - F.col("_len") * F.lit(c.log_total) + seen
-
-    return per_class(sums, classes, score, "score")
+    known = with_word_values(
+        tf.select("doc_id", "word", "cnt"), class_values(model.counts, "word", F.log1p("cnt"))
+    )
+    lengths = tf.groupBy("doc_id").agg(F.sum("cnt").alias("_len"))
+    start = F.col("log_prior") if prior == "documents" else F.lit(0.0)
+    starts = for_every_class(lengths, model.classes.select("class_id", "log_prior", "log_total"))
+    starts = starts.withColumn("value", start - F.col("_len") * F.col("log_total"))
+    return class_sums(known, "cnt", starts).withColumnRenamed("value", "score")
 
 
 def linear_scores(scores: DataFrame) -> DataFrame:
@@ -112,10 +108,11 @@ def predict(scores: DataFrame) -> DataFrame:
 
 
 def predict_linear(scores: DataFrame) -> DataFrame:
-    """(doc_id, prediction) in the linear domain: null where all classes underflowed."""
+    """(doc_id, prediction) in the linear domain: null where all classes underflow. Classes are
+    compared by their log scores, since small probabilities are rounded to few values."""
     best = F.max(F.struct(F.col("score"), (-F.col("class_id")).alias("rank")))
-    return linear_scores(scores).groupBy("doc_id").agg(best.alias("best")).select(
-        "doc_id", F.when(F.col("best.score") > 0, -F.col("best.rank")).alias("prediction")
+    return scores.groupBy("doc_id").agg(best.alias("best")).select(
+        "doc_id", F.when(F.col("best.score") >= LOG_OF_ZERO, -F.col("best.rank")).alias("prediction")
     )
 
 
@@ -139,15 +136,13 @@ def with_labels(predictions: DataFrame, messages: DataFrame) -> DataFrame:
 def log_odds(counts: DataFrame) -> DataFrame:
     """(class_id, word, weight): how much likelier a word is in a class than in the corpus, for
     the (class, word) pairs seen in training. A linear one-vs-rest weight table."""
-    per_word = counts.groupBy("word").agg(F.sum("cnt").alias("_all"))
-    tokens_per_class = counts.groupBy("class_id").agg(F.sum("cnt").alias("_tokens"))
     corpus = counts.agg(F.sum("cnt").alias("n")).scalar()
-    return (
-        counts.join(per_word, "word")
-        .join(tokens_per_class, "class_id")
-        .select(
-            "class_id",
-            "word",
-            F.log((F.col("cnt") / F.col("_tokens")) / (F.col("_all") / corpus)).alias("weight"),
-        )
+    classes = counts.groupBy("class_id").agg(F.sum("cnt").alias("n"))
+    totals = classes.agg(F.map_from_entries(F.collect_list(F.struct("class_id", "n")))).scalar()
+    words = counts.groupBy("word").agg(
+        F.sum("cnt").alias("_all"), F.collect_list(F.struct("class_id", "cnt")).alias("_classes")
+    )
+    odds = (F.col("cnt") / F.try_element_at(totals, F.col("class_id"))) / (F.col("_all") / corpus)
+    return words.select("word", "_all", F.inline("_classes")).select(
+        "class_id", "word", F.log(odds).alias("weight")
     )

@@ -1,81 +1,53 @@
-"""Class names, class ids and class sizes."""
+"""Class names, class ids and class sizes. Classes are rows, however many there are."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, Row, functions as F
-
-# A classification task has a small, fixed set of classes. Tables with one row per class are
-# broadcast or turned into columns; this bound is checked before that happens.
-MAX_CLASSES = 1_000
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def class_map(messages: DataFrame) -> DataFrame:
-    """(class_id, class_name): class names numbered 1..n in byte order.
-
-    The names are reduced to distinct ones before they leave their task; the run fails if there
-    are more than ``MAX_CLASSES``.
-    """
-    names = messages.agg(F.array_sort(F.collect_set("class_name")).alias("names"))
-    bounded = F.when(F.size("names") <= MAX_CLASSES, F.col("names")).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_CLASSES} classes"))
-    )
-    return names.select(F.posexplode(bounded).alias("pos", "class_name")).select(
-        (F.col("pos") + 1).alias("class_id"), "class_name"
-    )
+    """(class_id, class_name): class names numbered 1..n in byte order."""
+    names = messages.select("class_name").filter(F.col("class_name").isNotNull()).distinct()
+    # Only the distinct names meet in one place.
+    rank = F.row_number().over(Window.orderBy("class_name"))
+    return names.select(rank.alias("class_id"), "class_name")
 
 
 def with_class_id(messages: DataFrame, classes: DataFrame) -> DataFrame:
-    """Replace ``class_name`` by ``class_id``; null where the class is not in the map. The maps of
-    :func:`class_map` and ``read_class_map`` are checked for their size, so they can go to every
-    task."""
+    """Replace ``class_name`` by ``class_id``; null where the class is not in the map. A map that is
+    small goes to every task by itself; a class with most of the messages is split otherwise."""
     carried = [c for c in messages.columns if c != "class_name"]
-    return messages.join(F.broadcast(classes), "class_name", "left").select("class_id", *carried)
+    return messages.join(classes, "class_name", "left").select("class_id", *carried)
 
 
-def class_doc_counts(tokens: DataFrame) -> DataFrame:
-    """(class_id, n_docs): documents that have at least one token, per class."""
-    documents = tokens.select("class_id", "doc_id").distinct()
-    return documents.groupBy("class_id").agg(F.count("*").alias("n_docs"))
+def class_doc_counts(messages: DataFrame, n_tokens: Column) -> DataFrame:
+    """(class_id, n_docs): messages that have at least one token, per class. ``n_tokens`` is worked
+    out in the row."""
+    return messages.filter(n_tokens > 0).groupBy("class_id").agg(F.count("*").alias("n_docs"))
 
 
-def class_rows(classes: DataFrame) -> list[Row]:
-    """The rows of a table with one row per class, by ``class_id``: the part of a model that is a
-    handful of constants. At most ``MAX_CLASSES + 1`` rows are fetched, and that many is an error."""
-    rows = classes.orderBy("class_id").limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return rows
+def class_values(table: DataFrame, on: str, value: Column) -> DataFrame:
+    """(<on>, by_class): the (class_id, value) pairs of each <on>, one per class it has."""
+    pair = F.struct("class_id", value.alias("value"))
+    return table.groupBy(on).agg(F.collect_list(pair).alias("by_class"))
 
 
-def class_values(table: DataFrame, on: str, classes: list[Row], value: Column) -> DataFrame:
-    """(<on>, by_class): ``value`` of the (class_id, <on>) rows side by side in one array,
-    in the order of ``classes``, 0 where a class has no row."""
-    values = [
-        F.coalesce(F.sum(F.when(F.col("class_id") == c.class_id, value)), F.lit(0.0))
-        for c in classes
-    ]
-    return table.groupBy(on).agg(F.array(*values).alias("by_class"))
-
-
-def class_sums(rows: DataFrame, classes: list[Row], weight: str, *extra: Column) -> DataFrame:
-    """(doc_id, extra…, by_class): per document the sums of ``weight`` times the values of each
-    class. A null array adds nothing."""
-    products = [
-        F.coalesce(F.sum(F.col(weight) * F.get("by_class", i)), F.lit(0.0))
-        for i in range(len(classes))
-    ]
-    return rows.groupBy("doc_id").agg(*extra, F.array(*products).alias("by_class"))
+def class_sums(rows: DataFrame, weight: str, starts: DataFrame) -> DataFrame:
+    """(doc_id, class_id, value): for every document and class its start, plus ``weight`` times the
+    values that the document's rows have for the class. ``starts``: (doc_id, class_id, value)."""
+    products = rows.select("doc_id", F.col(weight).alias("_w"), F.inline("by_class")).select(
+        "doc_id", "class_id", (F.col("_w") * F.col("value")).alias("value")
+    )
+    return (
+        starts.select("doc_id", "class_id", "value")
+        .unionByName(products)
+        .groupBy("doc_id", "class_id")
+        .agg(F.sum("value").alias("value"))
+    )
 
 
-def per_class(
-    sums: DataFrame, classes: list[Row], value: Callable[[Row, Column], Column], name: str
-) -> DataFrame:
-    """(doc_id, class_id, <name>): one row per document and class from one row per document;
-    ``value`` gets the class and its sum."""
-    rows = [
-        F.struct(F.lit(c.class_id).alias("class_id"), value(c, F.get("by_class", i)).alias(name))
-        for i, c in enumerate(classes)
-    ]
-    return sums.select("doc_id", F.inline(F.array(*rows)))
+def for_every_class(documents: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each row once for each class: the result has as many rows by nature. ``classes`` is gathered as
+    one list, a model's constants."""
+    listed = classes.agg(F.collect_list(F.struct(*classes.columns)).alias("c")).scalar()
+    return documents.select("*", F.inline(listed))

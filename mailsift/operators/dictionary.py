@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from mailsift.session import cut_lineage
+from mailsift.session import stored
 
 # monotonically_increasing_id keeps the row number inside the partition in its lower 33 bits.
 _ROW_BITS = 33
@@ -19,10 +19,11 @@ def number_in_order(rows: DataFrame, column: str, number: str) -> DataFrame:
     row per partition, meet in one place. The sorted rows are materialised first, since both
     passes must see the same range boundaries.
     """
-    ordered = cut_lineage(
+    ordered = stored(
         rows.repartitionByRange(column)
         .sortWithinPartitions(column)
-        .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_at", F.monotonically_increasing_id()),
+        "numbered",
     )
     placed = ordered.select(
         *rows.columns,

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.classification import LinearSVC, NaiveBayes, OneVsRest, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, FeatureHasher, HashingTF, RegexTokenizer, Word2Vec
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from mailsift.operators.linear import MARGIN_FLOOR, NO_CLASS
 
 SEED = 42
+BUCKETS = 5000
+ENTRIES = T.ArrayType(
+    T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("n", T.DoubleType())])
+)
 
 
 def labelled(rows: DataFrame, class_id: str = "class_id") -> DataFrame:
@@ -19,7 +23,7 @@ def labelled(rows: DataFrame, class_id: str = "class_id") -> DataFrame:
     return rows.withColumn("label", F.col(class_id).cast("double") - 1)
 
 
-def hashing_tfidf(buckets: int = 5000) -> Pipeline:
+def hashing_tfidf(buckets: int = BUCKETS) -> Pipeline:
     """text → words → hashed counts → TF-IDF ``features`` (sparse)."""
     return Pipeline(
         stages=[
@@ -30,17 +34,76 @@ def hashing_tfidf(buckets: int = 5000) -> Pipeline:
     )
 
 
+def hashed_counts(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Adds ``rawFeatures``, the hashed counts of the words of ``text``."""
+    stages = hashing_tfidf(buckets).getStages()[:2]
+    return Pipeline(stages=stages).fit(rows).transform(rows)
+
+
+def murmur3(data: bytes, seed: int = SEED) -> int:
+    """The public MurmurHash3 for 32 bits, as a signed number."""
+    mask, h = 0xFFFFFFFF, seed
+
+    def scrambled(k: int) -> int:
+        k = k * 0xCC9E2D51 & mask
+        return (k << 15 | k >> 17) * 0x1B873593 & mask
+
+    whole = len(data) // 4 * 4
+    for i in range(0, whole, 4):
+        h ^= scrambled(int.from_bytes(data[i : i + 4], "little"))
+        h = (h << 13 | h >> 19) & mask
+        h = (h * 5 + 0xE6546B64) & mask
+    h ^= scrambled(int.from_bytes(data[whole:], "little")) ^ len(data)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = (h ^ h >> shift) * factor & mask
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+@F.pandas_udf(T.IntegerType())
+def _murmur3(terms: pd.Series) -> pd.Series:
+    return terms.map(lambda t: murmur3(t.encode())).astype("int32")
+
+
+def hashing_bucket(term: Column) -> Column:
+    """The hash of a term before it is reduced to a bucket, as Spark's hashing features work it out.
+    The SQL function ``hash`` treats the last bytes of a string otherwise."""
+    return _murmur3(term)
+
+
+def idf_naive_bayes() -> Pipeline:
+    """``rawFeatures`` counts → TF-IDF ``features`` → multinomial Naive Bayes."""
+    return Pipeline(stages=[IDF(inputCol="rawFeatures", outputCol="features"), naive_bayes()])
+
+
+@F.pandas_udf(ENTRIES)
+def _entries(vectors: pd.DataFrame) -> pd.Series:
+    """Index and value of the entries of vectors that are not 0."""
+    found = []
+    for kind, indices, values in zip(vectors["type"], vectors["indices"], vectors["values"]):
+        at = range(len(values)) if kind == 1 else indices
+        found.append([{"bucket": int(i), "n": float(v)} for i, v in zip(at, values) if v != 0])
+    return pd.Series(found)
+
+
+def entries(vector: Column) -> Column:
+    """The entries of an ML vector as (bucket, n), by bucket."""
+    return _entries(vector)
+
+
 def naive_bayes(model_type: str = "multinomial") -> NaiveBayes:
     """``gaussian`` for features that can be negative, such as word vectors."""
     return NaiveBayes(modelType=model_type)
 
 
-def word2vec(rows: DataFrame, size: int = 100, min_count: int = 0) -> Word2Vec:
-    """Document vectors of ``words``. Training is spread over all cores."""
+def word2vec(size: int = 100, min_count: int = 0, partitions: int = 1) -> Word2Vec:
+    """Document vectors of ``words``. The vectors depend on ``partitions``, in which training runs in
+    parallel, so their number is fixed and not taken from the machine. The vocabulary, every word
+    that occurs ``min_count`` times, is kept on the driver; raise ``min_count`` for a large corpus."""
     return Word2Vec(
         vectorSize=size,
         minCount=min_count,
-        numPartitions=rows.sparkSession.sparkContext.defaultParallelism,
+        numPartitions=partitions,
         seed=SEED,
         inputCol="words",
         outputCol="features",
@@ -51,13 +114,34 @@ def random_forest(trees: int = 20, depth: int = 30) -> RandomForestClassifier:
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED)
 
 
+def linear_svm(iterations: int = 100) -> LinearSVC:
+    """A linear SVM of two classes, 0 and 1."""
+    return LinearSVC(maxIter=iterations, regParam=0.01)
+
+
 def one_vs_rest_svm(iterations: int = 100, parallelism: int = 4) -> OneVsRest:
     """One linear SVM per class; the label column must hold 0..n-1."""
-    return OneVsRest(
-        classifier=LinearSVC(maxIter=iterations, regParam=0.01), parallelism=parallelism
+    return OneVsRest(classifier=linear_svm(iterations), parallelism=parallelism)
+
+
+def weight_table(spark: SparkSession, models: list) -> tuple[DataFrame, DataFrame]:
+    """(class_id, bucket, weight) and (class_id, intercept) of binary linear models, class ids from 1:
+    as many rows as the hashed features have buckets."""
+    weights = [
+        (c, int(i), float(w)) for c, m in enumerate(models, 1) for i, w in enumerate(m.coefficients.toArray()) if w
+    ]
+    intercepts = [(c, float(m.intercept)) for c, m in enumerate(models, 1)]
+    return (
+        spark.createDataFrame(weights, "class_id int, bucket int, weight double"),
+        spark.createDataFrame(intercepts, "class_id int, intercept double"),
     )
 
 
+def same_weights(a, b) -> bool:
+    """Whether two linear models have the same weights up to rounding."""
+    return abs(a.intercept - b.intercept) < 1e-6 and abs(a.coefficients.toArray() - b.coefficients.toArray()).max() < 1e-6
+
+
 def floored_class(margins: Column) -> Column:
     """The 1-based position of the largest margin, 0 when none exceeds the floor."""
     values = vector_to_array(margins)
@@ -76,9 +160,5 @@ def feature_hasher(columns: list[str], buckets: int = 1 << 18) -> FeatureHasher:
     return FeatureHasher(inputCols=columns, outputCol="features", numFeatures=buckets)
 
 
-def accuracy(predictions: DataFrame) -> float:
-    return MulticlassClassificationEvaluator(metricName="accuracy").evaluate(predictions)
-
-
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailsift.operators.words import with_word_values
+from mailsift.session import stored
 
 
 def corpus_size(messages: DataFrame) -> Column:
@@ -42,7 +43,8 @@ def tfidf(tf: DataFrame, idf: DataFrame, frequency: str | None = None) -> DataFr
 
 
 def tfidf_of(messages: DataFrame, tokens: DataFrame, *carried: str) -> DataFrame:
-    """TF-IDF of a corpus against itself."""
-    tf = term_frequency(tokens, *carried)
+    """TF-IDF of a corpus against itself. Texts are split into words once; counts and document
+    frequencies are stored, since the join reads them more than once."""
+    tf = stored(term_frequency(tokens, *carried), "term-frequency")
     idf = inverse_document_frequency(document_frequency(tf), corpus_size(messages))
-    return tfidf(tf, idf, "df")
+    return tfidf(tf, stored(idf, "document-frequency"), "df")

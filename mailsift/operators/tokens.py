@@ -5,15 +5,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from mailsift.functions import text as T
-from mailsift.operators.words import bounded
 from mailsift.session import shuffle_width
 
-# A stop list goes to every task; the run fails on a longer one.
-MAX_STOP_WORDS = 1_000_000
-
 
 def by_document(messages: DataFrame) -> DataFrame:
     """Spread messages over the cluster by ``doc_id`` while they are still compact text.
@@ -52,17 +48,25 @@ def clean_tokens(
         tokens = tokens.filter(~F.col("word").isin(*T.ENGLISH_STOP_WORDS))
     if stop_words is not None:
         listed = stop_words.select(T.lower_letters(F.col("word")).alias("word")).distinct()
-        small = F.broadcast(bounded(listed, MAX_STOP_WORDS, "stop words"))
-        tokens = tokens.join(small, "word", "left_anti").select(*carried, "pos", "word")
+        tokens = tokens.join(listed, "word", "left_anti").select(*carried, "pos", "word")
     return tokens
 
 
+def kept_words(text: Column) -> Column:
+    """The clean tokens of a text as an array: no headers, no English stop words."""
+    return F.filter(T.letter_tokens(T.without_headers(text)), lambda w: ~w.isin(*T.ENGLISH_STOP_WORDS))
+
+
 def clean_text(messages: DataFrame) -> DataFrame:
     """The messages with ``text`` replaced by its clean tokens, one per line. Moves no row."""
-    words = F.filter(
-        T.letter_tokens(T.without_headers(F.col("text"))), lambda w: ~w.isin(*T.ENGLISH_STOP_WORDS)
-    )
-    return messages.withColumn("text", F.concat_ws("\n", words))
+    return messages.withColumn("text", F.concat_ws("\n", kept_words(F.col("text"))))
+
+
+def marked_tokens(messages: DataFrame) -> DataFrame:
+    """(…, word, is_first): the clean tokens, the first one of each message marked. Moves no row."""
+    carried = [c for c in messages.columns if c != "text"]
+    tokens = messages.select(*carried, F.posexplode(kept_words(F.col("text"))).alias("_at", "word"))
+    return tokens.select(*carried, "word", (F.col("_at") == 0).alias("is_first"))
 
 
 def split_tokens(messages: DataFrame, splitter) -> DataFrame:
@@ -71,14 +75,10 @@ def split_tokens(messages: DataFrame, splitter) -> DataFrame:
     return messages.select(*carried, F.posexplode(splitter(F.col("text"))).alias("pos", "word"))
 
 
-def token_counts(messages: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens) for every message, 0 where cleaning left nothing."""
-    counted = tokens.groupBy("doc_id").agg(F.count("*").alias("n_tokens"))
-    return (
-        messages.select("doc_id")
-        .join(counted, "doc_id", "left")
-        .select("doc_id", F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens"))
-    )
+def token_counts(messages: DataFrame) -> DataFrame:
+    """(doc_id, n_tokens) for every message, 0 where cleaning leaves nothing. Moves no row."""
+    n_tokens = F.coalesce(F.size(kept_words(F.col("text"))), F.lit(0)).cast("bigint")
+    return messages.select("doc_id", F.greatest(n_tokens, F.lit(0)).alias("n_tokens"))
 
 
 def word_count(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -23,8 +23,3 @@ def unmatched_features(tfidf: DataFrame, dictionary: DataFrame) -> DataFrame:
     """The TF-IDF rows whose word is not in the dictionary."""
     return without_word_values(tfidf, dictionary.select("word"))
 
-
-def exploded(vectors: DataFrame) -> DataFrame:
-    """Vectors back to one row per feature."""
-    carried = [c for c in vectors.columns if c != "features"]
-    return vectors.select(*carried, F.inline("features"))

@@ -1,9 +1,11 @@
 """Joins on words.
 
-Words follow a power law: one word may be in a third of all rows or more. The ``HOT_WORDS`` most
-frequent words of the rows therefore get their values from a broadcast, and only the other words meet
-in a shuffle. The (HOT_WORDS + 1)-th most frequent word cannot hold more than one row in HOT_WORDS, so
-no key of that shuffle is hot, whatever the data. The broadcast is bounded by HOT_WORDS rows.
+Words follow a power law: one word may be in a third of all rows or more. A word with more than one in
+``HOT_WORDS`` of the rows is hot; there can be no more than HOT_WORDS of them, whatever the data. Rows
+with a hot word get their values from a broadcast of these words and stay where they are, and only the
+other rows meet the table in a shuffle, in which no key holds more than one row in HOT_WORDS.
+
+The rows are read twice or three times, so they should be cheap to read: a stored table of counts.
 """
 
 from __future__ import annotations
@@ -11,40 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 HOT_WORDS = 10_000
-_SPREAD = 1 << 16
-
 
-def bounded(df: DataFrame, limit: int, what: str) -> DataFrame:
-    """``df``, failing at run time when it has more than ``limit`` rows; safe to broadcast."""
-    n = df.agg(F.count("*").alias("n")).scalar()
-    message = F.lit(f"more than {limit} {what}")
-    return df.filter(F.when(n <= limit, True).otherwise(F.raise_error(message)))
 
-
-def _looked_up(rows: DataFrame, table: DataFrame, frequency: str | None, on: str) -> DataFrame:
-    """``rows`` with the columns of ``table`` for their word as a struct ``_found``, or null."""
-    values = F.struct(*[c for c in table.columns if c != on]).alias("_values")
-    if frequency is None:
-        # A word may be frequent in the rows and yet be missing in the table.
-        seen = rows.groupBy(on).agg(F.count("*").alias("_n"))
-        counted = table.select(on, values).join(seen, on, "full")
-    else:
-        counted = table.select(on, values, F.col(frequency).alias("_n"))
-    most = counted.orderBy(F.desc_nulls_last("_n"), on).limit(HOT_WORDS)
-    # Rows with a hot word travel under a key no word can have, so that they spread evenly, and get
-    # their values only after the shuffle, so that these need not travel.
-    marked = rows.join(F.broadcast(most.select(on, F.lit(True).alias("_is_hot"))), on, "left")
-    spread = F.concat(F.lit("#"), F.pmod(F.xxhash64("doc_id"), F.lit(_SPREAD)).cast("string"))
-    key = F.when(F.col("_is_hot").isNull(), F.col(on).cast("string")).otherwise(spread)
-    hot = most.select(on, F.col("_values").alias("_hot"))
-    others = table.select(F.col(on).cast("string").alias("_key"), values.alias("_other"))
-    return (
-        marked.withColumn("_key", key)
-        .join(others, "_key", "left")
-        .join(F.broadcast(hot), on, "left")
-        .withColumn("_found", F.coalesce("_hot", "_other"))
-        .drop("_key", "_is_hot", "_hot", "_other")
-    )
+def hot_words(counts: DataFrame, on: str = "word") -> DataFrame:
+    """The hot words of (<on>, n) counts, at most HOT_WORDS of them."""
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.filter(F.col("n") * HOT_WORDS > total).select(on)
 
 
 def with_word_values(
@@ -59,19 +33,23 @@ def with_word_values(
 
     The rows are counted per word first. When the table itself was made from these very rows,
     ``frequency`` can name its column that says how often the word occurs, which saves that pass.
-    It decides only how rows travel, never which are found. Words are runs of letters or numbers;
-    none starts with ``#``.
+    It decides only how rows travel, never which are found.
     """
-    found = _looked_up(rows, table, frequency, on)
+    if frequency is None:
+        counts = rows.groupBy(on).agg(F.count("*").alias("n"))
+    else:
+        counts = table.select(on, F.col(frequency).alias("n"))
+    hot = hot_words(counts, on)
+    values = table.select(on, F.struct(*[c for c in table.columns if c != on]).alias("_found"))
+    few = rows.join(F.broadcast(hot.join(values, on, "left")), on)
     if not keep_unknown:
-        found = found.filter(F.col("_found").isNotNull())
-    return found.select(*rows.columns, "_found.*")
+        few = few.filter(F.col("_found").isNotNull())
+    many = rows.join(F.broadcast(hot), on, "left_anti")
+    many = many.join(values, on, "left" if keep_unknown else "inner")
+    found = [*rows.columns, "_found.*"]
+    return few.select(*found).unionByName(many.select(*found))
 
 
-def without_word_values(
-    rows: DataFrame, table: DataFrame, frequency: str | None = None, on: str = "word"
-) -> DataFrame:
-    """The rows whose word is not in ``table``."""
-    known = table.withColumn("_known", F.lit(True))
-    missing = _looked_up(rows, known, frequency, on).filter(F.col("_found").isNull())
-    return missing.select(*rows.columns)
+def without_word_values(rows: DataFrame, table: DataFrame, on: str = "word") -> DataFrame:
+    """The rows whose word is not in ``table``. The engine splits hot words of the rows."""
+    return rows.join(table.select(on), on, "left_anti").select(*rows.columns)

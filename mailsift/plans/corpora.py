@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailsift.functions import paths as P
 from mailsift.operators import classes as C
-from mailsift.session import cut_lineage
+
+
+# Parts for testing a model on rows it was not trained on.
+FOLDS = 3
 
 
 class Split(NamedTuple):
@@ -50,7 +53,7 @@ def classified(messages: DataFrame) -> DataFrame:
 def documents_and_pages(spark: SparkSession, sf_dir: str) -> Split:
     """Language classes: all documents train, all pages test."""
     train = documents(spark, sf_dir)
-    classes = cut_lineage(C.class_map(train))
+    classes = C.class_map(train)
     return Split(
         C.with_class_id(train, classes), C.with_class_id(pages(spark, sf_dir), classes), classes
     )
@@ -59,7 +62,7 @@ def documents_and_pages(spark: SparkSession, sf_dir: str) -> Split:
 def judged_and_other(spark: SparkSession, sf_dir: str, class_column: str) -> Split:
     """Judged documents train, all other documents test."""
     messages = documents(spark, sf_dir, class_column)
-    classes = cut_lineage(C.class_map(messages))
+    classes = C.class_map(messages)
     known = C.with_class_id(messages, classes)
     judged = table(spark, sf_dir, "labels").select("doc_id")
     return Split(
@@ -67,15 +70,12 @@ def judged_and_other(spark: SparkSession, sf_dir: str, class_column: str) -> Spl
     )
 
 
+def fold_of(doc_id: Column) -> Column:
+    """The fold of a document, by a hash of its id that SQL knows too."""
+    return F.conv(F.substring(F.md5(doc_id.cast("string")), 1, 4), 16, 10).cast("int") % FOLDS
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judged documents with their quality (0, 1) as class 1, 2."""
     judged = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") + 1).alias("class_id"))
     return table(spark, sf_dir, "documents").select("doc_id", "text").join(judged, "doc_id")
-
-
-def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns with the speaker's role as class; (conv_id, turn) is the document."""
-    rows = table(spark, sf_dir, "conversations")
-    return rows.select(
-        F.concat_ws(".", "conv_id", "turn").alias("doc_id"), F.col("role").alias("class_name"), "text"
-    )

@@ -18,7 +18,7 @@ from mailsift.operators.tfidf import (
 from mailsift.operators.tokens import by_document, clean_tokens
 from mailsift.operators.vectors import sparse_vectors
 from mailsift.operators.words import with_word_values
-from mailsift.session import cut_lineage
+from mailsift.session import stored
 
 
 class Vectors(NamedTuple):
@@ -28,50 +28,61 @@ class Vectors(NamedTuple):
 
 
 def tokens_of(messages: DataFrame) -> DataFrame:
+    """Clean tokens where the messages are: for counts over the whole corpus."""
+    return clean_tokens(messages)
+
+
+def document_tokens(messages: DataFrame) -> DataFrame:
+    """Clean tokens with each document in one place: for counts per document and word."""
     return clean_tokens(by_document(messages))
 
 
+def counted(messages: DataFrame, *carried: str) -> DataFrame:
+    """Stored counts per document and word."""
+    return stored(term_frequency(document_tokens(messages), *carried), "term-frequency")
+
+
 def corpus_tfidf(messages: DataFrame) -> DataFrame:
     """(doc_id, class_id, word, weight)"""
-    return tfidf_of(messages, tokens_of(messages), "class_id")
+    return tfidf_of(messages, document_tokens(messages), "class_id")
 
 
-def lexicon(messages: DataFrame) -> DataFrame:
+def lexicon(messages: DataFrame, tf: DataFrame | None = None) -> DataFrame:
     """(word, df, idf, feature_id): dictionary and document frequencies of a training corpus in
-    one table, so that vectors need a single join on the word."""
-    df = document_frequency(term_frequency(tokens_of(messages)))
+    one table, so that vectors need a single join on the word. ``tf``: its counts, if at hand."""
+    df = document_frequency(counted(messages) if tf is None else tf)
     idf = inverse_document_frequency(df, corpus_size(messages))
     return number_in_order(idf, "word", "feature_id")
 
 
-def applied_vectors(
-    messages: DataFrame, lexicon: DataFrame, idf_from: str = "train", own_lexicon: bool = False
-) -> DataFrame:
+def vectors_of(tf: DataFrame, lexicon: DataFrame, frequency: str | None = None) -> DataFrame:
+    """(doc_id, class_id, features) of counts over a lexicon and its idf."""
+    known = with_word_values(tf, lexicon, frequency)
+    weight = (F.col("tf") * F.col("idf")).alias("weight")
+    features = F.array_sort(F.collect_list(F.struct("feature_id", weight)))
+    return known.groupBy("doc_id", "class_id").agg(features.alias("features"))
+
+
+def applied_vectors(messages: DataFrame, lexicon: DataFrame, idf_from: str = "train") -> DataFrame:
     """(doc_id, class_id, features) of a corpus over the dictionary of another.
 
     ``idf_from="self"`` weighs with the document frequencies of ``messages`` themselves.
-    ``own_lexicon`` states that the lexicon was made from ``messages``, which saves counting words.
     """
-    tf = term_frequency(tokens_of(messages), "class_id")
+    tf = counted(messages, "class_id")
     if idf_from == "train":
-        known = with_word_values(tf, lexicon, "df" if own_lexicon else None)
-        weight = (F.col("tf") * F.col("idf")).alias("weight")
-        features = F.array_sort(F.collect_list(F.struct("feature_id", weight)))
-        return known.groupBy("doc_id", "class_id").agg(features.alias("features"))
+        return vectors_of(tf, lexicon)
     idf = inverse_document_frequency(document_frequency(tf), corpus_size(messages))
-    return sparse_vectors(tfidf(tf, idf, "df"), lexicon.select("word", "feature_id"))
+    return sparse_vectors(tfidf(tf, stored(idf), "df"), lexicon.select("word", "feature_id"))
 
 
-def corpus_vectors(messages: DataFrame) -> DataFrame:
+def corpus_vectors(messages: DataFrame, tf: DataFrame | None = None, words: DataFrame | None = None) -> DataFrame:
     """(doc_id, class_id, features) over the corpus's own dictionary."""
-    return applied_vectors(messages, lexicon(messages), own_lexicon=True)
+    tf = counted(messages, "class_id") if tf is None else tf
+    return vectors_of(tf, stored(lexicon(messages, tf)) if words is None else words, "df")
 
 
 def train_and_test_vectors(train: DataFrame, test: DataFrame) -> Vectors:
-    """Materialised vectors of both corpora over the dictionary and idf of the training corpus."""
-    words = cut_lineage(lexicon(train))
-    return Vectors(
-        cut_lineage(applied_vectors(train, words, own_lexicon=True)),
-        cut_lineage(applied_vectors(test, words)),
-        words,
-    )
+    """Stored vectors of both corpora over the dictionary and idf of the training corpus."""
+    tf = counted(train, "class_id")
+    words = stored(lexicon(train, tf))
+    return Vectors(stored(vectors_of(tf, words, "df")), stored(applied_vectors(test, words)), words)

@@ -14,14 +14,12 @@ _LINES = f"""case when text = '' then []::varchar[]
 
 
 def _words(text: str) -> str:
-    """List of the lower-case letter runs of ``text``, cut after 255 letters, header lines left out."""
-    return f"""flatten(list_transform(
-        regexp_extract_all(
+    """List of the lower-case letter runs of ``text``, header lines left out."""
+    return f"""regexp_extract_all(
             lower(translate(array_to_string(list_filter(
                 regexp_split_to_array({text}, '{_LINE_END}'),
                 lambda l: not regexp_matches(l, '{_HEADER}')), chr(10)), 'İΣ', 'iσ')),
-            '\\p{{L}}+'),
-        lambda r: list_transform(range(0, length(r), 255), lambda i: substr(r, (i + 1)::int, 255))))"""
+            '\\p{{L}}+')"""
 
 
 def _tokens(name: str, messages: str) -> str:
@@ -63,10 +61,31 @@ test_m as (select * from {name} where doc_id not in (select doc_id from labels))
 
 _JUDGED_SOURCE = _judged(_SOURCE, "by_source")
 _JUDGED_LANG = _judged(_LANG, "by_lang")
+# Every fold's documents against a model of the others, direct form.
 _QUALITY = f"""by_quality as (
     select doc_id, (quality + 1)::varchar as class_name, text from documents join labels using (doc_id)),
-{_classes('by_quality')}, train_m as (select * from by_quality), test_m as (select * from by_quality),
-{_tokens('train_t', 'train_m')}, {_tokens('test_t', 'test_m')}"""
+{_tokens('tok', 'by_quality')},
+folds as (select unnest([0, 1, 2]) as fold),
+placed as (select *, ('0x' || substr(md5(doc_id::varchar), 1, 4))::int % 3 as own from tok),
+train_t as (select fold, placed.* from placed join folds on fold <> own),
+counts as (select fold, class_name, word, count(*) as cnt from train_t group by fold, class_name, word),
+model as (
+    select fold, class_name, class_name::int as class_id, n_tokens, v,
+           ln(n_docs / sum(n_docs) over (partition by fold)) as prior
+    from (select fold, class_name, sum(cnt) as n_tokens from counts group by fold, class_name)
+    join (select fold, class_name, count(distinct doc_id) as n_docs from train_t group by fold, class_name)
+        using (fold, class_name)
+    join (select fold, count(distinct word) as v from counts group by fold) using (fold)),
+test_tf as (select own as fold, doc_id, class_name as label, word, count(*) as n from placed group by all),
+scores as (
+    select t.doc_id, t.label, m.class_id,
+           any_value(prior) + sum(n * ln((coalesce(cnt, 0) + 1) / (n_tokens + v))) as score
+    from test_tf t join model m using (fold)
+    left join counts c on c.fold = t.fold and c.class_name = m.class_name and c.word = t.word
+    group by t.doc_id, t.label, m.class_id),
+predictions as (
+    select doc_id, label::int as label, class_id as prediction from scores
+    qualify row_number() over (partition by doc_id order by score desc, class_id) = 1)"""
 
 
 def _tf(tokens: str, name: str = "tf") -> str:
@@ -200,6 +219,11 @@ words as (
                        else string_split(body, ' ') end) as word from trimmed)
 select word, count(*) as n from words group by word order by n desc, word"""
 
+_AGREEING_PAGES = "select page_id as doc_id, true as agrees from pages"
+_MAIL = """mail as (
+    select conv_id, turn, role, case when role = 'system' then '' else text end as text from conversations)"""
+_NAMED = "doc_id || '-a:b-c' as doc_id"
+
 ORACLES: dict[str, str] = {
     "header_filter": f"""with lines as (select doc_id, {_LINES} as ls from documents),
 numbered as (select doc_id, unnest(ls) as line, (generate_subscripts(ls, 1) - 1)::int as line_no from lines)
@@ -281,7 +305,7 @@ from predictions""",
     "nb_linear_underflow": _UNDERFLOW,
     "confusion_matrix": f"{_PREDICT_SOURCE} select label, prediction, count(*) as n from predictions group by label, prediction",
     "class_metrics": f"{_PREDICT_SOURCE}, {_METRICS} {_METRIC_ROWS}",
-    "class_metrics_quality": f"with {_QUALITY}, {_bayes()}, {_METRICS} {_METRIC_ROWS}",
+    "class_metrics_quality": f"with {_QUALITY}, {_METRICS} {_METRIC_ROWS}",
     "ml_evaluator": f"""{_PREDICT_SOURCE}, {_METRICS},
 weighted as (
     select sum(hits) / sum(support) as accuracy, sum(support * precision) / sum(support) as p,
@@ -306,21 +330,54 @@ margins as (
     group by doc_id, class_id)
 select doc_id, round(margin, 6) as margin, (case when margin > -1 then class_id else 0 end)::int as prediction
 from margins qualify row_number() over (partition by doc_id order by margin desc, class_id) = 1""",
-    "hashed_totals": f"""with {_PAGES}, {_tokens('tok', 'page_messages')},
-counted as (select doc_id, count(*) as n from tok group by doc_id)
-select doc_id, coalesce(n, 0) as n_tokens from page_messages left join counted using (doc_id)""",
+    "hashed_counts": _AGREEING_PAGES,
+    "svm_margins": _AGREEING_PAGES,
+    "w2v_means": _AGREEING_PAGES,
+    "random_forest_chances": _AGREEING_PAGES,
+    "ml_model_round_trip": "select count(*) as n, count(*) as n_same from pages",
+    "ml_idf_nb": f"""with {_DOCS_PAGES}, {_tf('train_t', 'train_tf')}, {_tf('test_t', 'test_tf')},
+size as (select count(distinct doc_id) as n, count(distinct word) as v from train_tf),
+weights as (select word, ln(((select n from size) + 1) / (count(*) + 1)) as idf from train_tf group by word),
+sums as (select class_name, word, sum(cnt * idf) as s from train_tf join weights using (word) group by all),
+model as (
+    select class_id, class_name, t.s as total,
+           ln((n_docs + 1) / (sum(n_docs) over () + count(*) over ())) as prior
+    from (select class_name, sum(s) as s from sums group by class_name) t
+    join (select class_name, count(distinct doc_id) as n_docs from train_tf group by class_name) using (class_name)
+    join classes using (class_name)),
+scores as (
+    select doc_id, m.class_id,
+           any_value(prior) + sum(cnt * idf * ln((coalesce(s, 0) + 1) / (total + (select v from size)))) as score
+    from test_tf t join weights using (word) cross join model m
+    left join sums on sums.class_name = m.class_name and sums.word = t.word
+    group by doc_id, m.class_id),
+best as (
+    select doc_id, class_id as prediction from scores
+    qualify row_number() over (partition by doc_id order by score desc, class_id) = 1)
+select doc_id, class_id, prediction from best join test_m using (doc_id) left join classes using (class_name)""",
     "w2v_features": f"""with {_LANG}, {_PAGES}, {_classes('by_lang')}
 select doc_id, (class_id - 1)::double as label, 100 as size from page_messages left join classes using (class_name)""",
-    "feature_hasher": "select doc_id, n_chars + 3 as total from documents",
+    "feature_hasher": "select doc_id, true as agrees from documents",
     "line_scan": f"""with lines as (select lang, unnest({_LINES}) as line from documents)
 select lang, count(*) as n_lines, sum(length(line))::bigint as n_chars from lines group by lang""",
     "clean_token_round_trip": _CLEAN_TOKENS,
     "class_map_round_trip": _CLASS_MAP,
     "class_sizes_round_trip": _CLASS_SIZES,
     "table_round_trip": _DICTIONARY_ROWS,
-    "tfidf_round_trip": _TFIDF_ROWS,
+    "tfidf_round_trip": f"select {_NAMED}, class_id, word, weight from ({_TFIDF_ROWS})",
     "bayes_counts_round_trip": _TRAIN_COUNTS,
-    "predictions_round_trip": _UNDERFLOW,
+    "predictions_round_trip": f"select {_NAMED}, label, prediction from ({_UNDERFLOW})",
+    "whole_file_scan": f"""with {_MAIL}
+select role || '/' || conv_id || '-' || turn as doc_id, role as class_name, text from mail""",
+    "two_path_scan": f"""with lines as (
+    select unnest({_LINES}) as value from (select text from benchmark union all select text from conversations))
+select value, count(*) as n from lines group by value""",
+    "clean_file_scan": f"""with {_MAIL},
+msg as (select conv_id || '-a-' || turn as doc_id, turn::varchar as class_name, text from mail),
+{_tokens('tok', 'msg')}
+select doc_id, split_part(doc_id, '-', 1) || '-a' as document, class_name::int as class_id, word, count(*) as n
+from tok group by all""",
+    "overwrite_round_trip": _CLASS_MAP,
     "lenient_sparse_read": f"with {_VECTOR_ROWS} select label, features from vectors",
     "libsvm_round_trip": f"""with {_VECTOR_ROWS}
 select label, count(*) as n, sum(n)::bigint as n_weights, round(sum(weight_sum), 6) as weight_sum

@@ -4,11 +4,11 @@ DataFrame; numbers that depend on the order of floating point sums are rounded."
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.classification import NaiveBayesModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailsift.functions import paths as P, text as T
@@ -22,10 +22,14 @@ from mailsift.operators.tfidf import (
     term_frequency,
 )
 from mailsift.operators.vectors import unmatched_features as unmatched
+from mailsift.operators.words import with_word_values
 from mailsift.plans import corpora, features as V
-from mailsift.session import cut_lineage, scratch_path, spread
+from mailsift.session import scratch_path, stored
 from mailsift.sources import sparse, tables, text as text_source
 
+# Components of the word vectors that are compared one by one.
+W2V_CHECKED = 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -40,6 +44,10 @@ def _by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpora.classified(corpora.documents(spark, sf_dir, "lang"))
 
 
+def _by_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpora.documents_and_pages(spark, sf_dir).test
+
+
 def _by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpora.classified(corpora.documents(spark, sf_dir, "source"))
 
@@ -86,8 +94,7 @@ def custom_stop_words(spark, sf_dir):
 
 @query
 def doc_token_count(spark, sf_dir):
-    messages = K.by_document(corpora.table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return K.token_counts(messages, K.clean_tokens(messages))
+    return K.token_counts(corpora.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query
@@ -110,7 +117,7 @@ def newline_tokens(spark, sf_dir):
 
 @query
 def word_count(spark, sf_dir):
-    documents = spread(corpora.table(spark, sf_dir, "documents").select("text"))
+    documents = corpora.table(spark, sf_dir, "documents").select("text")
     return K.word_count(documents.select(F.explode(T.lines(F.col("text"))).alias("value")))
 
 
@@ -158,7 +165,7 @@ def class_lookup(spark, sf_dir):
 
 @query
 def class_doc_counts(spark, sf_dir):
-    return C.class_doc_counts(V.tokens_of(_by_source(spark, sf_dir)))
+    return C.class_doc_counts(_by_source(spark, sf_dir), F.size(K.kept_words(F.col("text"))))
 
 
 # --- features -------------------------------------------------------------------------------------
@@ -171,14 +178,14 @@ def feature_dictionary_query(spark, sf_dir):
 
 @query
 def term_frequency_query(spark, sf_dir):
-    tf = term_frequency(V.tokens_of(_by_lang(spark, sf_dir)))
+    tf = term_frequency(V.document_tokens(_by_lang(spark, sf_dir)))
     return tf.select("doc_id", "word", "cnt", "doc_len", F.round("tf", 9).alias("tf"))
 
 
 @query
 def document_frequency_query(spark, sf_dir):
     messages = _by_lang(spark, sf_dir)
-    df = document_frequency(term_frequency(V.tokens_of(messages)))
+    df = document_frequency(term_frequency(V.document_tokens(messages)))
     idf = inverse_document_frequency(df, corpus_size(messages))
     return idf.select("word", "df", F.round("idf", 9).alias("idf"))
 
@@ -232,7 +239,7 @@ def nb_train_counts(spark, sf_dir):
 
 @query
 def nb_class_stats(spark, sf_dir):
-    model = bayes.train(V.tokens_of(_by_source(spark, sf_dir)))
+    model = bayes.train(K.marked_tokens(_by_source(spark, sf_dir)))
     return model.classes.select(
         "class_id",
         "n_docs",
@@ -244,8 +251,8 @@ def nb_class_stats(spark, sf_dir):
 
 
 def _bayes_scores(split: corpora.Split, prior: str = "documents") -> DataFrame:
-    model = bayes.train(V.tokens_of(split.train))
-    return bayes.log_scores(term_frequency(V.tokens_of(split.test)), model, prior)
+    model = bayes.train(K.marked_tokens(split.train))
+    return bayes.log_scores(V.counted(split.test), model, prior)
 
 
 def _bayes_predictions(split: corpora.Split, prior: str = "documents") -> DataFrame:
@@ -257,9 +264,20 @@ def _source_predictions(spark, sf_dir) -> DataFrame:
 
 
 def _quality_predictions(spark, sf_dir) -> DataFrame:
-    """The judged documents, classified by the model trained on them."""
-    judged = corpora.quality(spark, sf_dir)
-    return _bayes_predictions(corpora.Split(judged, judged, judged.select("class_id").distinct()))
+    """The judged documents in folds, each classified by a model trained on the others."""
+    judged = corpora.quality(spark, sf_dir).withColumn("fold", corpora.fold_of(F.col("doc_id")))
+    classes = judged.select("class_id").distinct()
+    found = [
+        _bayes_predictions(
+            corpora.Split(
+                judged.filter(F.col("fold") != fold).drop("fold"),
+                judged.filter(F.col("fold") == fold).drop("fold"),
+                classes,
+            )
+        )
+        for fold in range(corpora.FOLDS)
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -282,8 +300,8 @@ def nb_predict_pages(spark, sf_dir):
 def nb_predict_empty(spark, sf_dir):
     """As ``nb_predict``, messages without any token included."""
     split = corpora.judged_and_other(spark, sf_dir, "source")
-    model = bayes.train(V.tokens_of(split.train))
-    found = bayes.predict(bayes.log_scores(term_frequency(V.tokens_of(split.test)), model))
+    model = bayes.train(K.marked_tokens(split.train))
+    found = bayes.predict(bayes.log_scores(V.counted(split.test), model))
     return bayes.with_labels(bayes.with_empty(found, split.test, model), split.test)
 
 
@@ -334,7 +352,7 @@ def class_metrics_quality(spark, sf_dir):
 @query
 def ml_evaluator(spark, sf_dir):
     """The evaluator's figures for the predictions of ``nb_predict``."""
-    rows = cut_lineage(
+    rows = stored(
         _source_predictions(spark, sf_dir).select(
             (F.col("label") - 1).cast("double").alias("label"),
             (F.col("prediction") - 1).cast("double").alias("prediction"),
@@ -401,8 +419,8 @@ def knn_dense_predict(spark, sf_dir):
 def ovr_score(spark, sf_dir):
     """Pages scored by the log-odds of their words in the documents of each language."""
     split = corpora.documents_and_pages(spark, sf_dir)
-    model = bayes.train(V.tokens_of(split.train))
-    values = term_frequency(V.tokens_of(split.test)).select("doc_id", "word", F.col("tf").alias("value"))
+    model = bayes.train(K.marked_tokens(split.train))
+    values = V.counted(split.test).select("doc_id", "word", F.col("tf").alias("value"))
     intercepts = model.classes.select("class_id", F.col("log_prior").alias("intercept"))
     scored = linear.predict(linear.margins(values, bayes.log_odds(model.counts), intercepts, "word"))
     return scored.select("doc_id", F.round("margin", 6).alias("margin"), "prediction")
@@ -415,12 +433,12 @@ def _hashed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Hashed TF-IDF of both corpora; the training features are materialised for the solvers."""
     split = corpora.documents_and_pages(spark, sf_dir)
     train, test = (
-        ml.labelled(K.clean_text(K.by_document(s))) for s in (split.train, split.test)
+        ml.labelled(K.clean_text(s)) for s in (split.train, split.test)
     )
     pipeline = ml.hashing_tfidf().fit(train)
     hashed = pipeline.transform(train).select("doc_id", "label", "features")
     # Solvers pass over the rows many times: few partitions of the advisory size, not one per core.
-    return cut_lineage(hashed.hint("rebalance")), pipeline.transform(test)
+    return stored(hashed.hint("rebalance")), pipeline.transform(test)
 
 
 def _predictions(rows: DataFrame) -> DataFrame:
@@ -444,24 +462,75 @@ def svm_ovr(spark, sf_dir):
 
 
 @query
-def hashed_totals(spark, sf_dir):
-    """The hashed counts of a message add up to its token count."""
-    _, test = _hashed(spark, sf_dir)
-    total = F.aggregate(vector_to_array("rawFeatures"), F.lit(0.0), lambda a, x: a + x)
-    return test.select("doc_id", total.cast("bigint").alias("n_tokens"))
+def hashed_counts(spark, sf_dir):
+    """Every word of a text counts in the bucket that Spark's own hash function names."""
+    pages = ml.labelled(K.clean_text(_by_page(spark, sf_dir)))
+    words = pages.select("doc_id", F.explode(T.newline_tokens(F.col("text"))).alias("word"))
+    bucket = F.pmod(ml.hashing_bucket(F.col("word")), F.lit(ml.BUCKETS))
+    wanted = words.groupBy("doc_id", bucket.alias("bucket")).agg(F.count("*").cast("double").alias("n"))
+    wanted = wanted.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("wanted"))
+    counted = ml.hashed_counts(pages).select("doc_id", ml.entries(F.col("rawFeatures")).alias("found"))
+    both = counted.join(wanted, "doc_id", "left")
+    none = F.array().cast("array<struct<bucket:int,n:double>>")
+    return both.select("doc_id", (F.col("found") == F.coalesce("wanted", none)).alias("agrees"))
+
+
+def _dictionary_vectors(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Word counts of both corpora as ML vectors over the dictionary of the documents."""
+    split = corpora.documents_and_pages(spark, sf_dir)
+    train, test = V.counted(split.train, "class_id"), V.counted(split.test, "class_id")
+    words = stored(feature_dictionary(train.select("word")))
+    size = words.agg(F.max("feature_id")).scalar()
+
+    def vectors(tf: DataFrame) -> DataFrame:
+        known = with_word_values(tf, words)
+        entry = F.struct("feature_id", F.col("cnt").cast("double").alias("weight"))
+        rows = known.groupBy("doc_id", "class_id").agg(F.array_sort(F.collect_list(entry)).alias("features"))
+        features = as_ml_vector(F.col("features"), size).alias("rawFeatures")
+        return stored(ml.labelled(rows.select("doc_id", "class_id", features)))
+
+    return vectors(train), vectors(test)
+
+
+@query
+def ml_idf_nb(spark, sf_dir):
+    """ML inverse document frequencies and ML Naive Bayes as one pipeline over dictionary vectors."""
+    train, test = _dictionary_vectors(spark, sf_dir)
+    found = ml.idf_naive_bayes().fit(train).transform(test)
+    return found.select("doc_id", "class_id", (F.col("prediction") + 1).cast("int").alias("prediction"))
+
+
+@query
+def svm_margins(spark, sf_dir):
+    """Margins of each class's SVM, trained on its binarised label, against those of its weights as a
+    table."""
+    train, test = _hashed(spark, sf_dir)
+    model = ml.one_vs_rest_svm().fit(train)
+    binary = linear.binarise(train.withColumn("label", F.col("label") + 1), 1)
+    first = ml.linear_svm().fit(binary)
+    weights, intercepts = ml.weight_table(spark, model.models)
+    values = test.select("doc_id", F.inline(ml.entries(F.col("features")))).withColumnsRenamed({"n": "value"})
+    margins = linear.margins(stored(values), weights, intercepts, "bucket").groupBy("doc_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("class_id", "margin"))), lambda m: m["margin"]).alias("wanted")
+    )
+    raw = model.transform(test).select("doc_id", vector_to_array("rawPrediction").alias("found"))
+    both = raw.join(margins, "doc_id", "left")
+    own = ml.same_weights(first, model.models[0])
+    near = F.forall(F.arrays_zip("found", "wanted"), lambda m: F.abs(m["found"] - m["wanted"]) < 1e-6)
+    return both.select("doc_id", (F.coalesce(near, F.col("wanted").isNull()) & F.lit(own)).alias("agrees"))
 
 
 def _words(messages: DataFrame) -> DataFrame:
-    return ml.labelled(K.clean_text(K.by_document(messages))).select(
+    return ml.labelled(K.clean_text(messages)).select(
         "doc_id", "label", T.newline_tokens(F.col("text")).alias("words")
     )
 
 
 def _word_vectors(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     split = corpora.documents_and_pages(spark, sf_dir)
-    train, test = cut_lineage(_words(split.train)), _words(split.test)
-    model = ml.word2vec(train).fit(train)
-    return cut_lineage(model.transform(train)), model.transform(test)
+    train, test = stored(_words(split.train)), _words(split.test)
+    model = ml.word2vec().fit(train)
+    return stored(model.transform(train)), model.transform(test)
 
 
 @query
@@ -474,6 +543,27 @@ def w2v_features(spark, sf_dir):
     return saved.select("doc_id", "label", F.size(values).alias("size"))
 
 
+@query
+def w2v_means(spark, sf_dir):
+    """A document vector is the mean of its word vectors, words the training never saw left out of
+    the sum; the zero vector for none."""
+    split = corpora.documents_and_pages(spark, sf_dir)
+    train, test = stored(_words(split.train)), stored(_words(split.test))
+    model = ml.word2vec(size=W2V_CHECKED).fit(train)
+    table = stored(model.getVectors().select("word", vector_to_array("vector").alias("vector")))
+    words = test.select("doc_id", F.explode("words").alias("word"))
+    known = with_word_values(stored(words), table)
+    sums = [F.sum(F.get("vector", F.lit(i))).alias(f"v{i}") for i in range(W2V_CHECKED)]
+    wanted = known.groupBy("doc_id").agg(*sums)
+    found = model.transform(test).select("doc_id", F.size("words").alias("n"), vector_to_array("features").alias("found"))
+    both = found.join(wanted, "doc_id", "left")
+    near = [
+        F.abs(F.get("found", F.lit(i)) - F.coalesce(F.try_divide(f"v{i}", "n"), F.lit(0.0))) < 1e-4
+        for i in range(W2V_CHECKED)
+    ]
+    return both.select("doc_id", reduce(lambda a, b: a & b, near).alias("agrees"))
+
+
 @query
 def w2v_naive_bayes(spark, sf_dir):
     train, test = _word_vectors(spark, sf_dir)
@@ -492,16 +582,43 @@ def random_forest_w2v(spark, sf_dir):
     return _predictions(ml.random_forest().fit(train).transform(test))
 
 
+def _predicted_best(spark, sf_dir, vectors) -> DataFrame:
+    """Whether a forest's chances add up to 1 and its prediction is the likeliest class."""
+    train, test = vectors(spark, sf_dir)
+    found = ml.random_forest().fit(train).transform(test).select(
+        "doc_id", "prediction", vector_to_array("probability").alias("p")
+    )
+    total = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
+    best = F.get("p", F.col("prediction").cast("int")) == F.array_max("p")
+    return found.select("doc_id", ((F.abs(total - 1) < 1e-9) & best).alias("agrees"))
+
+
+@query
+def random_forest_chances(spark, sf_dir):
+    return _predicted_best(spark, sf_dir, _hashed)
+
+
 @query
 def feature_hasher(spark, sf_dir):
-    """Hashed columns of the documents. The number counts with its value, every text or flag
-    with 1, so a vector adds up to the number plus three."""
+    """Hashed columns of the documents. The number counts with its value at the bucket of its name,
+    a text or flag with 1 at the bucket of ``name=value``."""
     rows = corpora.table(spark, sf_dir, "documents").select(
         "doc_id", "n_chars", "lang", "source", (F.col("n_chars") > 1000).alias("long")
     )
-    hasher = ml.feature_hasher(["n_chars", "lang", "source", "long"], buckets=1024)
-    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
-    return hasher.transform(rows).select("doc_id", total.cast("bigint").alias("total"))
+    buckets = 1024
+    hasher = ml.feature_hasher(["n_chars", "lang", "source", "long"], buckets=buckets)
+    terms = F.array(
+        F.struct(F.lit("n_chars").alias("term"), F.col("n_chars").cast("double").alias("n")),
+        *[
+            F.struct(F.concat(F.lit(f"{c}="), F.col(c).cast("string")).alias("term"), F.lit(1.0).alias("n"))
+            for c in ("lang", "source", "long")
+        ],
+    )
+    bucket = F.pmod(ml.hashing_bucket(F.col("term")), F.lit(buckets)).alias("bucket")
+    wanted = rows.select("doc_id", F.inline(terms)).groupBy("doc_id", bucket).agg(F.sum("n").alias("n"))
+    wanted = wanted.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("wanted"))
+    found = hasher.transform(rows).select("doc_id", ml.entries(F.col("features")).alias("found"))
+    return found.join(wanted, "doc_id").select("doc_id", (F.col("found") == F.col("wanted")).alias("agrees"))
 
 
 # --- sources and sinks --------------------------------------------------------------------------------
@@ -528,6 +645,51 @@ def clean_token_round_trip(spark, sf_dir):
     return text_source.read_clean_token_table(spark, path).select("doc_id", "class_id", "pos", "word")
 
 
+def _mail(spark, sf_dir) -> DataFrame:
+    """(conv_id, turn, role, text) with the words of the system as empty messages."""
+    text = F.when(F.col("role") != "system", F.col("text")).otherwise("")
+    return corpora.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", text.alias("text"))
+
+
+@query
+def whole_file_scan(spark, sf_dir):
+    """Messages kept as ``<role>/<conv_id>-<turn>`` files, empty ones included."""
+    root = scratch_path(spark, "files")
+    name = F.concat_ws("-", "conv_id", "turn")
+    text_source.write_files(_mail(spark, sf_dir).select(F.concat_ws("/", "role", name).alias("path"), "text"), root)
+    return text_source.read_corpus(spark, root)
+
+
+@query
+def two_path_scan(spark, sf_dir):
+    """The lines of two folders in one scan."""
+    paths = [scratch_path(spark, "benchmark"), scratch_path(spark, "turns")]
+    for path, name in zip(paths, ("benchmark", "conversations")):
+        texts = corpora.table(spark, sf_dir, name).select(F.explode(T.lines(F.col("text"))))
+        text_source.write_lines(texts, path)
+    found = text_source.read_lines(spark, *paths).select("value")
+    return found.groupBy("value").agg(F.count("*").alias("n"))
+
+
+@query
+def clean_file_scan(spark, sf_dir):
+    """Cleaned messages kept as ``<conv_id>-a-<turn>`` files: ids repeat between the classes."""
+    root = scratch_path(spark, "clean-files")
+    name = P.clean_name(F.concat("conv_id", F.lit("-a")), F.col("turn"))
+    text_source.write_files(K.clean_text(_mail(spark, sf_dir)).select(name.alias("path"), "text"), root)
+    words = text_source.read_clean_tokens(spark, root)
+    return words.groupBy("doc_id", "document", "class_id", "word").agg(F.count("*").alias("n"))
+
+
+@query
+def overwrite_round_trip(spark, sf_dir):
+    """A table written over another one of the same path."""
+    path = scratch_path(spark, "overwritten")
+    tables.write_class_map(C.class_map(corpora.documents(spark, sf_dir, "lang")), path)
+    tables.write_class_map(C.class_map(corpora.documents(spark, sf_dir, "source")), path)
+    return tables.read_class_map(spark, path)
+
+
 @query
 def class_map_round_trip(spark, sf_dir):
     path = scratch_path(spark, "classes")
@@ -553,10 +715,9 @@ def table_round_trip(spark, sf_dir):
 @query
 def tfidf_round_trip(spark, sf_dir):
     path = scratch_path(spark, "tfidf")
-    tables.write_tfidf(V.corpus_tfidf(_by_lang(spark, sf_dir)), path)
-    return tables.read_tfidf(spark, path).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "class_id", "word", F.round("weight", 9).alias("weight")
-    )
+    weights = V.corpus_tfidf(_by_lang(spark, sf_dir))
+    tables.write_tfidf(weights.withColumn("doc_id", F.concat("doc_id", F.lit("-a:b-c"))), path)
+    return tables.read_tfidf(spark, path).select("doc_id", "class_id", "word", F.round("weight", 9).alias("weight"))
 
 
 @query
@@ -568,10 +729,11 @@ def bayes_counts_round_trip(spark, sf_dir):
 
 @query
 def predictions_round_trip(spark, sf_dir):
+    """Names with dashes and colons of their own: ``<doc_id>-a:b-c``."""
     path = scratch_path(spark, "predictions")
-    tables.write_predictions(nb_linear_underflow(spark, sf_dir), path)
-    found = tables.read_predictions(spark, path)
-    return found.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    named = nb_linear_underflow(spark, sf_dir).withColumn("doc_id", F.concat("doc_id", F.lit("-a:b-c")))
+    tables.write_predictions(named, path)
+    return tables.read_predictions(spark, path)
 
 
 @query
@@ -589,29 +751,21 @@ def libsvm_round_trip(spark, sf_dir):
     """Rows, non-zero weights and their sum per label of vectors kept in libsvm form."""
     path = scratch_path(spark, "libsvm")
     messages = _by_lang(spark, sf_dir)
-    words = V.lexicon(messages)
-    vectors = V.applied_vectors(messages, words, own_lexicon=True)
+    tf = V.counted(messages, "class_id")
+    words = stored(V.lexicon(messages, tf))
+    vectors = V.corpus_vectors(messages, tf, words)
     size = words.agg(F.max("feature_id").alias("n")).scalar()
     sparse.write_libsvm(
         vectors.select(F.col("class_id").cast("double").alias("label"), as_ml_vector(F.col("features"), size).alias("features")),
         path,
     )
-    rows = sparse.read_libsvm(spark, path)
-    per_label = rows.groupBy("label").agg(
-        F.count("*").alias("n"),
-        vector_to_array(Summarizer.numNonZeros(F.col("features"))).alias("_nonzero"),
-        vector_to_array(Summarizer.sum(F.col("features"))).alias("_sum"),
-    )
-
-    def total(c: str) -> Column:
-        return F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
-
-    return per_label.select(
-        F.col("label").cast("int").alias("label"),
-        "n",
-        total("_nonzero").cast("bigint").alias("n_weights"),
-        F.round(total("_sum"), 6).alias("weight_sum"),
+    # Spark's reader parses every line and checks its ids; the stored pairs are what the lines hold.
+    parsed = sparse.read_libsvm(spark, path).groupBy("label").agg(F.count("*").alias("n"))
+    pairs = sparse.read_sparse_lines(spark, path).select("label", F.inline("features")).filter("weight <> 0")
+    totals = pairs.groupBy("label").agg(
+        F.count("*").alias("n_weights"), F.round(F.sum("weight"), 6).alias("weight_sum")
     )
+    return parsed.withColumn("label", F.col("label").cast("int")).join(totals, "label")
 
 
 @query
@@ -619,9 +773,9 @@ def model_round_trip(spark, sf_dir):
     """Predictions of a saved and reloaded Naive Bayes model."""
     split = corpora.judged_and_other(spark, sf_dir, "source")
     path = scratch_path(spark, "bayes-model")
-    bayes.train(V.tokens_of(split.train)).save(path)
+    bayes.train(K.marked_tokens(split.train)).save(path)
     model = bayes.BayesModel.load(spark, path)
-    scores = bayes.log_scores(term_frequency(V.tokens_of(split.test)), model)
+    scores = bayes.log_scores(V.counted(split.test), model)
     return bayes.with_labels(bayes.predict(scores), split.test)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,39 +34,31 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan that arrives in fewer partitions than there are cores, spread over all of them.
-
-    For CPU-bound work on a few compact files; a scan of many files is left as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder of its own.
-    """
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or the configured warehouse where
+    that is unset."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not named:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="mailsift-")
-        sc.setCheckpointDir(named)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(named)
-    return named
+    return named or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark).rstrip('/')}/mailsift/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder. What is there is removed when the program ends."""
+    path = f"{shared_root(spark).rstrip('/')}/mailsift/{name}-{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def remove() -> None:
+        with contextlib.suppress(Exception):  # the gateway may have ended before
+            files.delete(hadoop_path, True)
+
+    atexit.register(remove)
+    return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably in the shared folder, so that later passes read the same rows
-    even after an executor is lost."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back. Its lineage is cut, so nothing is
+    computed again after an executor is lost, and each later pass reads the columns it needs."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

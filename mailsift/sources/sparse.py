@@ -20,7 +20,7 @@ def parse_line(line: Column) -> Column:
         ),
     )
     return F.struct(
-        F.get(parts, 0).cast("int").alias("label"), F.array_sort(features).alias("features")
+        F.get(parts, 0).cast("double").cast("int").alias("label"), F.array_sort(features).alias("features")
     )
 
 

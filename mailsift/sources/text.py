@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailsift.functions import paths as P
+from mailsift.session import shuffle_width
 
 
 def read_lines(spark: SparkSession, *paths: str, recursive: bool = False) -> DataFrame:
@@ -13,16 +18,30 @@ def read_lines(spark: SparkSession, *paths: str, recursive: bool = False) -> Dat
     return reader.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
-def read_files(spark: SparkSession, *paths: str, recursive: bool = True) -> DataFrame:
-    """(path, text): one row per whole file below the paths.
+def read_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, text): one row per whole file that the paths or patterns name, empty files included.
 
-    Spark's file sources list no files of length 0. Empty messages count towards the size of a
-    corpus, so a corpus that has any is better kept as a table.
+    Spark's file sources pass over files of length 0, which count as messages here; the whole-file
+    input of the RDD interface lists them.
     """
-    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
-    return reader.text(list(paths), wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
-    )
+    files = spark.sparkContext.wholeTextFiles(",".join(paths), shuffle_width(spark))
+    return spark.createDataFrame(files, "path string, text string")
+
+
+def write_files(rows: DataFrame, root: str) -> None:
+    """One file per (path, text) row below ``root``, which must not exist yet. A file that a lost task
+    has written is written again."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist()):
+                store.create_dir(f"{base}/{path}".rpartition("/")[0], recursive=True)
+                with store.open_output_stream(f"{base}/{path}", compression=None) as out:
+                    out.write((text or "").encode())
+            yield batch.select(["path"])
+
+    rows.select("path", "text").mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
 
 
 def read_corpus(spark: SparkSession, root: str) -> DataFrame:
@@ -30,7 +49,7 @@ def read_corpus(spark: SparkSession, root: str) -> DataFrame:
 
     File names repeat between classes, so the id is ``<class name>/<file>``.
     """
-    files = read_files(spark, root)
+    files = read_files(spark, f"{root}/*/*")
     path = F.col("path")
     return files.select(
         F.concat_ws("/", P.directory_name(path), P.file_name(path)).alias("doc_id"),
@@ -39,15 +58,16 @@ def read_corpus(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def read_clean_tokens(spark: SparkSession, *paths: str, class_at_end: bool = False) -> DataFrame:
-    """(doc_id, class_id, word) of cleaned messages kept as ``<document>-<class id>`` files with one
-    token per line. ``class_at_end`` takes the class id after the last dash instead of the first."""
+def read_clean_tokens(spark: SparkSession, *paths: str) -> DataFrame:
+    """(doc_id, document, class_id, word) of cleaned messages kept as ``<document>-<class id>`` files
+    with one token per line. ``doc_id`` is the whole file name, since documents of different classes
+    may have one name; the class is what follows its last dash."""
     name = P.file_name(F.col("path"))
-    class_id = P.class_at_end_of(name) if class_at_end else P.class_of(name)
     words = F.explode(F.filter(F.split("value", "[ \t\n\r\f]+"), lambda w: w != ""))
     return read_lines(spark, *paths, recursive=True).select(
-        P.document_of(name).alias("doc_id"),
-        class_id.try_cast("int").alias("class_id"),
+        name.alias("doc_id"),
+        P.document_before_class(name).alias("document"),
+        P.class_at_end_of(name).try_cast("int").alias("class_id"),
         words.alias("word"),
     )
 

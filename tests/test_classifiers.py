@@ -15,7 +15,8 @@ TEST = [(10, "cat car unknown"), (11, "bus bus"), (12, "nothing known")]
 
 def tokens(spark, rows, schema):
     df = spark.createDataFrame(rows, schema)
-    return df.withColumn("word", F.explode(F.split("text", " "))).drop("text")
+    words = df.select("*", F.posexplode(F.split("text", " ")).alias("at", "word"))
+    return words.withColumn("is_first", F.col("at") == 0).drop("text", "at")
 
 
 @pytest.fixture(scope="module")
@@ -86,6 +87,28 @@ def test_model_round_trip(spark, model, tf, rows_of, tmp_path):
     assert rows_of(bayes.log_scores(tf, again)) == rows_of(bayes.log_scores(tf, model))
 
 
+def test_many_classes(spark):
+    rows = [(c, f"w{c % 7}", True) for c in range(1, 1201)] + [(c, "all", False) for c in range(1, 1201)]
+    model = bayes.train(spark.createDataFrame(rows, "class_id int, word string, is_first boolean"))
+    assert model.classes.count() == 1200
+    tf = spark.createDataFrame([(1, "w3", 2), (1, "new", 1)], "doc_id bigint, word string, cnt bigint")
+    scores = bayes.log_scores(tf, model)
+    assert scores.count() == 1200
+    assert bayes.predict(scores).collect() == [(1, 3)]
+    weights = bayes.log_odds(model.counts)
+    intercepts = model.classes.select("class_id", F.col("log_prior").alias("intercept"))
+    values = tf.select("doc_id", "word", F.col("cnt").cast("double").alias("value"))
+    found = linear.predict(linear.margins(values, weights, intercepts, "word")).collect()
+    assert found[0].prediction in (0, 3)
+
+
+def test_close_scores_in_the_denormal_range_keep_their_order(spark):
+    scores = spark.createDataFrame(
+        [(1, 1, -744.05), (1, 2, -744.04)], "doc_id bigint, class_id int, score double"
+    )
+    assert bayes.predict_linear(scores).collect() == [(1, 2)]
+
+
 def test_metrics_with_classes_never_predicted(spark, rows_of):
     pairs = [(1, 1), (1, 2), (2, 2), (3, 2), (2, None)]
     predictions = spark.createDataFrame(pairs, "label int, prediction int")

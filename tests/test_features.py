@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailsift.operators import classes as C, dictionary as D, tfidf as TF, words as W
-from mailsift.operators.vectors import exploded, sparse_vectors, unmatched_features
+from mailsift.operators.vectors import sparse_vectors, unmatched_features
 from mailsift.plans import features as V
 
 
@@ -37,7 +37,6 @@ def test_vectors_and_rejects(spark, messages, rows_of):
     vectors = {r.doc_id: [f.feature_id for f in r.features] for r in sparse_vectors(weights, dictionary).collect()}
     assert vectors == {1: [2], 2: [1, 2], 3: [1]}
     assert {w for _, _, w, _ in rows_of(unmatched_features(weights, dictionary))} == {"pear", "fig"}
-    assert exploded(sparse_vectors(weights, dictionary)).count() == 4
 
 
 def test_applied_vectors_use_either_idf(spark, messages):
@@ -62,7 +61,7 @@ def test_word_join_equals_plain_join_whatever_is_hot(spark, rows_of, monkeypatch
     assert rows_of(W.with_word_values(rows, table, "df")) == plain
     assert rows_of(W.with_word_values(rows, table)) == plain
     rejects = rows_of(rows.join(table, "word", "left_anti").select("doc_id", "word"))
-    assert rejects and rows_of(W.without_word_values(rows, table, "df")) == rejects
+    assert rejects and rows_of(W.without_word_values(rows, table)) == rejects
     assert W.with_word_values(rows, table, "df", keep_unknown=True).count() == 3000
     rare = table.filter("word <> 'the'")  # the hottest word of the rows is not in the table
     assert rows_of(W.without_word_values(rows, rare)) == rows_of(
@@ -73,10 +72,18 @@ def test_word_join_equals_plain_join_whatever_is_hot(spark, rows_of, monkeypatch
     assert known.count() == 3000
 
 
-def test_bounded_fails_beyond_its_limit(spark):
-    assert W.bounded(spark.range(3), 3, "rows").count() == 3
-    with pytest.raises(Exception, match="more than 2 rows"):
-        W.bounded(spark.range(3), 2, "rows").collect()
+def test_words_of_any_form_and_an_absent_hot_word(spark, monkeypatch, rows_of):
+    monkeypatch.setattr(W, "HOT_WORDS", 4)
+    rows = spark.createDataFrame([(i, "hot") for i in range(20)] + [(50, "#0")], "doc_id bigint, word string")
+    table = spark.createDataFrame([(f"#{i}", i) for i in range(4)], "word string, df int")
+    assert rows_of(W.with_word_values(rows, table)) == [(50, "#0", 0)]
+    kept = W.with_word_values(rows, table, keep_unknown=True)
+    assert kept.count() == 21 and kept.filter("df is null").count() == 20
+
+
+def test_tfidf_splits_texts_once(spark, messages):
+    plan = V.corpus_tfidf(messages)._jdf.queryExecution().toString()
+    assert "regexp_extract_all" not in plan and "TakeOrdered" not in plan
 
 
 def test_class_map_and_lookup(spark, rows_of):
@@ -87,17 +94,14 @@ def test_class_map_and_lookup(spark, rows_of):
     assert rows_of(classes) == [(1, "B"), (2, "b")]
     other = spark.createDataFrame([(7, "unknown", "x")], "doc_id bigint, class_name string, text string")
     assert C.with_class_id(other, classes).collect()[0].class_id is None
-    tokens = V.tokens_of(C.with_class_id(messages, classes))
-    assert rows_of(C.class_doc_counts(tokens)) == [(1, 1), (2, 1)]
+    known = C.with_class_id(messages, classes)
+    assert rows_of(C.class_doc_counts(known, F.length("text"))) == [(1, 1), (2, 1)]
 
 
-def test_too_many_classes_fail(spark, monkeypatch):
-    monkeypatch.setattr(C, "MAX_CLASSES", 2)
-    rows = spark.createDataFrame([("a",), ("b",), ("c",)], "class_name string")
-    with pytest.raises(Exception, match="more than 2 classes"):
-        C.class_map(rows).collect()
-    with pytest.raises(ValueError, match="more than 2 classes"):
-        C.class_rows(rows.withColumn("class_id", F.lit(1)))
+def test_thousands_of_classes(spark):
+    rows = spark.range(5000).select(F.format_string("c%04d", "id").alias("class_name"))
+    found = C.class_map(rows.union(rows)).collect()
+    assert [(r.class_id, r.class_name) for r in sorted(found)] == [(i + 1, f"c{i:04d}") for i in range(5000)]
 
 
 def test_corpus_size_is_part_of_the_plan(messages):

@@ -7,7 +7,8 @@ from mailsift.sources import sparse, tables, text as text_source
 
 @pytest.fixture
 def corpus(tmp_path):
-    for name, text in {"alt.atheism/49960": "Hello\nworld\n", "sci.space/1-2": "Up\r\n\n"}.items():
+    files = {"alt.atheism/49960": "Hello\nworld\n", "sci.space/1-2": "Up\r\n\n", "sci.space/empty": ""}
+    for name, text in files.items():
         path = tmp_path / "corpus" / name
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_text(text, newline="")
@@ -18,6 +19,7 @@ def test_corpus_of_class_directories(spark, corpus, rows_of):
     assert rows_of(text_source.read_corpus(spark, corpus)) == [
         ("alt.atheism/49960", "alt.atheism", "Hello\nworld\n"),
         ("sci.space/1-2", "sci.space", "Up\r\n\n"),
+        ("sci.space/empty", "sci.space", ""),
     ]
 
 
@@ -29,10 +31,11 @@ def test_lines_of_several_paths(spark, corpus):
 def test_clean_token_files(spark, tmp_path, rows_of):
     (tmp_path / "9-8-7").write_text("one\ntwo\n")
     (tmp_path / "5-4").write_text(" three \n")
-    first = text_source.read_clean_tokens(spark, str(tmp_path))
-    assert rows_of(first) == [("5", 4, "three"), ("9", 8, "one"), ("9", 8, "two")]
-    last = text_source.read_clean_tokens(spark, str(tmp_path), class_at_end=True)
-    assert rows_of(last, "class_id", "word") == [(4, "three"), (7, "one"), (7, "two")]
+    (tmp_path / "5-3").write_text("four")
+    found = text_source.read_clean_tokens(spark, str(tmp_path))
+    assert rows_of(found) == [
+        ("5-3", "5", 3, "four"), ("5-4", "5", 4, "three"), ("9-8-7", "9-8", 7, "one"), ("9-8-7", "9-8", 7, "two"),
+    ]
 
 
 def test_stop_words(spark, tmp_path, rows_of):
@@ -61,6 +64,16 @@ def test_prediction_lines(spark, tmp_path, rows_of):
     assert tables.read_predictions(spark, path).orderBy("doc_id").collect() == rows.collect()
 
 
+def test_names_with_dashes_and_colons(spark, tmp_path, rows_of):
+    names = ["comp.os.ms-windows.misc/9994", "my-file", "a:b-c:d-"]
+    predictions = spark.createDataFrame([(n, 3, 2) for n in names], "doc_id string, label int, prediction int")
+    tables.write_predictions(predictions, str(tmp_path / "p"))
+    assert rows_of(tables.read_predictions(spark, str(tmp_path / "p"))) == rows_of(predictions)
+    weights = spark.createDataFrame([(n, 3, "word", 0.5) for n in names], "doc_id string, class_id int, word string, weight double")
+    tables.write_tfidf(weights, str(tmp_path / "w"))
+    assert rows_of(tables.read_tfidf(spark, str(tmp_path / "w"))) == rows_of(weights)
+
+
 def test_sparse_line_with_unsorted_ids(spark, tmp_path):
     (tmp_path / "lines").write_text("9 3620:0.2 963:0.26 439:0.156\n4\n")
     rows = sparse.read_sparse_lines(spark, str(tmp_path / "lines")).orderBy("label").collect()
