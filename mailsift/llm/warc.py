@@ -22,6 +22,8 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -35,10 +37,14 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 REVISIT_BYTES = 1000
 FILE_BYTES = 64 << 20
+# Shards have about this many rows; beyond MAX_SHARDS of them they get larger instead.
 SHARD_ROWS = 4_096
+MAX_SHARDS = 16_384
 # Page ids are counted in ranges of this length to find the shards.
 ID_RANGE = 1_024
 SALTS = 32
+# Where the page without an id is put.
+NO_PAGE = -(1 << 62)
 LEVEL = 3
 # No capture time is known, and a clock would make every run write other bytes.
 CAPTURED = "1970-01-01T00:00:00Z"
@@ -59,32 +65,42 @@ def _identified(pages: DataFrame) -> DataFrame:
     )
 
 
-def record_plan(rows: DataFrame, revisit_bytes: int, shard_rows: int) -> DataFrame:
-    """(page_id, payload_digest, shard, refers_to), one row per distinct (page_id, payload).
+def _digests(rows: DataFrame) -> DataFrame:
+    """(page_id, payload_digest, payload_bytes, rows), one row per distinct page and payload."""
+    keys = ("page_id", "payload_digest", "payload_bytes")
+    return written(rows.groupBy(*keys).agg(F.count("*").alias("rows")), "warc-ids")
 
-    Only ids and digests move. The copies of one payload are dealt over ``SALTS`` keys.
+
+def revisits(digests: DataFrame, least_bytes: int) -> DataFrame:
+    """(page_id, payload_digest, refers_to) of the pages that repeat the payload of another one.
+
+    Only ids and digests move, and the copies of one payload are dealt over ``SALTS`` keys.
     """
-    narrow = rows.groupBy("page_id", "payload_digest", "payload_bytes").agg(F.count("*").alias("_rows"))
-    narrow = written(narrow, "warc-ids")
     shared = (
-        narrow.filter(F.col("payload_bytes") >= revisit_bytes)
+        digests.filter(F.col("payload_bytes") >= least_bytes)
         .groupBy("payload_digest", "payload_bytes")
-        .agg(F.max("page_id").alias("_kept"), F.count("*").alias("_n"))
-        .filter(F.col("_n") > 1)
+        .agg(F.max("page_id").alias("refers_to"), F.count("*").alias("_n"))
+        .filter((F.col("_n") > 1) & F.col("refers_to").isNotNull())
     )
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    shared = shared.select("payload_digest", "payload_bytes", "_kept", salts)
-    salted = narrow.withColumn("_salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    typed = salted.join(shared, ["payload_digest", "payload_bytes", "_salt"], "left")
-    refers = F.when(~F.col("page_id").eqNullSafe(F.col("_kept")), F.col("_kept"))
-    first = F.floor(F.coalesce("page_id", F.lit(-1)) / ID_RANGE)
-    typed = typed.select("page_id", "payload_digest", "_rows", refers.alias("refers_to"), first.alias("_range"))
-    counts = typed.groupBy("_range").agg(F.sum("_rows").alias("_n"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shard = F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / shard_rows)
-    return typed.join(counts.select("_range", shard.alias("shard")), "_range").select(
-        "page_id", "payload_digest", "shard", "refers_to"
-    )
+    shared = shared.select("payload_digest", "payload_bytes", "refers_to", salts)
+    salted = digests.withColumn("_salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    found = salted.join(shared, ["payload_digest", "payload_bytes", "_salt"])
+    found = found.filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
+    return found.select("page_id", "payload_digest", "refers_to")
+
+
+def shard_starts(digests: DataFrame, shard_rows: int) -> np.ndarray:
+    """The least page id of each shard but the first: at most ``MAX_SHARDS`` numbers. Rows are counted
+    in short ranges of ids, which follow each other into shards. Null ids come first."""
+    first = F.floor(F.coalesce("page_id", F.lit(NO_PAGE)) / ID_RANGE).cast("long")
+    counts = digests.groupBy(first.alias("range")).agg(F.sum("rows").alias("n"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("n").over(Window.partitionBy())
+    size = F.greatest(F.lit(shard_rows), F.ceil(total / MAX_SHARDS))
+    shard = F.floor(F.coalesce(F.sum("n").over(earlier), F.lit(0)) / size)
+    starts = counts.select("range", shard.alias("shard")).groupBy("shard").agg(F.min("range").alias("range"))
+    return np.array(sorted(r["range"] * ID_RANGE for r in starts.collect())[1:], np.int64)
 
 
 def _digest(data: bytes) -> str:
@@ -123,8 +139,9 @@ def _record(row: dict) -> bytes:
     return f"{VERSION}\r\n{head}\r\n".encode() + block + b"\r\n\r\n"
 
 
-def _writer(root: str, file_bytes: int, level: int):
-    """A task that writes rows sorted by shard and yields a manifest row per file."""
+def _writer(root: str, revisit_bytes: int, file_bytes: int, level: int):
+    """A task that writes rows sorted by shard and yields a manifest row per file. A row without
+    payload says that the rows of the same page and digest, which follow it, are revisits."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(root)
@@ -141,8 +158,17 @@ def _writer(root: str, file_bytes: int, level: int):
                 "temporary": temporary, "records": records, "bytes": size, "sha1": digest.hexdigest(),
             })
 
+        repeated, refers_to, before = None, None, None
         for batch in batches:
             for row in batch.to_pylist():
+                same = (row["page_id"], row["payload_digest"])
+                if row["payload"] is None:
+                    repeated, refers_to = same, row["refers_to"]
+                    continue
+                row["refers_to"] = refers_to if same == repeated else None
+                if same == before and row["payload_bytes"] >= revisit_bytes and row["refers_to"] is None:
+                    row["refers_to"] = row["page_id"]
+                before = same
                 if out is not None and (row["shard"] != shard or size >= file_bytes):
                     close()
                     file = file + 1 if row["shard"] == shard else 0
@@ -207,24 +233,33 @@ def write_archives(
     the table ``root/manifest``.
 
     Null html is an empty payload, null urls leave their header out, a null ``page_id`` is written as
-    such. A repeated row repeats its record. Other columns are ignored.
+    such and never referred to. Of repeated rows the first one is the response. Other columns are
+    ignored.
     """
     spark = pages.sparkSession
     rows = _identified(pages)
-    plan = record_plan(rows.drop("payload", "url"), revisit_bytes, shard_rows).withColumnRenamed(
-        "payload_digest", "_digest"
-    ).withColumnRenamed("page_id", "_page")
-    planned = rows.join(
-        plan, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("payload_digest") == F.col("_digest"))
-    ).select(
-        "page_id", "url", "payload_bytes", "payload_digest", "shard", "refers_to",
-        F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload"),
+    digests = _digests(rows.select("page_id", "payload_digest", "payload_bytes"))
+    starts = shard_starts(digests, shard_rows)
+
+    @F.pandas_udf("int")
+    def shard_of(page: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(starts, page.to_numpy(np.int64), side="right").astype(np.int32))
+
+    leading = revisits(digests, revisit_bytes).select(
+        "page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"),
+        F.lit(0).cast("long").alias("payload_bytes"), "payload_digest", "refers_to",
     )
+    everything = rows.withColumn("refers_to", F.lit(None).cast("long")).unionByName(leading)
+    page = F.coalesce(F.col("page_id").cast("long"), F.lit(NO_PAGE))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = planned.repartition(width, "shard").sortWithinPartitions(
-        "shard", "page_id", "payload_digest", "url"
+    sorted_rows = (
+        everything.withColumn("shard", shard_of(page))
+        .repartition(width, "shard")
+        .withColumn("_content", F.col("payload").isNotNull())
+        .sortWithinPartitions("shard", "page_id", "payload_digest", "_content", "url")
+        .drop("_content")
     )
-    manifest = written(sorted_rows.mapInArrow(_writer(root, file_bytes, level), MANIFEST), "warc-files")
+    manifest = written(sorted_rows.mapInArrow(_writer(root, revisit_bytes, file_bytes, level), MANIFEST), "warc-files")
     committed = manifest.mapInArrow(_commit(root), MANIFEST).drop("temporary")
     committed.write.mode("overwrite").parquet(f"{root}/manifest")
     return spark.read.parquet(f"{root}/manifest")
