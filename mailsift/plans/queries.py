@@ -379,12 +379,7 @@ def _sparse_neighbours(spark, sf_dir) -> DataFrame:
 
 def _dense_neighbours(spark, sf_dir) -> DataFrame:
     rows = corpora.table(spark, sf_dir, "embeddings").select(
-        "vec_id",
-        "label",
-        F.transform(
-            "embedding",
-            lambda x, i: F.struct((i + 1).alias("feature_id"), x.cast("double").alias("weight")),
-        ).alias("features"),
+        "vec_id", "label", F.col("embedding").cast("array<double>").alias("features")
     )
     judged = corpora.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("vec_id"))
     train = rows.join(judged, "vec_id", "left_semi").withColumnRenamed("vec_id", "train_id")

@@ -154,11 +154,11 @@ def test_nearest_equals_brute_force(spark, monkeypatch, signed, dense, k):
     rng = random.Random(7)
     test = [(i, f) for i, f in enumerate(random_rows(rng, 40, signed, dense))]
     train = [(i, rng.randint(1, 4), f) for i, f in enumerate(random_rows(rng, 120, signed, dense))]
-    found = knn.nearest(
-        spark.createDataFrame(test, f"query_id bigint, features {FEATURES_TYPE}"),
-        spark.createDataFrame(train, f"train_id bigint, label int, features {FEATURES_TYPE}"),
-        k=k, non_negative=not signed, dense=dense,
-    )
+    queries = spark.createDataFrame(test, f"query_id bigint, features {FEATURES_TYPE}")
+    points = spark.createDataFrame(train, f"train_id bigint, label int, features {FEATURES_TYPE}")
+    if dense:
+        queries, points = (rows.withColumn("features", F.col("features.weight")) for rows in (queries, points))
+    found = knn.nearest(queries, points, k=k, non_negative=not signed, dense=dense)
     rows = sorted(tuple(r) for r in found.select("query_id", "rank", "train_id", "label", "distance").collect())
     expected = brute_force(test, train, k)
     assert len(rows) == len(expected) == len(test) * min(k, len(train))
@@ -188,31 +188,37 @@ def test_vote(spark, labels, expected):
     assert knn.vote(neighbours).collect()[0].prediction == expected
 
 
-def test_vote_equals_a_running_count(spark):
+def test_vote_follows_its_rule(spark):
+    """The highest count wins; among labels that have it, the one whose last vote comes first; below
+    two votes there is none."""
     rng = random.Random(3)
     lists = [[rng.randint(1, 4) for _ in range(rng.randint(1, 9))] for _ in range(400)]
 
-    def running(labels):
-        counts, best, top = {}, 0, 1
-        for label in labels:
-            counts[label] = counts.get(label, 0) + 1
-            if counts[label] > top:
-                best, top = label, counts[label]
-        return best
+    def winner(labels):
+        most = max(labels.count(x) for x in labels)
+        last = {x: max(i for i, y in enumerate(labels) if y == x) for x in labels if labels.count(x) == most}
+        return min(last, key=last.get) if most > 1 else 0
 
     rows = [(q, i, label) for q, labels in enumerate(lists) for i, label in enumerate(labels)]
     found = knn.vote(spark.createDataFrame(rows, "query_id bigint, train_id bigint, label int"))
-    assert dict(found.collect()) == {q: running(labels) for q, labels in enumerate(lists)}
+    assert dict(found.collect()) == {q: winner(labels) for q, labels in enumerate(lists)}
 
 
 @pytest.mark.parametrize(
     "a, b",
     [([(1, 1.0), (2, 1.0), (3, 1.0)], [(1, 2.0), (2, 2.0), (3, 2.0)]), ([(1, 1.0), (2, 1.0), (3, 1.0)], [(1, 1.0), (4, 1.0)])],
 )
-def test_distance_of_two_columns(spark, a, b):
-    df = spark.createDataFrame([(a, b)], f"a {FEATURES_TYPE}, b {FEATURES_TYPE}")
-    squared = df.select(knn.squared_distance(F.col("a"), F.col("b"))).collect()[0][0]
-    assert math.sqrt(squared) == pytest.approx(math.sqrt(3), abs=1e-5)
+def test_distance_of_two_vectors(spark, a, b):
+    queries = spark.createDataFrame([(1, a)], f"query_id bigint, features {FEATURES_TYPE}")
+    points = spark.createDataFrame([(1, 1, b)], f"train_id bigint, label int, features {FEATURES_TYPE}")
+    assert knn.nearest(queries, points, k=1).collect()[0].distance == pytest.approx(math.sqrt(3), abs=1e-5)
+
+
+def test_dense_rows_of_other_lengths_are_named(spark):
+    queries = spark.createDataFrame([(7, [1.0])], "query_id bigint, features array<double>")
+    points = spark.createDataFrame([(1, 1, [1.0, 2.0])], "train_id bigint, label int, features array<double>")
+    with pytest.raises(Exception, match="query_id 7"):
+        knn.nearest(queries, points, k=1, dense=True).collect()
 
 
 # --- linear models --------------------------------------------------------------------------------
