@@ -28,20 +28,21 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailsift.llm.common import written
+from mailsift.session import stored
+
 
 DEPTH = 5
 FOLDS = 7
 HELD_OUT = 2
 # Rows of the model (strings, nodes) in one block.
-BLOCK_STRINGS = 1 << 22
-BLOCK_NODES = 1 << 24
+BLOCK_STRINGS = 1 << 21
+BLOCK_NODES = 1 << 22
 # Tokens whose counts every task knows; the others are looked up in a join.
-COMMON_TOKENS = 1 << 20
+COMMON_TOKENS = 1 << 19
 # Bytes of text handled at a time.
-SLICE = 2 << 20
+SLICE = 1 << 20
 # Distinct strings a task holds before it passes its counts on.
-HELD = 1 << 21
+HELD = 1 << 20
 
 END = b"\n"
 LN10 = math.log(10.0)
@@ -78,7 +79,11 @@ def stream_of(words: list[bytes]) -> bytes:
     return b" ".join(words) + b" " + END if words else END
 
 
-def _slices(texts: list[bytes]) -> Iterator[tuple[int, list[list[bytes]], list[bytes]]]:
+def _texts(column: pa.Array) -> Iterator[bytes]:
+    return (value.as_py() for value in column)
+
+
+def _slices(texts: Iterator[bytes]) -> Iterator[tuple[int, list[list[bytes]], list[bytes]]]:
     """(first text, words of each, streams) of consecutive texts with about SLICE bytes."""
     first, size, words = 0, 0, []
     for i, text in enumerate(texts):
@@ -120,12 +125,13 @@ class _Counts:
         self.keys.append(keys)
         self.n.append(n)
         self.size += len(keys)
-        if self.size > 2 * HELD:
+        if self.size > HELD + HELD // 2:
             self.merge()
 
     def merge(self) -> None:
-        keys, where = np.unique(np.concatenate(self.keys), return_inverse=True)
-        n = np.bincount(where, weights=np.concatenate(self.n).astype(float)).astype(np.int64)
+        keys, n = np.concatenate(self.keys), np.concatenate(self.n)
+        order = np.argsort(keys)
+        keys, n = _grouped(keys[order], n[order])
         self.keys, self.n, self.size = [keys], [n], len(keys)
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +170,7 @@ def counts(documents: DataFrame) -> DataFrame:
                         )
 
         for batch in batches:
-            for _, words, streams in _slices([t or b"" for t in batch.column("data").to_pylist()]):
+            for _, words, streams in _slices(_texts(batch.column("data"))):
                 keys, codes, _ = _coded(words)
                 kinds[0].add(
                     np.append(keys, END_KEY), np.append(np.bincount(codes, minlength=len(keys)), len(words))
@@ -256,6 +262,9 @@ def _level(strings: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _grouped(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over equal neighbours."""
+    if not len(keys):
+        return keys, n
     start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     return keys[start], np.add.reduceat(n, start)
 
@@ -358,7 +367,7 @@ def model_table(strings: DataFrame) -> DataFrame:
     upper = [b for d, level in ((0, zero), (1, one)) for b in _rows(2, node_key(d, level.key), level.bit, None)]
     if upper:
         table = table.union(spark.createDataFrame(pa.Table.from_batches(upper)).select(*table.columns))
-    return written(table, "ctw-model")
+    return stored(table, "ctw-model")
 
 
 def spread_of(last_three: np.ndarray) -> np.ndarray:
@@ -396,36 +405,31 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass
 class Block:
-    """A part of the model: strings in an open hash table, nodes in rising order of key."""
+    """A part of the model: strings and nodes in rising order of key, the strings found by an open
+    hash table of their places."""
 
     part: int
     parts: int
-    slots: np.ndarray
+    strings: np.ndarray
     values: np.ndarray
-    probes: int
     nodes: np.ndarray
     chances: np.ndarray
 
-    @classmethod
-    def of(cls, part: int, parts: int, strings, values, nodes, chances) -> Block:
-        size = 1 << max(10, int(len(strings) * 2 - 1).bit_length())
-        slots, kept = np.full(size, -1, np.int64), np.zeros(size, np.float32)
-        left, probes = np.arange(len(strings)), 0
+    def __post_init__(self) -> None:
+        size = 1 << max(10, int(len(self.strings) * 2 - 1).bit_length())
+        self.slots = np.full(size, -1, np.int32)
+        left, self.probes = np.arange(len(self.strings), dtype=np.int32), 0
         while len(left):
-            at = cls.home(strings[left], size, probes)
-            free = slots[at] == -1
-            slots[at[free]] = strings[left[free]]
-            kept[at[free]] = values[left[free]]
-            placed = slots[at] == strings[left]
-            kept[at[placed]] = values[left[placed]]
-            left, probes = left[~placed], probes + 1
-        order = np.argsort(nodes)
-        return cls(part, parts, slots, kept, max(probes, 1), nodes[order], chances[order])
-
-    @staticmethod
-    def home(strings: np.ndarray, size: int, probe: int) -> np.ndarray:
-        mixed = strings.astype(np.uint64) * MULTIPLIER
-        return ((mixed >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64) + probe) & (size - 1)
+            at = self.home(self.strings[left], self.probes)
+            free = self.slots[at] < 0
+            self.slots[at[free]] = left[free]
+            left = left[self.slots[at] != left]
+            self.probes += 1
+
+    def home(self, strings: np.ndarray, probe: int) -> np.ndarray:
+        mixed = strings.view(np.uint64) * MULTIPLIER
+        mixed >>= np.uint64(64 - len(self.slots).bit_length() + 1)
+        return (mixed.view(np.int64) + probe) & (len(self.slots) - 1)
 
     def logs(self, strings: np.ndarray) -> np.ndarray:
         """ln probability of the last byte of each string; 0 for strings of other blocks."""
@@ -440,11 +444,11 @@ class Block:
         found = np.full(len(strings), np.nan)
         left = np.arange(len(strings))
         for probe in range(self.probes):
-            at = self.home(strings[left], len(self.slots), probe)
-            there = self.slots[at]
-            hit = there == strings[left]
-            found[left[hit]] = self.values[at[hit]]
-            left = left[~hit & (there != -1)]
+            there = self.slots[self.home(strings[left], probe)]
+            left, there = left[there >= 0], there[there >= 0]
+            hit = self.strings[there] == strings[left]
+            found[left[hit]] = self.values[there[hit]]
+            left = left[~hit]
             if not len(left):
                 break
         unseen = np.flatnonzero(np.isnan(found))
@@ -491,12 +495,15 @@ def block_count(table: DataFrame) -> int:
 
 
 def load_block(table: DataFrame, part: int, parts: int) -> tuple:
-    """The arrays of one block, of a size that ``block_count`` has checked."""
+    """The fields of one block, of a size that ``block_count`` has checked."""
     own = F.col("spread").isNull() | (F.col("spread") % parts == part)
-    rows = table.filter(own).select("kind", "key", "value").toArrow()
-    kind, key, value = (rows.column(c).to_numpy() for c in ("kind", "key", "value"))
-    block = Block.of(part, parts, key[kind == 1], value[kind == 1], key[kind == 2], value[kind == 2])
-    return part, parts, block.slots, block.values, block.probes, block.nodes, block.chances
+    arrays = []
+    for kind in (1, 2):
+        rows = table.filter(own & (F.col("kind") == kind)).select("key", "value").toArrow()
+        key, value = (rows.column(c).to_numpy() for c in ("key", "value"))
+        order = np.argsort(key)
+        arrays += [key[order], value[order]]
+    return part, parts, *arrays
 
 
 def common_tokens(tokens: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
@@ -523,7 +530,7 @@ def score(documents: DataFrame) -> DataFrame:
     probability 1/2 and the base score is 0. Repeated rows are scored, and learned from, each.
     """
     remainder = crc_remainder(F.col("doc_id"), FOLDS)
-    learned = written(counts(documents.filter(remainder != HELD_OUT)), "ctw-counts")
+    learned = stored(counts(documents.filter(remainder != HELD_OUT)), "ctw-counts")
     tokens = learned.filter(F.col("kind") == 0).select("key", "n")
     total = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     table = model_table(learned.filter(F.col("kind") == 1))
@@ -536,15 +543,14 @@ def score(documents: DataFrame) -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, (keys, logs) = Block(*model.value), known.value
         for batch in batches:
-            texts = [t or b"" for t in batch.column("data").to_pylist()]
-            for first, words, streams in _slices(texts):
+            for first, words, streams in _slices(_texts(batch.column("data"))):
                 yield _scored_slice(batch.slice(first, len(words)), words, streams, block, keys, logs)
 
     rows = documents.select(
         "doc_id", (remainder == HELD_OUT).alias("held_out"), F.xxhash64(text_bytes()).alias("text_key"), text_bytes().alias("data")
     )
     kind = documents.schema["doc_id"].dataType.simpleString()
-    first = written(
+    first = stored(
         rows.mapInArrow(
             scored,
             f"doc_id {kind}, held_out boolean, text_key long, n_tokens long, n_bytes long, n_common long, "
@@ -584,8 +590,7 @@ def _block_scores(documents: DataFrame, table: DataFrame, part: int, parts: int)
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block(*model.value)
         for batch in batches:
-            texts = [t or b"" for t in batch.column("data").to_pylist()]
-            for first, words, streams in _slices(texts):
+            for first, words, streams in _slices(_texts(batch.column("data"))):
                 here = batch.slice(first, len(words))
                 yield pa.RecordBatch.from_arrays(
                     [here.column(0), here.column(1), pa.array(_model_scores(streams, block))],
@@ -595,7 +600,7 @@ def _block_scores(documents: DataFrame, table: DataFrame, part: int, parts: int)
     rows = documents.select("doc_id", F.xxhash64(text_bytes()).alias("text_key"), text_bytes().alias("data"))
     kind = documents.schema["doc_id"].dataType.simpleString()
     added = rows.mapInArrow(scored, f"_id{part} {kind}, _key{part} long, _score{part} double")
-    return written(added.dropDuplicates([f"_id{part}", f"_key{part}"]), "ctw-block")
+    return stored(added.dropDuplicates([f"_id{part}", f"_key{part}"]), "ctw-block")
 
 
 def _model_scores(streams: list[bytes], block: Block) -> np.ndarray:

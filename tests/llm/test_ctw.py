@@ -105,9 +105,9 @@ def test_a_byte_s_probabilities_sum_to_one():
         parent = np.searchsorted(levels[d - 1].key, levels[d].parents())
         a, b = levels[d - 1].handed_down()
         levels[d].descend(a[parent], b[parent])
-    nodes = np.concatenate([ctw.node_key(d, level.key) for d, level in levels.items()])
-    bits = np.concatenate([level.bit for level in levels.values()])
-    block = ctw.Block.of(0, 1, keys, ctw._string_logs(keys, levels[ctw.DEPTH]), nodes, bits)
+    nodes = np.concatenate([ctw.node_key(d, level.key) for d, level in sorted(levels.items())])
+    bits = np.concatenate([level.bit for _, level in sorted(levels.items())])
+    block = ctw.Block(0, 1, keys, ctw._string_logs(keys, levels[ctw.DEPTH]), nodes, bits)
     for context in (keys[0] >> 8, keys[-1] >> 8, 0x6162636162, 0x0102030405):
         strings = (np.int64(context) << 8) | np.arange(256)
         assert np.exp(block.logs(strings)).sum() == pytest.approx(1.0, abs=1e-4)
