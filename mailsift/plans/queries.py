@@ -29,6 +29,8 @@ from mailsift.sources import sparse, tables, text as text_source
 
 # Components of the word vectors that are compared one by one.
 W2V_CHECKED = 20
+# Iterations of the SVMs whose margins are compared: any weights will do.
+SVM_CHECKED = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -500,9 +502,9 @@ def svm_margins(spark, sf_dir):
     """Margins of each class's SVM, trained on its binarised label, against those of its weights as a
     table."""
     train, test = _hashed(spark, sf_dir)
-    model = ml.one_vs_rest_svm().fit(train)
+    model = ml.one_vs_rest_svm(SVM_CHECKED).fit(train)
     binary = linear.binarise(train.withColumn("label", F.col("label") + 1), 1)
-    first = ml.linear_svm().fit(binary)
+    first = ml.linear_svm(SVM_CHECKED).fit(binary)
     weights, intercepts = ml.weight_table(spark, model.models)
     values = test.select("doc_id", F.inline(ml.entries(F.col("features")))).withColumnsRenamed({"n": "value"})
     margins = linear.margins(stored(values), weights, intercepts, "bucket").groupBy("doc_id").agg(
