@@ -15,26 +15,28 @@ are first cut where equal strings are cut alike:
   suffix array is made by induced sorting, and permuted common prefixes of LENGTH or more mark the
   windows that start elsewhere.
 * An anchor with very many different stretches (the border of a passage that a large part of all
-  documents has) would be too much for a shard. Its windows are hashed and counted one by one.
+  documents has) would be too much for a shard. Ranges of its windows are hashed and counted instead,
+  and halved until they are all repeated or not.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from mailsift.llm.common import written
 from mailsift.llm.suffix_array import permuted_common_prefixes, suffix_array
+from mailsift.session import stored
 
 LENGTH = 200
 GRAM = 32
 FILTER_BITS = 26
-# Different stretches of one anchor beyond which windows are counted one by one.
+# Different stretches of one anchor beyond which ranges of windows are counted.
 HOT_STRETCHES = 2_048
 # Bytes of a shard's suffix array.
 SHARD_BYTES = 1 << 20
@@ -86,10 +88,11 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def stretches(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(first window, last window, anchor hash, content hash) of the stretches of one text."""
+    """(first window, last window, place of the anchor after the first window's start, anchor hash,
+    content hash) of the stretches of one text."""
     empty = np.zeros(0, np.int64)
     if len(data) < length:
-        return empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
     hashes = Hashes(data)
     grams = hashes.grams(gram)
     # The upper half decides, the place breaks ties in favour of the last.
@@ -99,10 +102,10 @@ def stretches(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple
     first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
     last = np.append(first[1:], len(anchor)) - 1
     at = anchor[first]
-    place = (at - first).astype(np.uint64)
+    place = at - first
     content = hashes.of(first, last + length)
-    content = _mixed(content + place * np.uint64(0xD1342543DE82EF95) + (last - first).astype(np.uint64))
-    return first, last, grams[at], content
+    content = _mixed(content + place.astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + (last - first).astype(np.uint64))
+    return first, last, place, grams[at], content
 
 
 def _signed(a: np.ndarray) -> np.ndarray:
@@ -110,34 +113,36 @@ def _signed(a: np.ndarray) -> np.ndarray:
 
 
 def stretch_table(documents: DataFrame, length: int) -> DataFrame:
-    """(doc_id, text_key, n_bytes, sha256, first, last, anchor, content): one row per document, the
+    """(doc_id, text_key, n_bytes, sha256, first, last, place, anchor, content): one row per document, the
     stretches as arrays."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: dict[str, list] = {"n_bytes": [], "sha256": [], "first": [], "last": [], "anchor": [], "content": []}
+            rows: dict[str, list] = {"n_bytes": [], "sha256": [], "first": [], "last": [], "place": [], "anchor": [],
+                                     "content": []}
             for value in batch.column("data"):
                 text = value.as_py()
-                first, last, anchor, content = stretches(np.frombuffer(text, np.uint8), length)
+                first, last, place, anchor, content = stretches(np.frombuffer(text, np.uint8), length)
                 rows["n_bytes"].append(len(text))
                 rows["sha256"].append(hashlib.sha256(text).hexdigest())
                 rows["first"].append(first.astype(np.int32))
                 rows["last"].append(last.astype(np.int32))
+                rows["place"].append(place.astype(np.int32))
                 rows["anchor"].append(_signed(anchor))
                 rows["content"].append(_signed(content))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(rows["n_bytes"], pa.int64()),
-                 pa.array(rows["sha256"]), *[pa.array(rows[c], pa.list_(pa.int32())) for c in ("first", "last")],
+                 pa.array(rows["sha256"]), *[pa.array(rows[c], pa.list_(pa.int32())) for c in ("first", "last", "place")],
                  *[pa.array(rows[c], pa.list_(pa.int64())) for c in ("anchor", "content")]],
                 names=["doc_id", "text_key", *rows],
             )
 
     schema = (
         f"doc_id {kind}, text_key long, n_bytes long, sha256 string, first array<int>, last array<int>, "
-        "anchor array<long>, content array<long>"
+        "place array<int>, anchor array<long>, content array<long>"
     )
-    return written(_keyed(documents).mapInArrow(read, schema), "stretches")
+    return stored(_keyed(documents).mapInArrow(read, schema), "stretches")
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -166,7 +171,7 @@ def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def occurrences(table: DataFrame) -> DataFrame:
-    """(doc_id, text_key, first, last, anchor, content) of the stretches whose anchor may be repeated."""
+    """(doc_id, text_key, first, last, place, anchor, content) of the stretches whose anchor may be repeated."""
     anchors = table.select(F.explode("anchor").alias("key"))
     repeated = anchors.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     bits = table.sparkSession.sparkContext.broadcast(_bit_filter(repeated))
@@ -174,7 +179,7 @@ def occurrences(table: DataFrame) -> DataFrame:
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = {c: batch.column(c).flatten() for c in ("first", "last", "anchor", "content")}
+            columns = {c: batch.column(c).flatten() for c in ("first", "last", "place", "anchor", "content")}
             rows = batch.column("anchor").value_lengths().to_numpy()
             good = np.flatnonzero(_passes(bits.value, columns["anchor"].to_numpy()))
             of = pa.array(np.repeat(np.arange(batch.num_rows), rows)[good])
@@ -184,16 +189,16 @@ def occurrences(table: DataFrame) -> DataFrame:
                 names=["doc_id", "text_key", *columns],
             )
 
-    schema = f"doc_id {kind}, text_key long, first int, last int, anchor long, content long"
-    columns = table.select("doc_id", "text_key", "first", "last", "anchor", "content")
-    return written(columns.mapInArrow(kept, schema), "stretch-occurrences")
+    schema = f"doc_id {kind}, text_key long, first int, last int, place int, anchor long, content long"
+    columns = table.select("doc_id", "text_key", "first", "last", "place", "anchor", "content")
+    return stored(columns.mapInArrow(kept, schema), "stretch-occurrences")
 
 
 def _texts_of(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``wanted`` stretches (doc_id, text_key, first, last, anchor, content, …) with their bytes."""
     carried = [c for c in wanted.columns if c not in ("doc_id", "text_key")]
     by_row = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct(*carried)).alias("wanted"))
-    by_row = written(by_row.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"}), "stretch-wanted")
+    by_row = stored(by_row.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"}), "stretch-wanted")
     bits = documents.sparkSession.sparkContext.broadcast(_bit_filter(by_row.select(F.col("_key").alias("key"))))
 
     @F.pandas_udf("boolean")
@@ -270,38 +275,83 @@ def shard_repeats(stretch_bytes: DataFrame, length: int) -> DataFrame:
 
 
 def hot_repeats(stretch_bytes: DataFrame, length: int) -> DataFrame:
-    """(doc_id, text_key, first, last) of repeated windows of anchors with very many stretches: each
-    window is a hash, counted like any word. No window's rows need to meet in one place."""
+    """(doc_id, text_key, first, last) of repeated windows of anchors with very many stretches.
+
+    Windows are told apart by how far the anchor is from their start. The distances of a stretch are
+    halved again and again. Two stretches can only share a window of a range of distances if the bytes
+    that all its windows have in common are equal, so a stretch alone with these bytes is done; and
+    where all bytes of the range are equal to those of another stretch, the whole range is repeated.
+    Both are counts of hashes, and a stretch has a few rows in each of eight rounds.
+    """
     kind = stretch_bytes.schema["doc_id"].dataType.simpleString()
+    columns = f"doc_id {kind}, text_key long, first int, last int, place int, anchor long, bytes binary"
+    span = F.col("last") - F.col("first")
+    # The distances that a stretch has: place - span to place.
+    state = stretch_bytes.select(
+        "doc_id", "text_key", "first", "last", "place", "anchor", "bytes",
+        F.lit(0).alias("low"), F.lit(length - GRAM).alias("high"),
+    )
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                data = np.frombuffer(batch.column("bytes")[i].as_py(), np.uint8)
-                windows = _signed(Hashes(data).grams(length))
-                many = len(windows)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array([i] * many, pa.int64())),
-                     batch.column("text_key").take(pa.array([i] * many, pa.int64())),
-                     pa.array(np.arange(many, dtype=np.int32) + batch.column("first")[i].as_py()),
-                     pa.array([batch.column("anchor")[i].as_py()] * many, pa.int64()), pa.array(windows)],
-                    names=["doc_id", "text_key", "first", "anchor", "window"],
-                )
-
-    schema = f"doc_id {kind}, text_key long, first int, anchor long, window long"
-    windows = written(stretch_bytes.mapInArrow(hashed, schema), "hot-windows")
-    repeated = windows.groupBy("anchor", "window").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    found = windows.join(repeated.drop("n"), ["anchor", "window"])
-    return found.select("doc_id", "text_key", "first", F.col("first").alias("last"))
+            core, whole = [], []
+            for row in batch.to_pylist():
+                hashes = Hashes(np.frombuffer(row["bytes"], np.uint8))
+                low = max(row["low"], row["place"] - row["last"] + row["first"])
+                high = min(row["high"], row["place"])
+                ranges = ((row["place"] - row["low"], row["place"] - row["high"]), (row["place"] - high, row["place"] - low))
+                first, last = (np.array(x) for x in zip(*ranges))
+                both = hashes.of(first, last + length)
+                core.append(both[0])
+                whole.append(_mixed(both[1:] + np.uint64(low << 16 | high))[0])
+            yield batch.append_column("core", pa.array(_signed(np.array(core, np.uint64)))).append_column(
+                "whole", pa.array(_signed(np.array(whole, np.uint64)))
+            )
+
+    found = []
+    while True:
+        rows = stored(state.mapInArrow(hashed, f"{columns}, low int, high int, core long, whole long"), "hot-ranges")
+        if rows.isEmpty():
+            break
+
+        def repeated(key: str, rows: DataFrame = rows) -> DataFrame:
+            one = F.min(F.struct("doc_id", "text_key", "first")).alias("one")
+            counts = rows.groupBy("anchor", "low", "high", key).agg(F.count("*").alias("n"), one)
+            return counts.filter(F.col("n") > 1).drop("n")
+
+        met = rows.join(repeated("core").drop("one"), ["anchor", "low", "high", "core"])
+        met = stored(met.join(repeated("whole"), ["anchor", "low", "high", "whole"], "left"), "hot-met")
+        done = F.col("one").isNotNull()
+        # One of equal rows goes on, for others to find its windows.
+        again = ~done | F.col("one").eqNullSafe(F.struct("doc_id", "text_key", "first"))
+        found.append(
+            met.filter(done).select(
+                "doc_id", "text_key",
+                (F.col("first") + F.col("place") - F.least("high", "place")).alias("first"),
+                (F.col("first") + F.col("place") - F.greatest("low", F.col("place") - span)).alias("last"),
+            )
+        )
+        middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+        halves = F.array(
+            F.struct(F.col("low").alias("low"), middle.alias("high")),
+            F.struct((middle + 1).alias("low"), F.col("high").alias("high")),
+        )
+        split = met.filter(again & (F.col("low") < F.col("high"))).select(
+            "doc_id", "text_key", "first", "last", "place", "anchor", "bytes", F.inline(halves)
+        )
+        # Halves in which the stretch has no window are left out.
+        state = split.filter((F.col("low") <= F.col("place")) & (F.col("high") >= F.col("place") - span))
+    none = stretch_bytes.filter(F.lit(False)).select("doc_id", "text_key", "first", "last")
+    return reduce(DataFrame.unionByName, found, none)
 
 
 def repeated_ranges(documents: DataFrame, table: DataFrame, length: int) -> DataFrame:
     """(doc_id, text_key, first, last): ranges of window starts whose string starts elsewhere too."""
     found = occurrences(table)
     kinds = found.groupBy("anchor", "content").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key", "first", "last")).alias("one")
+        F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key", "first", "last", "place")).alias("one")
     )
-    kinds = written(kinds, "stretch-kinds")
+    kinds = stored(kinds, "stretch-kinds")
     # Per anchor: different stretches, and how many of them occur once. Rows are one per kind, and an
     # anchor's kinds are added up before they move.
     anchors = kinds.groupBy("anchor").agg(
@@ -309,9 +359,9 @@ def repeated_ranges(documents: DataFrame, table: DataFrame, length: int) -> Data
     )
     contested = anchors.filter((F.col("n_kinds") > 1) & (F.col("n_single") > 0)).select("anchor", "n_kinds")
     wanted = kinds.join(contested, "anchor").select(
-        "one.doc_id", "one.text_key", "one.first", "one.last", "anchor", "content", "n", "n_kinds"
+        "one.doc_id", "one.text_key", "one.first", "one.last", "one.place", "anchor", "content", "n", "n_kinds"
     )
-    texts = written(_texts_of(documents, wanted, length), "stretch-texts")
+    texts = stored(_texts_of(documents, wanted, length), "stretch-texts")
     hot = F.col("n_kinds") > HOT_STRETCHES
     borders = shard_repeats(texts.filter(~hot).drop("n", "n_kinds"), length).unionByName(
         hot_repeats(texts.filter(hot), length)
@@ -333,7 +383,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     table = stretch_table(documents, length)
     ranges = repeated_ranges(documents, table, length)
     by_row = ranges.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
-    by_row = written(by_row.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"}), "repeat-ranges")
+    by_row = stored(by_row.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"}), "repeat-ranges")
     bits = documents.sparkSession.sparkContext.broadcast(_bit_filter(by_row.select(F.col("_key").alias("key"))))
     kind = documents.schema["doc_id"].dataType.simpleString()
 
