@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from mailsift.session import scratch_path
 
 # A word is a run of bytes other than space and the controls 0x09 to 0x0D.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -18,39 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _removed_at_exit(spark: SparkSession, path: str) -> None:
-    def remove() -> None:
-        try:
-            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-        except Exception:  # noqa: BLE001  the session may have ended before; nothing is left to do
-            pass
-
-    atexit.register(remove)
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back: its lineage is cut, and later passes
-    read the columns they need, from any executor. The table goes when the program ends."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    _removed_at_exit(spark, path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one, removed when the program ends."""
-    path = scratch_path(spark, name)
-    _removed_at_exit(spark, path)
-    return path
-
-
-def ascii_lower(text: Column) -> Column:
-    """A-Z in lower case, everything else as it is."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def word_count(text: Column) -> Column:
     """The number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

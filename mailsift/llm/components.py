@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from mailsift.llm.common import written
+from mailsift.session import stored
+
 
 MAX_ROUNDS = 60
 
@@ -20,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     Edges are written between rounds.
     """
     pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = written(pairs.filter(F.col("a") != F.col("b")).distinct(), "edges")
+    pairs = stored(pairs.filter(F.col("a") != F.col("b")).distinct(), "edges")
     state = None
     for _ in range(MAX_ROUNDS):
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -41,7 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
                 )
             ).alias("e")
         ).select("e.a", "e.b")
-        pairs = written(small.filter(F.col("a") != F.col("b")).distinct(), "edges")
+        pairs = stored(small.filter(F.col("a") != F.col("b")).distinct(), "edges")
         previous, state = state, pairs.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()

@@ -24,7 +24,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from mailsift.llm.common import written
+from mailsift.session import stored
+
 
 WINDOW = 8
 # A run of this many template tokens, or a whole shorter item, is a leak; so is this share of an item.
@@ -301,7 +302,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     the item's tokens in such runs. One row per (document row with its text, item id). Null and empty
     texts, and items of placeholders only, match nothing; repeated rows give one result.
     """
-    items = written(item_windows(benchmark), "benchmark-windows")
+    items = stored(item_windows(benchmark), "benchmark-windows")
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())
     found = document_windows(documents, sizes, _filter_of(items))
     salt = F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")

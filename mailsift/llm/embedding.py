@@ -21,8 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from mailsift.llm.common import written
 from mailsift.llm.components import components
+from mailsift.session import stored
 
 COSINE = 0.93
 BLOCK_ROWS = 1_024
@@ -138,7 +138,7 @@ def blocks_in_grid_order(vectors: DataFrame, width: int, directions: np.ndarray,
         + [("classes", pa.binary()), ("copies", pa.binary()), ("vectors", pa.binary())]
     )
     made = ordered.mapInArrow(cut, schema)
-    return written(made.withColumn("place", F.monotonically_increasing_id()), "grid-blocks")
+    return stored(made.withColumn("place", F.monotonically_increasing_id()), "grid-blocks")
 
 
 def close_pairs(boxes: DataFrame, count: int, eps: float) -> DataFrame:
@@ -178,7 +178,7 @@ def close_pairs(boxes: DataFrame, count: int, eps: float) -> DataFrame:
             F.lit(0.0),
         )
         pairs = parts.join(left, ["part", "a"]).join(right, ["part", "b"]).filter(gap <= (eps + SLACK) ** 2)
-        pairs = written(pairs.select("part", "a", "b"), "grid-pairs")
+        pairs = stored(pairs.select("part", "a", "b"), "grid-pairs")
     return pairs
 
 
@@ -245,7 +245,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     rows = rows.withColumn("part", F.when(F.col("label").isNotNull() & usable(F.col("embedding")), part))
     good = rows.filter(F.col("part").isNotNull())
     classes = good.groupBy("part", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
-    classes = written(classes.withColumn("class", F.monotonically_increasing_id()), "vector-classes")
+    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()), "vector-classes")
     alone = rows.filter(F.col("part").isNull()).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
         F.lit(True).alias("kept"),
@@ -259,7 +259,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     lows_highs = _boxes("lo", count) + _boxes("hi", count)
     boxes = blocks.select("part", "place", *lows_highs)
     in_part = Window.partitionBy("part").orderBy("place")
-    boxes = written(boxes.withColumn("block", F.row_number().over(in_part).cast("long") - 1), "grid-boxes")
+    boxes = stored(boxes.withColumn("block", F.row_number().over(in_part).cast("long") - 1), "grid-boxes")
     pairs = close_pairs(boxes, count, eps)
     numbered = boxes.select("part", "block", "place")
     content = blocks.select("place", "classes", "copies", "vectors").join(numbered, "place")
@@ -271,12 +271,12 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
         )
 
     joined = pairs.join(side("a"), ["part", "a"]).join(side("b"), ["part", "b"])
-    found = written(
+    found = stored(
         joined.mapInArrow(_compared(width, cosine), "class long, n long, root long"), "vector-links"
     )
     linked = found.groupBy("class").agg(F.sum("n").alias("n"))
     roots = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
-    roots = written(roots, "vector-components").withColumnRenamed("node", "class")
+    roots = stored(roots, "vector-components").withColumnRenamed("node", "class")
     named = (
         classes.join(linked, "class", "left")
         .join(roots.withColumnRenamed("component_id", "_root"), "class", "left")

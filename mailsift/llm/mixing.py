@@ -16,7 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from mailsift.llm.common import gapless_rank, word_count, written
+from mailsift.llm.common import gapless_rank, word_count
+from mailsift.session import stored
 
 CEILING = 2.0
 SHARE = 1.5
@@ -69,7 +70,7 @@ def solve(histogram: DataFrame) -> DataFrame:
     the words taken, which is a straight line in lambda when all documents have one size.
     """
     aim = F.col("target") / (CEILING * F.col("source_size"))
-    state = written(
+    state = stored(
         histogram.groupBy("source_no").agg(F.first(_odds(aim)).alias("lambda")).select(
             "source_no", "lambda", F.lit(-LIMIT).alias("low"), F.lit(LIMIT).alias("high"),
             F.lit(1.0).alias("miss"),
@@ -105,7 +106,7 @@ def solve(histogram: DataFrame) -> DataFrame:
             .when(inside, step)
             .otherwise(middle)
         )
-        state = written(
+        state = stored(
             taken.select("source_no", following.alias("lambda"), "low", "high", "miss"), "mixing-state"
         )
         worst = state.agg(F.max("miss")).first()[0]
@@ -118,7 +119,7 @@ def solve(histogram: DataFrame) -> DataFrame:
 def rates(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents as (doc_id, source, size), and one row per (source, size) with ``rate``, the words of
     the source, its target and where the running sum of rates starts."""
-    sized = written(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
+    sized = stored(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
     counts = sized.groupBy("source", "size").agg(F.count("*").alias("n"))
     sources = counts.groupBy("source").agg(
         F.sum(F.col("n") * F.col("size")).alias("source_size"),
@@ -130,7 +131,7 @@ def rates(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     filled = sources.select(F.col("source").alias("_of"), "_filled")
     named = named.join(filled, F.col("_source").eqNullSafe(F.col("_of")))
     mean = F.col("source_size") / F.greatest(F.col("_filled"), F.lit(1))
-    histogram = written(
+    histogram = stored(
         counts.join(named, F.col("source").eqNullSafe(F.col("_source"))).select(
             "source", "source_no", "size", "n", "source_size", "target",
             F.when(F.col("source_size") > 0, F.col("size") / mean).otherwise(0.0).alias("x"),
@@ -149,7 +150,7 @@ def rates(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     tilted = histogram.join(solved, "source_no", "left").withColumn("rate", rate)
     smaller = Window.partitionBy("source_no").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     running = F.coalesce(F.sum(F.col("n") * F.col("rate")).over(smaller), F.lit(0.0))
-    tilted = written(tilted.withColumn("_before", running), "mixing-rates")
+    tilted = stored(tilted.withColumn("_before", running), "mixing-rates")
     return sized, tilted.join(_offsets(tilted), "source_no").withColumn(
         "start", F.col("_before") + F.col("_offset")
     ).select("source", "size", "rate", "start", "source_size", "target")

@@ -17,7 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailsift.llm.common import written
+from mailsift.session import stored
+
 
 FEATURES = 256
 RIDGE = 1e-3
@@ -163,7 +164,7 @@ def fit(measured: DataFrame, labels: DataFrame) -> Model | None:
     rows = measured.join(known, F.col("doc_id") == F.col("_id")).withColumn(
         "fold", crc_remainder(F.col("doc_id"), FOLDS)
     )
-    rows = written(rows.filter(F.col("fold") != 0).select("doc_id", "fold", "x", "y"), "quality-training")
+    rows = stored(rows.filter(F.col("fold") != 0).select("doc_id", "fold", "x", "y"), "quality-training")
     fitted, calibrating = rows.filter(F.col("fold") != CALIBRATION), rows.filter(F.col("fold") == CALIBRATION)
     moments = fitted.agg(
         F.count("*").alias("n"),
@@ -223,7 +224,7 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     score. Labels that are null or of unknown documents are not used; a null ``doc_id`` has no label
     and is held out. Repeated rows get a row each, repeated labels count each time.
     """
-    measured = written(with_statistics(documents), "quality-statistics")
+    measured = stored(with_statistics(documents), "quality-statistics")
     rows = scored(measured, fit(measured, labels))
     return rows.select(
         "doc_id",

@@ -21,8 +21,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailsift.llm.common import WORD_BREAKS, written
+from mailsift.llm.common import WORD_BREAKS
 from mailsift.llm.components import components
+from mailsift.session import stored
 
 BITS = 64
 DISTANCE = 2
@@ -125,9 +126,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     0 and are linked like any other. Repeated rows get a row each; a null ``doc_id`` is never a
     component's name unless all of it are null.
     """
-    prints = written(with_fingerprints(documents), "fingerprints")
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
-    linked = written(components(links(classes)), "fingerprint-components").select(
+    prints = stored(with_fingerprints(documents), "fingerprints")
+    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
+    linked = stored(components(links(classes)), "fingerprint-components").select(
         F.col("node").alias("fp"), "component_id"
     )
     named = classes.join(linked, "fp", "left").withColumn("root", F.coalesce("component_id", "fp"))

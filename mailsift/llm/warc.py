@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from mailsift.llm.common import shared_folder, written
+from mailsift.session import scratch_path, stored
+
 
 # --- fixed values -----------------------------------------------------------------------------
 VERSION = "WARC/1.1"
@@ -68,7 +69,7 @@ def _identified(pages: DataFrame) -> DataFrame:
 def _digests(rows: DataFrame) -> DataFrame:
     """(page_id, payload_digest, payload_bytes, rows), one row per distinct page and payload."""
     keys = ("page_id", "payload_digest", "payload_bytes")
-    return written(rows.groupBy(*keys).agg(F.count("*").alias("rows")), "warc-ids")
+    return stored(rows.groupBy(*keys).agg(F.count("*").alias("rows")), "warc-ids")
 
 
 def revisits(digests: DataFrame, least_bytes: int) -> DataFrame:
@@ -259,7 +260,7 @@ def write_archives(
         .sortWithinPartitions("shard", "page_id", "payload_digest", "_content", "url")
         .drop("_content")
     )
-    manifest = written(sorted_rows.mapInArrow(_writer(root, revisit_bytes, file_bytes, level), MANIFEST), "warc-files")
+    manifest = stored(sorted_rows.mapInArrow(_writer(root, revisit_bytes, file_bytes, level), MANIFEST), "warc-files")
     committed = manifest.mapInArrow(_commit(root), MANIFEST).drop("temporary")
     committed.write.mode("overwrite").parquet(f"{root}/manifest")
     return spark.read.parquet(f"{root}/manifest")
@@ -333,6 +334,6 @@ def read_archives(spark: SparkSession, root: str) -> DataFrame:
 
 def round_trip(pages: DataFrame, **options) -> DataFrame:
     """Write ``pages`` to a folder of its own and read the records back."""
-    root = shared_folder(pages.sparkSession, "warc")
+    root = scratch_path(pages.sparkSession, "warc")
     write_archives(pages, root, **options)
     return read_archives(pages.sparkSession, root)
