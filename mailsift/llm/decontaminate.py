@@ -3,7 +3,8 @@
 Texts become template tokens: words in lower case without outer punctuation, with numbers, units after
 numbers, and names (capitalised words inside a sentence) replaced by typed placeholders. Windows of
 template tokens are hashed; windows of documents and benchmark items are joined on the hash. Names are
-replaced in a second reading of the text only, so that a text in other letter case still matches.
+replaced in a second reading of the text only, so that a text in other letter case still matches, and
+capitalised words that open a sentence in a third.
 
 A match counts while the values in the placeholders stay consistent: along a run of matching windows
 each value of the item must stand for one value in the document. A question with other numbers or
@@ -99,7 +100,8 @@ class Reader:
         self.words = _Words()
 
     def tokens(self, texts: list[str]) -> tuple[np.ndarray, ...]:
-        """Of all tokens: the text they are in, their value, the plain and the named template."""
+        """Of all tokens: the text they are in, their value, and the templates: plain, with names inside
+        sentences, with every capitalised word as a name."""
         if len(self.words) > REMEMBERED:
             self.words = _Words()
         known, codes, of, first = self.words, [], [], []
@@ -126,12 +128,14 @@ class Reader:
         plain[row["number"]] = PLACEHOLDERS["number"]
         named = plain.copy()
         named[row["name"] & ~opens] = PLACEHOLDERS["name"]
-        return of, row["digest"], plain, named
+        every = plain.copy()
+        every[row["name"]] = PLACEHOLDERS["name"]
+        return of, row["digest"], plain, named, every
 
     def windows(self, texts: list[str], size: int, passed=None) -> Windows:
         """All windows of ``size`` tokens in which at least half of the tokens are no placeholders,
         and that ``passed`` lets through."""
-        of, digest, plain, named = self.tokens(texts)
+        of, digest, plain, named, every = self.tokens(texts)
         n = len(of) - size + 1
         empty = np.zeros(0, np.int64)
         if n <= 0:
@@ -140,7 +144,7 @@ class Reader:
         offset = np.arange(len(of)) - np.repeat(begin, np.diff(np.append(begin, len(of))))
         inside = of[:n] == of[size - 1 :]
         found = []
-        for template in (plain, named):
+        for template, before in ((plain, ()), (named, (plain,)), (every, (plain, named))):
             hashes = np.zeros(n, np.uint64)
             for j in range(size):
                 hashes = hashes * STEP + template[j : n + j]
@@ -149,8 +153,8 @@ class Reader:
             hashes ^= hashes >> np.uint64(32)
             slots = np.concatenate([[0], np.cumsum(template != digest)])
             good = inside & ((slots[size:] - slots[:-size]) * 2 <= size)
-            if template is named:
-                other = np.concatenate([[0], np.cumsum(named != plain)])
+            for earlier in before:
+                other = np.concatenate([[0], np.cumsum(template != earlier)])
                 good &= other[size:] != other[:-size]
             if passed is not None:
                 good &= passed(hashes)
@@ -269,17 +273,21 @@ def longest_run(matches: list[dict], size: int) -> tuple[int, int]:
     """Template tokens in the longest run of windows at consecutive places whose placeholder values
     are consistent, and the tokens of all runs that are also consistent with longer ones."""
     runs: list[tuple[int, int, dict]] = []
-    for m in sorted(matches, key=lambda m: m["at"]):
-        pairs = [(a, b) for a, b in zip(m["item_values"], m["doc_values"]) if a and b]
-        own = _agreed({}, pairs)
-        if own is None or (runs and runs[-1][1] == m["at"]):
-            continue
+    read: dict[int, list[dict]] = {}
+    for m in matches:
+        own = _agreed({}, [(a, b) for a, b in zip(m["item_values"], m["doc_values"]) if a and b])
+        if own is not None:
+            read.setdefault(m["at"], []).append(own)
+    for at in sorted(read):
+        # Of several readings of a window the one with the fewest values that goes on with the run.
+        ways = sorted(read[at], key=lambda own: (len(own), sorted(own.items())))
         first, last, said = runs[-1] if runs else (0, -2, {})
-        joined = _agreed(said, pairs) if last == m["at"] - 1 else None
-        if joined is None:
-            runs.append((m["at"], m["at"], own))
+        joined = [_agreed(said, own.items()) for own in ways] if last == at - 1 else []
+        joined = [j for j in joined if j is not None]
+        if joined:
+            runs[-1] = (first, at, joined[0])
         else:
-            runs[-1] = (first, m["at"], joined)
+            runs.append((at, at, ways[0]))
     said, covered = {}, set()
     for first, last, values in sorted(runs, key=lambda r: (r[0] - r[1], r[0])):
         joined = _agreed(said, values.items())

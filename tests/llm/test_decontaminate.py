@@ -68,3 +68,15 @@ def test_filter_never_drops(spark):
     packed = D._filter_of(spark.createDataFrame([(int(k),) for k in keys], "hash long"))
     bits = np.unpackbits(packed)
     assert bits[(keys.view(np.uint64) >> np.uint64(64 - D.FILTER_BITS)).astype(np.int64)].all()
+
+
+def test_names_that_open_sentences_are_replaced(spark, documents):
+    item = "Alice has 12 red pens. Bob has 7 more pens. Carol has 5 fewer pens. How many pens?"
+    other = item.replace("Alice", "Dave").replace("Bob", "Emma").replace("Carol", "Frank").replace("12", "30")
+    mixed = "Alice has 12 red pens. Alice has 7 more pens. Carol has 5 fewer pens."
+    short = "Alice has 12 pens and buys 5 more."
+    rows = [(1, other, "s"), (2, short.replace("Alice", "Dave").replace("12", "4"), "s"), (3, "Well. " + other, "s"),
+            (4, item, "s"), (5, other.replace("Emma", "Dave"), "s"), (6, item.lower(), "s")]
+    items = bench(spark, [(1, item, ""), (2, short, ""), (3, mixed, "")])
+    got = found(documents(rows), items)
+    assert {(1, 1), (2, 2), (3, 1), (4, 1), (6, 1)} <= got and not {(i, 2) for i in (1, 3, 4, 5, 6)} & got
