@@ -133,8 +133,8 @@ class Reader:
         return of, row["digest"], plain, named, every
 
     def windows(self, texts: list[str], size: int, passed=None) -> Windows:
-        """All windows of ``size`` tokens in which at least half of the tokens are no placeholders,
-        and that ``passed`` lets through."""
+        """All windows of ``size`` tokens that ``passed`` lets through: in templates if at least half of the
+        tokens are no placeholders, and as they stand if numbers and units are more than half."""
         of, digest, plain, named, every = self.tokens(texts)
         n = len(of) - size + 1
         empty = np.zeros(0, np.int64)
@@ -144,15 +144,16 @@ class Reader:
         offset = np.arange(len(of)) - np.repeat(begin, np.diff(np.append(begin, len(of))))
         inside = of[:n] == of[size - 1 :]
         found = []
-        for template, before in ((plain, ()), (named, (plain,)), (every, (plain, named))):
+        for template, before in ((plain, ()), (named, (plain,)), (every, (plain, named)), (digest, ())):
             hashes = np.zeros(n, np.uint64)
             for j in range(size):
                 hashes = hashes * STEP + template[j : n + j]
             hashes ^= hashes >> np.uint64(29)
             hashes *= MIX
             hashes ^= hashes >> np.uint64(32)
-            slots = np.concatenate([[0], np.cumsum(template != digest)])
-            good = inside & ((slots[size:] - slots[:-size]) * 2 <= size)
+            slots = np.concatenate([[0], np.cumsum((plain if template is digest else template) != digest)])
+            mostly = (slots[size:] - slots[:-size]) * 2 > size
+            good = inside & (mostly if template is digest else ~mostly)
             for earlier in before:
                 other = np.concatenate([[0], np.cumsum(template != earlier)])
                 good &= other[size:] != other[:-size]
@@ -308,7 +309,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``matched`` counts the template tokens of the longest consistent run, ``covered`` is the share of
     the item's tokens in such runs. One row per (document row with its text, item id). Null and empty
-    texts, and items of placeholders only, match nothing; repeated rows give one result.
+    texts match nothing; what is mostly numbers and units matches only itself; repeated rows give one result.
     """
     items = stored(item_windows(benchmark), "benchmark-windows")
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())

@@ -1,3 +1,6 @@
+import random
+import re
+
 import numpy as np
 
 from mailsift.llm import decontaminate as D
@@ -80,3 +83,58 @@ def test_names_that_open_sentences_are_replaced(spark, documents):
     items = bench(spark, [(1, item, ""), (2, short, ""), (3, mixed, "")])
     got = found(documents(rows), items)
     assert {(1, 1), (2, 2), (3, 1), (4, 1), (6, 1)} <= got and not {(i, 2) for i in (1, 3, 4, 5, 6)} & got
+
+
+def plain_tokens(text):
+    """(value, number or unit, name, opens a sentence) of each token."""
+    made, opens = [], True
+    for word in re.sub(r"(?<=\d)(?=[a-z])", " ", text).split():
+        core = word.strip(".?+-!")
+        if core:
+            number = core.isdigit()
+            unit = core.lower() in D.UNITS and bool(made) and made[-1][1] == "number"
+            kind = "number" if number else "unit" if unit else ""
+            made.append((core.lower(), kind, core[0].isupper() and core[1:].islower(), opens))
+        opens = word[-1] in ".?!"
+    return made
+
+
+def plain_windows(tokens, size):
+    """(start, template, values) of every window in every reading."""
+    made = set()
+    for start in range(len(tokens) - size + 1):
+        part = tokens[start : start + size]
+        for names in (lambda t: False, lambda t: t[2] and not t[3], lambda t: t[2]):
+            kinds = [t[1] or ("name" if names(t) else "") for t in part]
+            if sum(map(bool, kinds)) * 2 <= size:
+                template = tuple("<" + k if k else t[0] for t, k in zip(part, kinds))
+                made.add((start, template, tuple(t[0] if k else 0 for t, k in zip(part, kinds))))
+        if sum(bool(t[1]) for t in part) * 2 > size:
+            made.add((start, tuple(t[0] for t in part), (0,) * size))
+    return made
+
+
+def plain_leak(text, item):
+    words = plain_tokens(item)
+    size = min(D.WINDOW, len(words))
+    laid = {}
+    for at, template, values in plain_windows(words, size):
+        for start, other, said in plain_windows(plain_tokens(text), size):
+            if template == other:
+                laid.setdefault(start - at, []).append({"at": at, "item_values": values, "doc_values": said})
+    runs = [D.longest_run(m, size) for m in laid.values()]
+    return any(r >= min(D.RUN, len(words)) or c >= D.COVERED * len(words) for r, c in runs)
+
+
+def test_leaks_equal_brute_force_with_number_heavy_items(spark, documents):
+    rng = random.Random(3)
+    pick = lambda: rng.choice(["red", "pens", "has", "and", "km", "Alice", "Bob", "7", "12", "30", "+", "5km", "so."])
+    items = ["What is 12 + 7 - 5 + 30 ?", "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16", "5 km 7 km 9 km"]
+    items += [" ".join(pick() for _ in range(rng.randint(3, 20))) for _ in range(12)]
+    texts = [f"so we ask. {t} yes" for t in items] + ["What is 1 + 2 - 3 + 4 ?", "7 km 5 km 9 km", "21 22 23 24 25 26 27 28 29"]
+    for t in items:
+        texts.append(t.replace("12", "40").replace("Alice", "Carol"))
+        texts.append(" ".join(pick() for _ in range(40)))
+    got = found(documents([(i, t, "s") for i, t in enumerate(texts)]), bench(spark, [(i, t, "") for i, t in enumerate(items)]))
+    assert got == {(d, i) for d, t in enumerate(texts) for i, item in enumerate(items) if plain_leak(t, item)}
+    assert {(0, 0), (1, 1), (2, 2)} <= got and (len(items), 0) not in got
