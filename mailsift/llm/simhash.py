@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailsift.llm.common import WORD_BREAKS
+from mailsift.llm.common import WORD_BREAKS, kept_rows, row_hash
 from mailsift.llm.components import components
 from mailsift.session import stored
 
@@ -66,17 +66,21 @@ def fingerprint(text: str, size: int = SHINGLE_WORDS, seed: int = SEED) -> int:
 
 
 def with_fingerprints(documents: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) for every row; a null text is an empty one, whose fingerprint is 0."""
+    """(doc_id, text_hash, row_hash, fp) for every row; a null text is an empty one, whose fingerprint is 0."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t.as_py() or "", size) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.int64())], names=["doc_id", "fp"]
+                [batch.column(c) for c in ("doc_id", "text_hash", "row_hash")] + [pa.array(found, pa.int64())],
+                names=["doc_id", "text_hash", "row_hash", "fp"],
             )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(hashed, f"doc_id {kind}, fp long")
+    rows = documents.select(
+        "doc_id", "text", F.xxhash64("text").alias("text_hash"), row_hash(documents).alias("row_hash")
+    )
+    return rows.mapInArrow(hashed, f"doc_id {kind}, text_hash long, row_hash long, fp long")
 
 
 def block_keys(fp: Column) -> Column:
@@ -119,13 +123,8 @@ def links(fingerprints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return paired.union(met.filter(F.col("a") != F.col("b"))).distinct()
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``documents``.
-
-    ``component_id`` is the smallest ``doc_id`` that links reach. Texts without words have fingerprint
-    0 and are linked like any other. Repeated rows get a row each; a null ``doc_id`` is never a
-    component's name unless all of it are null.
-    """
+def grouped(documents: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, row_hash, fp, root, component_id) for every row; ``root`` is a fingerprint."""
     prints = stored(with_fingerprints(documents), "fingerprints")
     classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
     linked = stored(components(links(classes)), "fingerprint-components").select(
@@ -133,18 +132,23 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
     named = classes.join(linked, "fp", "left").withColumn("root", F.coalesce("component_id", "fp"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = named.join(smallest, "root").select("fp", F.col("component").alias("component_id"))
-    return prints.join(named, "fp").select(
+    named = named.join(smallest, "root").select("fp", "root", F.col("component").alias("component_id"))
+    return prints.join(named, "fp")
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row of ``documents``.
+
+    ``component_id`` is the smallest ``doc_id`` that links reach. Texts without words have fingerprint
+    0 and are linked like any other. Repeated rows get a row each; a null ``doc_id`` is never a
+    component's name unless all of it are null.
+    """
+    return grouped(documents).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """``documents`` without near-duplicates: of each component the row with the smallest ``doc_id``
-    stays (a null one is the largest). Rows that repeat this id and its text count as one; of rows
-    that repeat the id with another text, the one with the smallest fingerprint and text stays."""
-    found = near_duplicates(documents).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.groupBy("doc_id").agg(F.min("fingerprint").alias("_f"))
-    kept = kept.select(F.col("doc_id").alias("_id")).distinct()
-    rows = documents.join(kept, documents["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    """``documents`` without near-duplicates: of each component of texts exactly one row, that with the
+    smallest ``doc_id`` (a null one is the largest), then fingerprint and hash of the text."""
+    return kept_rows(documents, grouped(documents).withColumn("mark", F.col("fp")))

@@ -83,3 +83,10 @@ def test_components_of_a_long_path_and_a_hub(spark):
     found = {r.node: r.component_id for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(found[i] == 0 for i in range(201)) and all(found[i] == 1000 for i in range(1000, 1200))
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_null_and_repeated_ids_keep_one_row_of_each_component(documents):
+    rows = [(None, "a b c d", "s"), (None, "q r s t u v w", "s"), (None, "q r s t u v w", "s"), (3, "one two three", "s"),
+            (3, "four five six", "s"), (1, "four five six", "s")]
+    kept = sorted((r.doc_id or 0, r.text) for r in simhash.one_of_each(documents(rows)).collect())
+    assert kept == [(0, "a b c d"), (0, "q r s t u v w"), (1, "four five six"), (3, "one two three")]
