@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailsift.llm import chat, ctw, decontaminate, embedding, mixing, quality, sharding, simhash, suffix_dedup, warc
+from mailsift.llm import (
+    chat, ctw, decontaminate, embedding, extraction, merkle, mixing, quality, sharding, simhash, suffix_dedup, warc,
+)
 from mailsift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +76,13 @@ def op9_kernel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.lower_cased())
+
+
+@query
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
