@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailsift.llm import (
-    chat, ctw, decontaminate, embedding, extraction, merkle, mixing, quality, sharding, simhash, suffix_dedup, warc,
+    alignment, chat, ctw, decontaminate, embedding, extraction, merkle, mixing, quality, sharding, simhash,
+    suffix_dedup, warc,
 )
 from mailsift.llm.common import table
 
@@ -78,6 +79,11 @@ def op10_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"), merkle.lower_cased())
