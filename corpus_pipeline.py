@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mailsift.llm import decontaminate, mixing, quality, sharding, shingles
+from mailsift.llm import decontaminate, mixing, quality, sharding, simhash
 from mailsift.llm.common import table
 from mailsift.session import stored
 
@@ -19,8 +19,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles have similarity 0.8 or more."""
-    return shingles.one_of_each(docs)
+    """One document of each group of linked fingerprints."""
+    return simhash.one_of_each(docs)
 
 
 def untested(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
