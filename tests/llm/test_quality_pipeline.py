@@ -112,5 +112,5 @@ def test_stages_keep_columns_and_take_odd_tables(spark, documents):
 
 def test_registered_queries():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run
