@@ -1,7 +1,7 @@
 """Benchmark decontamination by templates.
 
-Texts become template tokens: words in lower case without outer punctuation, with numbers, units after
-numbers, and names (capitalised words inside a sentence) replaced by typed placeholders. Windows of
+Texts become template tokens: words in lower case without outer punctuation, and the signs of arithmetic, with
+numbers, units after numbers, and names (capitalised words inside a sentence) replaced by typed placeholders. Windows of
 template tokens are hashed; windows of documents and benchmark items are joined on the hash. Names are
 replaced in a second reading of the text only, so that a text in other letter case still matches, and
 capitalised words that open a sentence in a third.
@@ -17,6 +17,7 @@ being shuffled. It lets through too much, never too little; with a large benchma
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +37,7 @@ FILTER_BITS = 22
 SALTS = 16
 # Words handled at a time, and words remembered between texts; both bound a task's memory only.
 SLICE_WORDS = 1 << 17
-REMEMBERED = 200_000
+REMEMBERED = 1 << 19
 
 # --- fixed values -----------------------------------------------------------------------------
 NUMBER_WORDS = frozenset(
@@ -53,9 +54,14 @@ UNITS = frozenset(
 )
 # ----------------------------------------------------------------------------------------------
 
-NUMBER = re.compile(r"[+-]?\d[\d.,:/]*%?")
+# What stands between numbers is a token: always these, and a minus between two numbers.
+OPERATORS = frozenset("+ * / = × ÷ ^ < >".split())
+MINUS = frozenset("- – −".split())
+NUMBER = re.compile(r"\d[\d.,:/]*%?")
 EDGES = re.compile(r"^\W+|\W+$")
-ATTACHED = re.compile(r"(?<=\d)(?=[^\W\d_])")
+PUNCTUATION = ".,;:!?\"'()[]{}"
+# A unit behind its number, and an operator between two numbers, without a space.
+ATTACHED = re.compile(r"(\d)(?:(?=[^\W\d_])|([-+*=×÷^])(?=\d))")
 SENTENCE_END = (".", "!", "?", ":", "…")
 PLACEHOLDERS = {"number": np.uint64(0x9E3779B97F4A7C15), "unit": np.uint64(0xC2B2AE3D27D4EB4F),
                 "name": np.uint64(0x165667B19E3779F9)}
@@ -63,23 +69,54 @@ STEP = np.uint64(0x100000001B3)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
+WORD, IS_NUMBER, IS_UNIT, IS_NAME, ENDS, IS_MINUS = (1 << i for i in range(6))
+
+
 class _Words(dict):
-    """Word -> index of its properties, filled on demand."""
+    """Word -> index of its digest and kinds, filled on demand."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.rows: list[tuple[int, bool, bool, bool, bool, bool]] = []
+        self.digests, self.kinds = array("Q"), array("B")
 
     def __missing__(self, word: str) -> int:
-        core = EDGES.sub("", word)
-        lower = core.lower()
-        number = bool(NUMBER.fullmatch(core)) or lower in NUMBER_WORDS
-        name = not number and core[:1].isupper() and any(c.islower() for c in core)
-        ends = word.rstrip("\"')]}»”").endswith(SENTENCE_END)
-        digest = xxhash.xxh64_intdigest(lower.encode("utf-8", "surrogatepass"))
-        self.rows.append((digest, core != "", number, lower in UNITS, name, ends))
-        self[word] = len(self.rows) - 1
-        return self[word]
+        core = word.strip(PUNCTUATION)
+        if not core.isalnum():
+            core = EDGES.sub("", word)
+        lower, kind = core.lower(), 0
+        if not core:
+            if word in OPERATORS:
+                lower, kind = word, WORD
+            elif word in MINUS:
+                lower, kind = "-", WORD | IS_MINUS
+        elif core[0].isdigit() and NUMBER.fullmatch(core) or lower in NUMBER_WORDS:
+            kind = WORD | IS_NUMBER
+        else:
+            kind = WORD
+            if core[0].isupper() and any(c.islower() for c in core):
+                kind |= IS_NAME
+        if lower in UNITS:
+            kind |= IS_UNIT
+        if not word[-1].isalnum() and word.rstrip("\"')]}»”").endswith(SENTENCE_END):
+            kind |= ENDS
+        self.digests.append(xxhash.xxh64_intdigest(lower.encode("utf-8", "surrogatepass")))
+        self.kinds.append(kind)
+        found = len(self)
+        self[word] = found
+        return found
+
+
+@dataclass(frozen=True)
+class Tokens:
+    """The tokens of some texts: the text each is in, its place there, its digest, and the templates: plain, with
+    names inside sentences, with every capitalised word as a name."""
+
+    of: np.ndarray
+    at: np.ndarray
+    digest: np.ndarray
+    plain: np.ndarray
+    named: np.ndarray
+    every: np.ndarray
 
 
 @dataclass(frozen=True)
@@ -94,76 +131,89 @@ class Windows:
 
 
 class Reader:
-    """Turns texts into hashed windows; keeps what it knows about words from one text to the next."""
+    """Turns texts into tokens; keeps what it knows about words from one text to the next."""
 
     def __init__(self) -> None:
         self.words = _Words()
 
-    def tokens(self, texts: list[str]) -> tuple[np.ndarray, ...]:
-        """Of all tokens: the text they are in, their value, and the templates: plain, with names inside
-        sentences, with every capitalised word as a name."""
+    def tokens(self, texts: list[str]) -> Tokens:
         if len(self.words) > REMEMBERED:
             self.words = _Words()
-        known, codes, of, first = self.words, [], [], []
-        for i, text in enumerate(texts):
-            split = ATTACHED.sub(" ", text).split()
+        known, codes, sizes = self.words, [], []
+        for text in texts:
+            split = ATTACHED.sub(r"\1 \2 ", text).split()
             codes.extend([known[w] for w in split])
-            of.append(np.full(len(split), i, np.int64))
-            first.append(np.arange(len(split)) == 0)
+            sizes.append(len(split))
         code = np.array(codes, np.int64)
-        table = np.array(
-            known.rows or [(0,) * 6],
-            dtype=[("digest", "u8"), ("word", "?"), ("number", "?"), ("unit", "?"), ("name", "?"), ("ends", "?")],
-        )
-        row = table[code]
-        of = np.concatenate(of) if of else np.zeros(0, np.int64)
-        opens = np.concatenate(first) if first else np.zeros(0, bool)
-        opens[1:] |= row["ends"][:-1]
-        keep = row["word"]
-        row, of, opens = row[keep], of[keep], opens[keep]
-        after_number = np.zeros(len(row), bool)
-        after_number[1:] = row["number"][:-1] & (of[1:] == of[:-1])
-        plain = row["digest"].copy()
-        plain[row["unit"] & after_number] = PLACEHOLDERS["unit"]
-        plain[row["number"]] = PLACEHOLDERS["number"]
-        named = plain.copy()
-        named[row["name"] & ~opens] = PLACEHOLDERS["name"]
-        every = plain.copy()
-        every[row["name"]] = PLACEHOLDERS["name"]
-        return of, row["digest"], plain, named, every
-
-    def windows(self, texts: list[str], size: int, passed=None) -> Windows:
-        """All windows of ``size`` tokens that ``passed`` lets through: in templates if at least half of the
-        tokens are no placeholders, and as they stand if numbers and units are more than half."""
-        of, digest, plain, named, every = self.tokens(texts)
-        n = len(of) - size + 1
-        empty = np.zeros(0, np.int64)
-        if n <= 0:
-            return Windows(empty, empty, empty.astype(np.uint64), np.zeros((0, size), np.uint64))
-        begin = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1])
-        offset = np.arange(len(of)) - np.repeat(begin, np.diff(np.append(begin, len(of))))
-        inside = of[:n] == of[size - 1 :]
-        found = []
-        for template, before in ((plain, ()), (named, (plain,)), (every, (plain, named)), (digest, ())):
-            hashes = np.zeros(n, np.uint64)
-            for j in range(size):
-                hashes = hashes * STEP + template[j : n + j]
-            hashes ^= hashes >> np.uint64(29)
-            hashes *= MIX
-            hashes ^= hashes >> np.uint64(32)
-            slots = np.concatenate([[0], np.cumsum((plain if template is digest else template) != digest)])
-            mostly = (slots[size:] - slots[:-size]) * 2 > size
-            good = inside & (mostly if template is digest else ~mostly)
-            for earlier in before:
-                other = np.concatenate([[0], np.cumsum(template != earlier)])
-                good &= other[size:] != other[:-size]
-            if passed is not None:
-                good &= passed(hashes)
-            at = np.flatnonzero(good)
-            spread = at[:, None] + np.arange(size)
-            values = np.where(template[spread] != digest[spread], digest[spread], np.uint64(0))
-            found.append((of[at], offset[at], hashes[at], values))
-        return Windows(*(np.concatenate(parts) for parts in zip(*found)))
+        digest, kind = np.array(known.digests, np.uint64)[code], np.array(known.kinds, np.uint8)[code]
+        sizes = np.array(sizes, np.int64)
+        of = np.repeat(np.arange(len(texts)), sizes)
+        opens = np.zeros(len(code), bool)
+        opens[1:] = (kind[:-1] & ENDS) > 0
+        opens[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+        number = (kind & IS_NUMBER) > 0
+        between = np.zeros(len(code), bool)
+        between[1:-1] = number[:-2] & number[2:] & (of[:-2] == of[2:])
+        keep = ((kind & WORD) > 0) & (((kind & IS_MINUS) == 0) | between)
+        digest, kind, of, opens, number = digest[keep], kind[keep], of[keep], opens[keep], number[keep]
+        after_number = np.zeros(len(kind), bool)
+        after_number[1:] = number[:-1] & (of[1:] == of[:-1])
+        plain = digest.copy()
+        plain[((kind & IS_UNIT) > 0) & after_number] = PLACEHOLDERS["unit"]
+        plain[number] = PLACEHOLDERS["number"]
+        name = (kind & IS_NAME) > 0
+        named, every = plain.copy(), plain.copy()
+        named[name & ~opens] = PLACEHOLDERS["name"]
+        every[name] = PLACEHOLDERS["name"]
+        first = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(texts)))])
+        return Tokens(of, np.arange(len(of)) - first[of], digest, plain, named, every)
+
+
+def rolled(template: np.ndarray, size: int) -> np.ndarray:
+    """The hash of each window of ``size`` tokens."""
+    n = len(template) - size + 1
+    hashes = np.zeros(n, np.uint64)
+    for j in range(size):
+        hashes = hashes * STEP + template[j : n + j]
+    hashes ^= hashes >> np.uint64(29)
+    hashes *= MIX
+    return hashes ^ (hashes >> np.uint64(32))
+
+
+def windows_of(tokens: Tokens, size: int, passed=None) -> Windows:
+    """All windows of ``size`` tokens that ``passed`` lets through: in templates if at least half of the tokens are no
+    placeholders, and as they stand if numbers and units are more than half. Windows that a reading leaves as an
+    earlier one has them are not repeated."""
+    n = len(tokens.of) - size + 1
+    if n <= 0:
+        none = np.zeros(0, np.int64)
+        return Windows(none, none, none.astype(np.uint64), np.zeros((0, size), np.uint64))
+    digest, plain, named, every = tokens.digest, tokens.plain, tokens.named, tokens.every
+
+    def within(flags: np.ndarray) -> np.ndarray:
+        sums = np.concatenate([[0], np.cumsum(flags)])
+        return sums[size:] - sums[:-size]
+
+    inside = tokens.of[:n] == tokens.of[size - 1 :]
+    found = []
+    for template, before in ((plain, ()), (named, (plain,)), (every, (plain, named)), (digest, ())):
+        as_it_stands = template is digest
+        mostly = within((plain if as_it_stands else template) != digest) * 2 > size
+        good = inside & (mostly if as_it_stands else ~mostly)
+        for earlier in before:
+            good &= within(template != earlier) > 0
+        if not good.any():
+            continue
+        hashes = rolled(template, size)
+        if passed is not None:
+            good &= passed(hashes)
+        at = np.flatnonzero(good)
+        spread = at[:, None] + np.arange(size)
+        values = np.where(template[spread] != digest[spread], digest[spread], np.uint64(0))
+        found.append((tokens.of[at], tokens.at[at], hashes[at], values))
+    if not found:
+        return windows_of(Tokens(*[v[:0] for v in vars(tokens).values()]), size)
+    return Windows(*(np.concatenate(parts) for parts in zip(*found)))
 
 
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -202,11 +252,12 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 text = batch.column("text")[i].as_py() or ""
-                n = len(reader.tokens([text])[0])
+                tokens = reader.tokens([text])
+                n = len(tokens.of)
                 if n == 0:
                     continue
                 size = min(WINDOW, n)
-                w = reader.windows([text], size)
+                w = windows_of(tokens, size)
                 if not len(w.start):
                     continue
                 many = len(w.start)
@@ -251,8 +302,9 @@ def document_windows(documents: DataFrame, sizes: list[int], packed: np.ndarray)
             ids = batch.column("doc_id")
             for low, high in _slices(texts):
                 part = texts[low:high]
+                tokens = reader.tokens(part)
                 for size in sizes:
-                    w = reader.windows(part, size, passed)
+                    w = windows_of(tokens, size, passed)
                     if not len(w.start):
                         continue
                     keys = {i: text_key(part[i]) for i in np.unique(w.text).tolist()}
@@ -271,29 +323,36 @@ def document_windows(documents: DataFrame, sizes: list[int], packed: np.ndarray)
 
 
 def longest_run(matches: list[dict], size: int) -> tuple[int, int]:
-    """Template tokens in the longest run of windows at consecutive places whose placeholder values
-    are consistent, and the tokens of all runs that are also consistent with longer ones."""
-    runs: list[tuple[int, int, dict]] = []
-    read: dict[int, list[dict]] = {}
+    """Template tokens in the longest run of windows at consecutive places whose placeholder values are consistent,
+    and the tokens of runs that are also consistent with longer ones.
+
+    Of several readings of a window the one with the fewest values counts: it allows whatever another one allows.
+    """
+    said: dict[int, dict] = {}
     for m in matches:
         own = _agreed({}, [(a, b) for a, b in zip(m["item_values"], m["doc_values"]) if a and b])
-        if own is not None:
-            read.setdefault(m["at"], []).append(own)
-    for at in sorted(read):
-        # Of several readings of a window the one with the fewest values that goes on with the run.
-        ways = sorted(read[at], key=lambda own: (len(own), sorted(own.items())))
-        first, last, said = runs[-1] if runs else (0, -2, {})
-        joined = [_agreed(said, own.items()) for own in ways] if last == at - 1 else []
-        joined = [j for j in joined if j is not None]
-        if joined:
-            runs[-1] = (first, at, joined[0])
-        else:
-            runs.append((at, at, ways[0]))
-    said, covered = {}, set()
+        if own is not None and (m["at"] not in said or len(own) < len(said[m["at"]])):
+            said[m["at"]] = own
+    runs: list[tuple[int, int, dict]] = []  # first, last, values: each as long as it can be
+    first, values = 0, None
+    for at in sorted(said):
+        joined = _agreed(values, said[at].items()) if values is not None and at - 1 in said else None
+        if joined is None:
+            # The longest consistent run that ends here; none that ends earlier reaches further back.
+            if values is not None:
+                runs.append((first, last, values))
+            low = first if values is not None and at - 1 in said else at
+            first, joined = at, said[at]
+            while first > low and (longer := _agreed(joined, said[first - 1].items())) is not None:
+                first, joined = first - 1, longer
+        last, values = at, joined
+    if values is not None:
+        runs.append((first, last, values))
+    together, covered = {}, set()
     for first, last, values in sorted(runs, key=lambda r: (r[0] - r[1], r[0])):
-        joined = _agreed(said, values.items())
+        joined = _agreed(together, values.items())
         if joined is not None:
-            said = joined
+            together = joined
             covered.update(range(first, last + size))
     return max((last - first + size for first, last, _ in runs), default=0), len(covered)
 

@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -88,8 +89,14 @@ def test_names_that_open_sentences_are_replaced(spark, documents):
 def plain_tokens(text):
     """(value, number or unit, name, opens a sentence) of each token."""
     made, opens = [], True
-    for word in re.sub(r"(?<=\d)(?=[a-z])", " ", text).split():
-        core = word.strip(".?+-!")
+    split = re.sub(r"(?<=\d)([+=-])(?=\d)", r" \1 ", re.sub(r"(?<=\d)(?=[a-z])", " ", text)).split()
+    for i, word in enumerate(split):
+        core = word.strip(".?+-=!")
+        sign = word in "+=" or word == "-" and all(
+            0 <= j < len(split) and split[j].strip(".?!").isdigit() for j in (i - 1, i + 1)
+        )
+        if sign:
+            made.append((word, "", False, opens))
         if core:
             number = core.isdigit()
             unit = core.lower() in D.UNITS and bool(made) and made[-1][1] == "number"
@@ -114,6 +121,23 @@ def plain_windows(tokens, size):
     return made
 
 
+def agree(pairs):
+    """Whether each value of the item stands for one value of the document."""
+    return all(b == d for (a, b), (c, d) in itertools.combinations(pairs, 2) if a == c)
+
+
+def plain_runs(laid):
+    """(first, last, pairs) of every run of windows that some choice of readings makes consistent."""
+    made = []
+    for first in laid:
+        for last in itertools.takewhile(laid.__contains__, itertools.count(first)):
+            choices = itertools.product(*[laid[at] for at in range(first, last + 1)])
+            good = [c for c in ({p for pairs in choice for p in pairs} for choice in choices) if agree(sorted(c))]
+            if good:
+                made.append((first, last, min(good, key=len)))
+    return made
+
+
 def plain_leak(text, item):
     words = plain_tokens(item)
     size = min(D.WINDOW, len(words))
@@ -121,14 +145,25 @@ def plain_leak(text, item):
     for at, template, values in plain_windows(words, size):
         for start, other, said in plain_windows(plain_tokens(text), size):
             if template == other:
-                laid.setdefault(start - at, []).append({"at": at, "item_values": values, "doc_values": said})
-    runs = [D.longest_run(m, size) for m in laid.values()]
-    return any(r >= min(D.RUN, len(words)) or c >= D.COVERED * len(words) for r, c in runs)
+                pairs = frozenset((a, b) for a, b in zip(values, said) if a and b)
+                laid.setdefault(start - at, {}).setdefault(at, set()).add(pairs)
+    for place in laid.values():
+        runs = plain_runs(place)
+        whole = [r for r in runs if not any(o[0] <= r[0] and r[1] <= o[1] and o[:2] != r[:2] for o in runs)]
+        together, covered = set(), set()
+        for first, last, pairs in sorted(whole, key=lambda r: (r[0] - r[1], r[0])):
+            if agree(sorted(together | pairs)):
+                together |= pairs
+                covered |= set(range(first, last + size))
+        longest = max((last - first + size for first, last, _ in runs), default=0)
+        if longest >= min(D.RUN, len(words)) or len(covered) >= D.COVERED * len(words):
+            return True
+    return False
 
 
 def test_leaks_equal_brute_force_with_number_heavy_items(spark, documents):
     rng = random.Random(3)
-    pick = lambda: rng.choice(["red", "pens", "has", "and", "km", "Alice", "Bob", "7", "12", "30", "+", "5km", "so."])
+    pick = lambda: rng.choice(["red", "pens", "has", "and", "km", "Alice", "Bob", "7", "12", "30", "+", "-", "5km", "so."])
     items = ["What is 12 + 7 - 5 + 30 ?", "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16", "5 km 7 km 9 km"]
     items += [" ".join(pick() for _ in range(rng.randint(3, 20))) for _ in range(12)]
     texts = [f"so we ask. {t} yes" for t in items] + ["What is 1 + 2 - 3 + 4 ?", "7 km 5 km 9 km", "21 22 23 24 25 26 27 28 29"]
@@ -137,4 +172,21 @@ def test_leaks_equal_brute_force_with_number_heavy_items(spark, documents):
         texts.append(" ".join(pick() for _ in range(40)))
     got = found(documents([(i, t, "s") for i, t in enumerate(texts)]), bench(spark, [(i, t, "") for i, t in enumerate(items)]))
     assert got == {(d, i) for d, t in enumerate(texts) for i, item in enumerate(items) if plain_leak(t, item)}
-    assert {(0, 0), (1, 1), (2, 2)} <= got and (len(items), 0) not in got
+    assert {(0, 0), (1, 1), (2, 2)} <= got and (len(items), 0) in got
+
+
+def test_arithmetic_with_other_numbers(spark, documents):
+    item = "What is 12 + 7 - 5 + 30 = 44 ?"
+    rows = [(1, "we ask: what is 3+4-5+6=8?", "s"), (2, "What is 3 - 4 + 5 + 6 = 8 ?", "s"),
+            (3, "What is 3 4 5 6 8 ?", "s"), (4, "- what is - 3 + 4 - 5 + 6 = 8", "s"), (5, "1 + 2 - 3 + 4", "s")]
+    items = bench(spark, [(1, item, ""), (2, "7 + 7 - 5 + 7", "")])
+    # In item 2 one number is said three times: other numbers have to agree there too.
+    assert found(documents(rows), items) == {(1, 1), (4, 1)}
+
+
+def test_a_contradiction_at_the_start_of_a_run_leaves_what_follows():
+    def window(at, *pairs):
+        return {"at": at, "item_values": [a for a, _ in pairs], "doc_values": [b for _, b in pairs]}
+
+    matches = [window(0, (1, 11)), *[window(at, (2, 12)) for at in (1, 2, 3)], window(4, (1, 99)), window(5, (1, 99))]
+    assert D.longest_run(matches, 8) == (12, 12)
