@@ -14,9 +14,10 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailsift.operators.classes import class_sums, class_values, for_every_class
+from mailsift.operators.classes import Places, by_class, class_lists, likeliest, vector_sums
 from mailsift.operators.words import with_word_values
 from mailsift.session import stored
 
@@ -71,25 +72,35 @@ def train(tokens: DataFrame) -> BayesModel:
     first = F.sum(F.col("is_first").cast("bigint")).alias("n_first")
     counts = tokens.groupBy("class_id", "word").agg(F.count("*").alias("cnt"), first)
     counts = stored(counts, "bayes-counts")
-    return BayesModel(counts.drop("n_first"), class_stats(counts))
+    return BayesModel(counts.drop("n_first"), stored(class_stats(counts), "bayes-classes"))
 
 
-def log_scores(tf: DataFrame, model: BayesModel, prior: str = "documents") -> DataFrame:
-    """(doc_id, class_id, score) for every document with tokens and every class.
+def score_vectors(tf: DataFrame, model: BayesModel, prior: str = "documents") -> tuple[DataFrame, Places]:
+    """(doc_id, sums), the scores of every document with tokens class by class, and the order of the classes.
 
     ``tf`` has (doc_id, word, cnt), stored. ``prior="documents"`` adds ``ln(n_docs_c / n_docs)``,
     ``prior="uniform"`` adds nothing. Words outside the vocabulary count with ``1/(tokens_c + V)``.
 
     The model travels as one row per word with the classes that have it.
     """
-    known = with_word_values(
-        tf.select("doc_id", "word", "cnt"), class_values(model.counts, "word", F.log1p("cnt"))
-    )
-    lengths = tf.groupBy("doc_id").agg(F.sum("cnt").alias("_len"))
-    start = F.col("log_prior") if prior == "documents" else F.lit(0.0)
-    starts = for_every_class(lengths, model.classes.select("class_id", "log_prior", "log_total"))
-    starts = starts.withColumn("value", start - F.col("_len") * F.col("log_total"))
-    return class_sums(known, "cnt", starts).withColumnRenamed("value", "score")
+    places = Places.of(model.classes, "log_prior", "log_total")
+    start, per_token = places.constants["log_prior"], places.constants["log_total"]
+    if prior != "documents":
+        start = np.zeros(len(start))
+    words = stored(class_lists(model.counts, "word", F.log1p("cnt"), F.col("cnt")), "bayes-words")
+    found = with_word_values(tf.select("doc_id", "word", "cnt"), words, "frequency", keep_unknown=True)
+    rows = found.select("doc_id", F.col("cnt").alias("weight"), "by_class")
+    return vector_sums(rows, places, lambda lengths: start - lengths[:, None] * per_token), places
+
+
+def log_scores(tf: DataFrame, model: BayesModel, prior: str = "documents") -> DataFrame:
+    """(doc_id, class_id, score) for every document with tokens and every class, by ``score_vectors``."""
+    return by_class(*score_vectors(tf, model, prior), "score")
+
+
+def most_likely(tf: DataFrame, model: BayesModel, prior: str = "documents") -> DataFrame:
+    """(doc_id, prediction) as ``predict`` gives it for ``log_scores``, without a row per class."""
+    return likeliest(*score_vectors(tf, model, prior)).select("doc_id", F.col("class_id").alias("prediction"))
 
 
 def linear_scores(scores: DataFrame) -> DataFrame:

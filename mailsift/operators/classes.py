@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+# Sums that a task holds at once: documents times classes.
+SUMS_AT_ONCE = 1 << 22
+
 
 def class_map(messages: DataFrame) -> DataFrame:
     """(class_id, class_name): class names numbered 1..n in byte order."""
@@ -26,28 +34,74 @@ def class_doc_counts(messages: DataFrame, n_tokens: Column) -> DataFrame:
     return messages.filter(n_tokens > 0).groupBy("class_id").agg(F.count("*").alias("n_docs"))
 
 
-def class_values(table: DataFrame, on: str, value: Column) -> DataFrame:
-    """(<on>, by_class): the (class_id, value) pairs of each <on>, one per class it has."""
-    pair = F.struct("class_id", value.alias("value"))
-    return table.groupBy(on).agg(F.collect_list(pair).alias("by_class"))
+@dataclass(frozen=True)
+class Places:
+    """The classes of a model in the order of their ids, and constants of each: as many values as a model has
+    classes, kept on the driver."""
+
+    ids: np.ndarray
+    constants: dict[str, np.ndarray]
+
+    @classmethod
+    def of(cls, classes: DataFrame, *constants: str) -> Places:
+        found = classes.select("class_id", *constants).dropDuplicates(["class_id"]).orderBy("class_id").toArrow()
+        return cls(found["class_id"].to_numpy(), {c: found[c].to_numpy().astype(float) for c in constants})
+
+
+def class_lists(table: DataFrame, on: str, value: Column, frequency: Column) -> DataFrame:
+    """(<on>, by_class, frequency): the (class_id, value) pairs of each <on>, one per class it has, and how
+    often it occurs."""
+    pair = F.struct("class_id", value.cast("double").alias("value"))
+    return table.groupBy(on).agg(F.collect_list(pair).alias("by_class"), F.sum(frequency).alias("frequency"))
+
+
+def vector_sums(rows: DataFrame, places: Places, start: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """(doc_id, sums): for each document the ``weight`` times ``by_class`` of its rows added up class by class.
+
+    ``rows`` (doc_id, weight, by_class): the rows of a document are gathered in its row, and a batch of documents
+    becomes one matrix; no row is made per class. ``by_class`` may be null. ``start`` gives a document's sums
+    without any row from the total of its weights, as a matrix with a line for each total.
+    """
+    ids, n = places.ids, max(len(places.ids), 1)
+    step = max(1, SUMS_AT_ONCE // n)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                listed = batch.column("rows")
+                of = np.repeat(np.arange(batch.num_rows), listed.value_lengths().to_numpy(zero_copy_only=False))
+                rows = listed.flatten()
+                weight, by_class = rows.field("weight").to_numpy(zero_copy_only=False), rows.field("by_class")
+                sizes = by_class.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                entries = by_class.flatten()
+                place = np.searchsorted(ids, entries.field("class_id").to_numpy(zero_copy_only=False))
+                products = np.repeat(weight, sizes) * entries.field("value").to_numpy(zero_copy_only=False)
+                sums = np.bincount(np.repeat(of, sizes) * n + place, products, batch.num_rows * n)
+                totals = np.bincount(of, weight, batch.num_rows)
+                sums = sums.reshape(-1, n)[:, : len(ids)] + start(totals)
+                offsets = pa.array(np.arange(len(sums) + 1, dtype=np.int32) * len(ids))
+                lists = pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(sums).ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "sums"])
+
+    row = F.struct(F.col("weight").cast("double").alias("weight"), "by_class")
+    gathered = rows.groupBy("doc_id").agg(F.collect_list(row).alias("rows"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return gathered.mapInArrow(added, f"doc_id {kind}, sums array<double>")
+
+
+def _ids(places: Places) -> Column:
+    return F.lit([int(i) for i in places.ids] or None)
 
 
-def class_sums(rows: DataFrame, weight: str, starts: DataFrame) -> DataFrame:
-    """(doc_id, class_id, value): for every document and class its start, plus ``weight`` times the
-    values that the document's rows have for the class. ``starts``: (doc_id, class_id, value)."""
-    products = rows.select("doc_id", F.col(weight).alias("_w"), F.inline("by_class")).select(
-        "doc_id", "class_id", (F.col("_w") * F.col("value")).alias("value")
-    )
-    return (
-        starts.select("doc_id", "class_id", "value")
-        .unionByName(products)
-        .groupBy("doc_id", "class_id")
-        .agg(F.sum("value").alias("value"))
-    )
+def by_class(sums: DataFrame, places: Places, name: str) -> DataFrame:
+    """(doc_id, class_id, <name>): a row for every document and class, from (doc_id, sums)."""
+    rows = sums.select("doc_id", F.posexplode("sums").alias("_at", name))
+    return rows.select("doc_id", F.get(_ids(places), F.col("_at")).alias("class_id"), name)
 
 
-def for_every_class(documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """Each row once for each class: the result has as many rows by nature. ``classes`` is gathered as
-    one list, a model's constants."""
-    listed = classes.agg(F.collect_list(F.struct(*classes.columns)).alias("c")).scalar()
-    return documents.select("*", F.inline(listed))
+def likeliest(sums: DataFrame, places: Places) -> DataFrame:
+    """(doc_id, best, class_id): the largest sum of each document and its class, the smallest id among equals."""
+    best = F.array_max("sums")
+    at = F.array_position("sums", best).cast("int") - 1
+    return sums.select("doc_id", best.alias("best"), F.get(_ids(places), at).alias("class_id"))

@@ -2,8 +2,9 @@
 
 Words follow a power law: one word may be in a third of all rows or more. A word with more than one in
 ``HOT_WORDS`` of the rows is hot; there can be no more than HOT_WORDS of them, whatever the data. Rows
-with a hot word get their values from a broadcast of these words and stay where they are, and only the
-other rows meet the table in a shuffle, in which no key holds more than one row in HOT_WORDS.
+with a hot word get their values from a table of these words, which is broadcast if its size allows, and stay
+where they are; only the other rows meet the table in a shuffle, in which no key holds more than one row in
+HOT_WORDS. Where the values are too large to broadcast, the engine splits the hot keys of that join.
 
 The rows are read twice or three times, so they should be cheap to read: a stored table of counts.
 """
@@ -12,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from mailsift.session import stored
+
 HOT_WORDS = 10_000
 
 
@@ -31,7 +34,7 @@ def with_word_values(
     """Join of (doc_id, <on>, …) rows with a table that has one row per word. Rows whose word is
     not in the table are dropped, or kept with nulls.
 
-    The rows are counted per word first. When the table itself was made from these very rows,
+    The rows are counted per word first. When the table was made from these rows, or from a corpus like theirs,
     ``frequency`` can name its column that says how often the word occurs, which saves that pass.
     It decides only how rows travel, never which are found.
     """
@@ -41,7 +44,8 @@ def with_word_values(
         counts = table.select(on, F.col(frequency).alias("n"))
     hot = hot_words(counts, on)
     values = table.select(on, F.struct(*[c for c in table.columns if c != on]).alias("_found"))
-    few = rows.join(F.broadcast(hot.join(values, on, "left")), on)
+    # The values of hot words are written first: the engine broadcasts them if the files are small enough.
+    few = rows.join(stored(hot.join(values, on, "left"), "hot-words"), on)
     if not keep_unknown:
         few = few.filter(F.col("_found").isNotNull())
     many = rows.join(F.broadcast(hot), on, "left_anti")

@@ -258,7 +258,8 @@ def _bayes_scores(split: corpora.Split, prior: str = "documents") -> DataFrame:
 
 
 def _bayes_predictions(split: corpora.Split, prior: str = "documents") -> DataFrame:
-    return bayes.with_labels(bayes.predict(_bayes_scores(split, prior)), split.test)
+    model = bayes.train(K.marked_tokens(split.train))
+    return bayes.with_labels(bayes.most_likely(V.counted(split.test), model, prior), split.test)
 
 
 def _source_predictions(spark, sf_dir) -> DataFrame:
@@ -303,7 +304,7 @@ def nb_predict_empty(spark, sf_dir):
     """As ``nb_predict``, messages without any token included."""
     split = corpora.judged_and_other(spark, sf_dir, "source")
     model = bayes.train(K.marked_tokens(split.train))
-    found = bayes.predict(bayes.log_scores(V.counted(split.test), model))
+    found = bayes.most_likely(V.counted(split.test), model)
     return bayes.with_labels(bayes.with_empty(found, split.test, model), split.test)
 
 
@@ -419,7 +420,7 @@ def ovr_score(spark, sf_dir):
     model = bayes.train(K.marked_tokens(split.train))
     values = V.counted(split.test).select("doc_id", "word", F.col("tf").alias("value"))
     intercepts = model.classes.select("class_id", F.col("log_prior").alias("intercept"))
-    scored = linear.predict(linear.margins(values, bayes.log_odds(model.counts), intercepts, "word"))
+    scored = linear.largest(values, bayes.log_odds(model.counts), intercepts, "word")
     return scored.select("doc_id", F.round("margin", 6).alias("margin"), "prediction")
 
 
