@@ -40,35 +40,19 @@ def hashed_counts(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return Pipeline(stages=stages).fit(rows).transform(rows)
 
 
-def murmur3(data: bytes, seed: int = SEED) -> int:
-    """The public MurmurHash3 for 32 bits, as a signed number."""
-    mask, h = 0xFFFFFFFF, seed
+def word_buckets(words: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(word, bucket): the bucket of each distinct word, from its hashed count as a text of one word."""
+    single = words.select("word").distinct().withColumn("words", F.array("word"))
+    hashed = HashingTF(numFeatures=buckets, inputCol="words", outputCol="rawFeatures").transform(single)
+    return hashed.select("word", F.get(entries(F.col("rawFeatures")), F.lit(0))["bucket"].alias("bucket"))
 
-    def scrambled(k: int) -> int:
-        k = k * 0xCC9E2D51 & mask
-        return (k << 15 | k >> 17) * 0x1B873593 & mask
 
-    whole = len(data) // 4 * 4
-    for i in range(0, whole, 4):
-        h ^= scrambled(int.from_bytes(data[i : i + 4], "little"))
-        h = (h << 13 | h >> 19) & mask
-        h = (h * 5 + 0xE6546B64) & mask
-    h ^= scrambled(int.from_bytes(data[whole:], "little")) ^ len(data)
-    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
-        h = (h ^ h >> shift) * factor & mask
-    h ^= h >> 16
-    return h - (1 << 32) if h >> 31 else h
-
-
-@F.pandas_udf(T.IntegerType())
-def _murmur3(terms: pd.Series) -> pd.Series:
-    return terms.map(lambda t: murmur3(t.encode())).astype("int32")
-
-
-def hashing_bucket(term: Column) -> Column:
-    """The hash of a term before it is reduced to a bucket, as Spark's hashing features work it out.
-    The SQL function ``hash`` treats the last bytes of a string otherwise."""
-    return _murmur3(term)
+def value_buckets(rows: DataFrame, column: str, buckets: int) -> DataFrame:
+    """(value, bucket, n): bucket and count of each distinct value of a column, hashed by itself."""
+    values = rows.select(column).filter(F.col(column).isNotNull()).distinct()
+    hashed = feature_hasher([column], buckets).transform(values)
+    entry = F.get(entries(F.col("features")), F.lit(0))
+    return hashed.select(F.col(column).alias("value"), entry["bucket"].alias("bucket"), entry["n"].alias("n"))
 
 
 def idf_naive_bayes() -> Pipeline:
@@ -155,7 +139,10 @@ def predict_one_vs_rest(model: Model, rows: DataFrame) -> DataFrame:
     return scored.withColumn(model.getPredictionCol(), floored_class(F.col(model.getRawPredictionCol())))
 
 
-def feature_hasher(columns: list[str], buckets: int = 1 << 18) -> FeatureHasher:
+HASHER_BUCKETS = 1 << 18
+
+
+def feature_hasher(columns: list[str], buckets: int = HASHER_BUCKETS) -> FeatureHasher:
     """Mixed columns hashed into one vector: numbers by name, text and flags by name and value."""
     return FeatureHasher(inputCols=columns, outputCol="features", numFeatures=buckets)
 

@@ -221,7 +221,8 @@ select word, count(*) as n from words group by word order by n desc, word"""
 
 _AGREEING_PAGES = "select page_id as doc_id, true as agrees from pages"
 _MAIL = """mail as (
-    select conv_id, turn, role, case when role = 'system' then '' else text end as text from conversations)"""
+    select conv_id, turn, role, text from conversations
+    union all select conv_id, max(turn) + 1, 'user', '' from conversations group by conv_id)"""
 _NAMED = "doc_id || '-a:b-c' as doc_id"
 
 ORACLES: dict[str, str] = {
@@ -357,6 +358,18 @@ best as (
 select doc_id, class_id, prediction from best join test_m using (doc_id) left join classes using (class_name)""",
     "w2v_features": f"""with {_LANG}, {_PAGES}, {_classes('by_lang')}
 select doc_id, (class_id - 1)::double as label, 100 as size from page_messages left join classes using (class_name)""",
+    "gaussian_nb_embeddings": """with judged as (
+    select vec_id, label, embedding from embeddings where vec_id in (select doc_id from labels)),
+train as (select label, unnest(embedding)::double as x, generate_subscripts(embedding, 1) as d from judged),
+moments as (select label, d, avg(x) as mu, avg(x * x) as sq from train group by label, d),
+smooth as (select max(v) * 1e-9 as eps from (select avg(x * x) - avg(x) * avg(x) as v from train group by d)),
+prior as (select label, ln(count(*)::double / (select count(*) from judged)) as p from judged group by label),
+test as (select vec_id, unnest(embedding)::double as x, generate_subscripts(embedding, 1) as d
+    from embeddings where vec_id not in (select doc_id from labels)),
+density as (select vec_id, label, sum(-0.5 * (ln(2 * pi() * (sq - mu * mu + eps)) + (x - mu) ** 2 / (sq - mu * mu + eps))) as s
+    from test join moments using (d) cross join smooth group by vec_id, label)
+select vec_id as doc_id, arg_max(label, s + p) as prediction, round(max(s + p), 4) as score, true as agrees
+from density join prior using (label) group by vec_id""",
     "feature_hasher": "select doc_id, true as agrees from documents",
     "line_scan": f"""with lines as (select lang, unnest({_LINES}) as line from documents)
 select lang, count(*) as n_lines, sum(length(line))::bigint as n_chars from lines group by lang""",

@@ -8,12 +8,12 @@ from functools import reduce
 
 from pyspark.ml.classification import NaiveBayesModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailsift.functions import paths as P, text as T
 from mailsift.functions.features import as_ml_vector
-from mailsift.operators import bayes, classes as C, evaluate, knn, linear, ml, tokens as K
+from mailsift.operators import bayes, classes as C, evaluate, gaussian, knn, linear, ml, tokens as K
 from mailsift.operators.dictionary import feature_dictionary
 from mailsift.operators.tfidf import (
     corpus_size,
@@ -27,11 +27,6 @@ from mailsift.plans import corpora, features as V
 from mailsift.session import scratch_path, stored
 from mailsift.sources import sparse, tables, text as text_source
 
-# Components of the word vectors that are compared one by one.
-W2V_CHECKED = 20
-# Iterations of the SVMs whose margins are compared: any weights will do.
-SVM_CHECKED = 10
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -380,13 +375,18 @@ def _sparse_neighbours(spark, sf_dir) -> DataFrame:
     return knn.nearest(test, train)
 
 
-def _dense_neighbours(spark, sf_dir) -> DataFrame:
+def _judged_embeddings(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Vectors that ``labels`` judges, and the others."""
     rows = corpora.table(spark, sf_dir, "embeddings").select(
         "vec_id", "label", F.col("embedding").cast("array<double>").alias("features")
     )
     judged = corpora.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("vec_id"))
     train = rows.join(judged, "vec_id", "left_semi").withColumnRenamed("vec_id", "train_id")
-    test = rows.join(judged, "vec_id", "left_anti").withColumnRenamed("vec_id", "query_id")
+    return train, rows.join(judged, "vec_id", "left_anti").withColumnRenamed("vec_id", "query_id")
+
+
+def _dense_neighbours(spark, sf_dir) -> DataFrame:
+    train, test = _judged_embeddings(spark, sf_dir)
     return knn.nearest(test.select("query_id", "features"), train, non_negative=False, dense=True)
 
 
@@ -461,11 +461,12 @@ def svm_ovr(spark, sf_dir):
 
 @query
 def hashed_counts(spark, sf_dir):
-    """Every word of a text counts in the bucket that Spark's own hash function names."""
+    """Every word of a text counts in the bucket that it has as a text of one word."""
     pages = ml.labelled(K.clean_text(_by_page(spark, sf_dir)))
     words = pages.select("doc_id", F.explode(T.newline_tokens(F.col("text"))).alias("word"))
-    bucket = F.pmod(ml.hashing_bucket(F.col("word")), F.lit(ml.BUCKETS))
-    wanted = words.groupBy("doc_id", bucket.alias("bucket")).agg(F.count("*").cast("double").alias("n"))
+    words = stored(words.groupBy("doc_id", "word").agg(F.count("*").alias("n")))
+    bucketed = with_word_values(words, stored(ml.word_buckets(words)))
+    wanted = bucketed.groupBy("doc_id", "bucket").agg(F.sum("n").cast("double").alias("n"))
     wanted = wanted.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("wanted"))
     counted = ml.hashed_counts(pages).select("doc_id", ml.entries(F.col("rawFeatures")).alias("found"))
     both = counted.join(wanted, "doc_id", "left")
@@ -503,9 +504,9 @@ def svm_margins(spark, sf_dir):
     """Margins of each class's SVM, trained on its binarised label, against those of its weights as a
     table."""
     train, test = _hashed(spark, sf_dir)
-    model = ml.one_vs_rest_svm(SVM_CHECKED).fit(train)
+    model = ml.one_vs_rest_svm().fit(train)
     binary = linear.binarise(train.withColumn("label", F.col("label") + 1), 1)
-    first = ml.linear_svm(SVM_CHECKED).fit(binary)
+    first = ml.linear_svm().fit(binary)
     weights, intercepts = ml.weight_table(spark, model.models)
     values = test.select("doc_id", F.inline(ml.entries(F.col("features")))).withColumnsRenamed({"n": "value"})
     margins = linear.margins(stored(values), weights, intercepts, "bucket").groupBy("doc_id").agg(
@@ -547,19 +548,22 @@ def w2v_means(spark, sf_dir):
     the sum; the zero vector for none."""
     split = corpora.documents_and_pages(spark, sf_dir)
     train, test = stored(_words(split.train)), stored(_words(split.test))
-    model = ml.word2vec(size=W2V_CHECKED).fit(train)
+    model = ml.word2vec().fit(train)
+    size = model.getVectorSize()
     table = stored(model.getVectors().select("word", vector_to_array("vector").alias("vector")))
     words = test.select("doc_id", F.explode("words").alias("word"))
     known = with_word_values(stored(words), table)
-    sums = [F.sum(F.get("vector", F.lit(i))).alias(f"v{i}") for i in range(W2V_CHECKED)]
-    wanted = known.groupBy("doc_id").agg(*sums)
+    sums = known.groupBy("doc_id").agg(*[F.sum(F.get("vector", F.lit(i))).alias(f"v{i}") for i in range(size)])
+    wanted = sums.select("doc_id", F.array(*[f"v{i}" for i in range(size)]).alias("wanted"))
     found = model.transform(test).select("doc_id", F.size("words").alias("n"), vector_to_array("features").alias("found"))
-    both = found.join(wanted, "doc_id", "left")
-    near = [
-        F.abs(F.get("found", F.lit(i)) - F.coalesce(F.try_divide(f"v{i}", "n"), F.lit(0.0))) < 1e-4
-        for i in range(W2V_CHECKED)
-    ]
-    return both.select("doc_id", reduce(lambda a, b: a & b, near).alias("agrees"))
+    both = found.join(wanted, "doc_id", "left").withColumn(
+        "wanted", F.coalesce("wanted", F.array_repeat(F.lit(0.0), size))
+    )
+    near = F.forall(
+        F.arrays_zip("found", "wanted"),
+        lambda v: F.abs(v["found"] - F.coalesce(F.try_divide(v["wanted"], F.col("n")), F.lit(0.0))) < 1e-4,
+    )
+    return both.select("doc_id", near.alias("agrees"))
 
 
 @query
@@ -568,6 +572,34 @@ def w2v_naive_bayes(spark, sf_dir):
     return _predictions(ml.naive_bayes("gaussian").fit(train).transform(test))
 
 
+@query
+def gaussian_nb_embeddings(spark, sf_dir):
+    """The likeliest label of the embeddings that ``labels`` does not judge, trained on the judged ones, and
+    whether Spark ML's model has the same scores and prediction."""
+    train, test = _judged_embeddings(spark, sf_dir)
+    train = stored(train.select(F.col("label").alias("class_id"), "features"))
+    test = stored(test.select(F.col("query_id").alias("doc_id"), "features"))
+    model = gaussian.train(train)
+    sums, places = gaussian.score_vectors(test, model)
+    ids = F.lit([int(i) for i in places.ids])
+    dense = train.select((F.array_position(ids, F.col("class_id")) - 1).cast("double").alias("label"), "features")
+    dense = dense.withColumn("features", array_to_vector("features"))
+    fitted = ml.naive_bayes("gaussian").fit(stored(dense))
+    raw = fitted.transform(test.withColumn("features", array_to_vector("features")))
+    raw = raw.select("doc_id", vector_to_array("rawPrediction").alias("raw"), (F.col("prediction") + 1).alias("at"))
+    # Its scores leave out the constant of the density, the same for every class.
+    apart = F.array_max("sums") - F.array_max("raw")
+    near = F.forall(F.arrays_zip("sums", "raw"), lambda v: F.abs(v["sums"] - v["raw"] - apart) < 1e-6)
+    best = F.array_max("sums")
+    at = F.array_position("sums", best)
+    return sums.join(raw, "doc_id").select(
+        "doc_id",
+        F.get(ids, at.cast("int") - 1).alias("prediction"),
+        F.round(best, 4).alias("score"),
+        (near & (at == F.col("at"))).alias("agrees"),
+    )
+
+
 @query
 def random_forest(spark, sf_dir):
     train, test = _hashed(spark, sf_dir)
@@ -598,24 +630,19 @@ def random_forest_chances(spark, sf_dir):
 
 @query
 def feature_hasher(spark, sf_dir):
-    """Hashed columns of the documents. The number counts with its value at the bucket of its name,
-    a text or flag with 1 at the bucket of ``name=value``."""
-    rows = corpora.table(spark, sf_dir, "documents").select(
+    """Hashed columns of the documents are the sums of what each column gives by itself."""
+    rows = stored(corpora.table(spark, sf_dir, "documents").select(
         "doc_id", "n_chars", "lang", "source", (F.col("n_chars") > 1000).alias("long")
-    )
-    buckets = 1024
-    hasher = ml.feature_hasher(["n_chars", "lang", "source", "long"], buckets=buckets)
-    terms = F.array(
-        F.struct(F.lit("n_chars").alias("term"), F.col("n_chars").cast("double").alias("n")),
-        *[
-            F.struct(F.concat(F.lit(f"{c}="), F.col(c).cast("string")).alias("term"), F.lit(1.0).alias("n"))
-            for c in ("lang", "source", "long")
-        ],
-    )
-    bucket = F.pmod(ml.hashing_bucket(F.col("term")), F.lit(buckets)).alias("bucket")
-    wanted = rows.select("doc_id", F.inline(terms)).groupBy("doc_id", bucket).agg(F.sum("n").alias("n"))
+    ))
+    columns = ["n_chars", "lang", "source", "long"]
+    parts = [
+        rows.select("doc_id", F.col(c).alias("value")).join(ml.value_buckets(rows, c, ml.HASHER_BUCKETS), "value")
+        for c in columns
+    ]
+    parts = reduce(DataFrame.unionByName, [p.select("doc_id", "bucket", "n") for p in parts])
+    wanted = parts.groupBy("doc_id", "bucket").agg(F.sum("n").alias("n"))
     wanted = wanted.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("wanted"))
-    found = hasher.transform(rows).select("doc_id", ml.entries(F.col("features")).alias("found"))
+    found = ml.feature_hasher(columns).transform(rows).select("doc_id", ml.entries(F.col("features")).alias("found"))
     return found.join(wanted, "doc_id").select("doc_id", (F.col("found") == F.col("wanted")).alias("agrees"))
 
 
@@ -644,9 +671,10 @@ def clean_token_round_trip(spark, sf_dir):
 
 
 def _mail(spark, sf_dir) -> DataFrame:
-    """(conv_id, turn, role, text) with the words of the system as empty messages."""
-    text = F.when(F.col("role") != "system", F.col("text")).otherwise("")
-    return corpora.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", text.alias("text"))
+    """(conv_id, turn, role, text): all turns, and one empty message behind the last turn of each conversation."""
+    turns = corpora.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    last = turns.groupBy("conv_id").agg((F.max("turn") + 1).cast(turns.schema["turn"].dataType).alias("turn"))
+    return turns.unionByName(last.select("conv_id", "turn", F.lit("user").alias("role"), F.lit("").alias("text")))
 
 
 @query
