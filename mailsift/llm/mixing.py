@@ -24,7 +24,9 @@ SHARE = 1.5
 # The weights of the sources in order, repeating.
 SOURCE_WEIGHTS = (3.0, 1.0, 2.0)
 
-MAX_STEPS = 60
+# Steps after which halving alone has narrowed any bracket to the digits that are kept.
+MAX_STEPS = 200
+DIGITS = 10
 TOLERANCE = 1e-9
 # Starting points of the running sum that are tried for each source.
 OFFSETS = 64
@@ -63,6 +65,11 @@ def _odds(share: Column) -> Column:
     return F.log(share / (1 - share))
 
 
+def _left_over() -> Column:
+    """Whether a multiplier can still be told apart from the ends of its bracket at the digits that are kept."""
+    return F.round(F.col("high"), DIGITS) != F.round(F.col("low"), DIGITS)
+
+
 def solve(histogram: DataFrame) -> DataFrame:
     """(source_no, lambda) for the sources whose target lies strictly between 0 and the ceiling.
 
@@ -109,11 +116,13 @@ def solve(histogram: DataFrame) -> DataFrame:
         state = stored(
             taken.select("source_no", following.alias("lambda"), "low", "high", "miss"), "mixing-state"
         )
-        worst = state.agg(F.max("miss")).first()[0]
-        if worst is None or worst <= TOLERANCE:
+        worst, widest = state.filter(F.col("miss") > TOLERANCE).agg(F.max("miss"), F.max(_left_over())).first()
+        if worst is None or not widest:
             break
+    else:
+        raise RuntimeError(f"the multipliers did not settle in {MAX_STEPS} steps")
     # Sums may run in another order in another run; what that changes is rounded away.
-    return state.select("source_no", F.round("lambda", 10).alias("lambda"))
+    return state.select("source_no", F.round("lambda", DIGITS).alias("lambda"))
 
 
 def rates(documents: DataFrame) -> tuple[DataFrame, DataFrame]:

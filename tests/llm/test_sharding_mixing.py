@@ -1,7 +1,10 @@
+import math
 import random
 import zlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from mailsift.llm import mixing, sharding
 
 
@@ -24,16 +27,71 @@ def test_key_law_moves_rows_only_into_the_new_shard(documents):
 
 
 def test_weights_change_only_their_subtrees(documents):
-    docs = documents([(i, "x", "a") for i in range(2000)])
-    before = {r.doc_id: r.shard for r in sharding.assign(docs, 24).collect()}
-    weights = [1.0] * 24
-    weights[5] = 3.0
-    after = {r.doc_id: r.shard for r in sharding.assign(docs, 24, weights).collect()}
-    assert all(after[i] == 5 for i in before if after[i] != before[i])
-    assert 2 * Counter(before.values())[5] < Counter(after.values())[5] * 1.2
-    weights[5] = 0.0
-    without = {r.doc_id: r.shard for r in sharding.assign(docs, 24, weights).collect()}
-    assert all(without[i] == before[i] for i in before if before[i] != 5) and 5 not in without.values()
+    docs = documents([(i, "x", "a") for i in range(4000)])
+    place = {s.shard: (s.region, s.rack, s.shard) for s in sharding.tree(24)}
+    before = {r.doc_id: place[r.shard] for r in sharding.assign(docs, 24).collect()}
+    for weight, grows in ((3.0, True), (0.0, False)):
+        weights = [1.0] * 24
+        weights[5] = weight
+        after = {r.doc_id: place[r.shard] for r in sharding.assign(docs, 24, weights).collect()}
+        moved = {i for i in before if before[i] != after[i]}
+        for i in moved:
+            # Where the way parts first, one of both sides is on the way to shard 5, and it is the one that gains.
+            level = next(k for k in range(3) if before[i][k] != after[i][k])
+            gains = after[i] if grows else before[i]
+            assert gains[: level + 1] == place[5][: level + 1]
+        assert moved and (Counter(after.values())[place[5]] > 2 * Counter(before.values())[place[5]]) == grows
+        assert grows or place[5] not in after.values()
+
+
+def plain_place(rows, shards):
+    """The shard of each (key, hashes by node), level by level; ``hashes`` are Spark's own."""
+    found = {}
+    for key, hashes in rows.items():
+        nodes = shards
+        for level in ("region", "rack", "shard"):
+            children = {}
+            for s in nodes:
+                children.setdefault(getattr(s, level), []).append(s)
+            clocks = {}
+            for name, below in children.items():
+                weight = sum(s.weight for s in below)
+                node = (level, below[0].region, name) if level == "rack" else (level, name)
+                if weight > 0:
+                    clocks[name] = -math.log((((hashes[node] & (2**64 - 1)) >> 11) + 0.5) / 2**53) / weight
+            nodes = children[min(clocks, key=clocks.get)]
+        found[key] = nodes[0].shard
+    return found
+
+
+def test_draws_level_by_level_and_another_shape(spark, documents):
+    docs = documents([(i, "x", "a") for i in range(1500)] + [(None, "x", "a")])
+    seen = []
+    for n, per_rack, racks in ((24, 4, 3), (25, 4, 3), (24, 5, 2), (7, 2, 1)):
+        weights = [1.0 + (s % 3) for s in range(n)]
+        weights[n // 2] = 0.0
+        shards = sharding.tree(n, weights, per_rack, racks)
+        nodes = {("shard", s.shard) for s in shards} | {("rack", s.region, s.rack) for s in shards}
+        nodes = sorted(nodes | {("region", s.region) for s in shards}, key=str)
+        columns = [F.xxhash64("doc_id", *map(F.lit, node)).alias(f"h{i}") for i, node in enumerate(nodes)]
+        hashes = {r[0]: dict(zip(nodes, r[1:])) for r in docs.select("doc_id", *columns).collect()}
+        found = {r.doc_id: r.shard for r in sharding.assign(docs, n, weights, per_rack, racks).collect()}
+        assert found == plain_place(hashes, shards)
+        seen.append(found)
+    assert seen[0] != seen[2]
+
+
+def test_shares_follow_weights(documents):
+    docs = documents([(i, "", "a") for i in range(20_000)])
+    found = Counter(r.shard for r in sharding.assign(docs).collect())
+    assert all(abs(found[s] - 20_000 / 24) < 5 * (20_000 / 24) ** 0.5 for s in range(24))
+
+
+def test_many_shards_cost_levels_times_fan_out(documents):
+    docs = documents([(i, "", "a") for i in range(2_000)])
+    found = sharding.assign(docs, 4_000, per_rack=20, racks=20).collect()
+    assert len({r.shard for r in found}) > 1_200
+    assert all(r.grown_shard in (r.shard, 4_000) for r in found)
 
 
 def test_sharding_of_odd_rows(documents):
@@ -85,8 +143,6 @@ def test_mix_meets_its_targets(documents):
 
 
 def test_mix_rates_are_exponentially_tilted(documents):
-    import math
-
     rows = [(i, words(1 + i % 9), "ab"[i % 2]) for i in range(400)]
     found = mixing.mix(documents(rows)).collect()
     for source in range(2):
