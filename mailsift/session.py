@@ -35,10 +35,12 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``, or the configured warehouse where
-    that is unset."""
+    """The folder all executors can reach: ``spark.checkpoint.dir``. Where that is unset, the warehouse in local
+    mode, and an error on a cluster, whose machines may not share it."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not named and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     return named or spark.conf.get("spark.sql.warehouse.dir")
 
 
