@@ -178,6 +178,45 @@ def test_zero_vectors_and_far_groups(spark):
     assert rows == [(1, 1, 3, 1.0), (1, 2, 1, 100.0), (2, 1, 1, 0.0), (2, 2, 2, 0.001)]
 
 
+def test_unit_vectors_in_clusters_meet_few_cells(spark, monkeypatch):
+    """Norms tell nothing about unit vectors; the pivots do."""
+    monkeypatch.setattr(knn, "TILE_ROWS", 64)
+    rng = random.Random(11)
+
+    def unit(values):
+        norm = math.sqrt(sum(v * v for v in values))
+        return [(i, v / norm) for i, v in enumerate(values)]
+
+    centres = [[rng.gauss(0, 1) for _ in range(16)] for _ in range(30)]
+    near = lambda: unit([c + rng.gauss(0, 0.02) for c in rng.choice(centres)])
+    test = [(i, near()) for i in range(100)]
+    train = [(i, 1, near()) for i in range(1500)]
+    queries = spark.createDataFrame(test, f"query_id bigint, features {FEATURES_TYPE}")
+    points = spark.createDataFrame(train, f"train_id bigint, label int, features {FEATURES_TYPE}")
+    queries, points = (rows.withColumn("features", F.col("features.weight")) for rows in (queries, points))
+    compared = knn.candidates(queries, points, k=5, non_negative=False, dense=True).collect()
+    assert len(compared) == len(test)
+    assert sum(r.n_candidates for r in compared) <= 0.2 * len(test) * len(train)
+    found = knn.nearest(queries, points, k=5, non_negative=False, dense=True)
+    rows = sorted(tuple(r) for r in found.select("query_id", "rank", "train_id", "label", "distance").collect())
+    assert [r[4] for r in rows] == pytest.approx([e[4] for e in brute_force(test, train, 5)], abs=2e-6)
+
+
+@pytest.mark.parametrize("dense", [False, True])
+def test_nearest_of_odd_rows(spark, dense):
+    """Rows without features have no neighbours and are none; labels can be null; an empty side gives nothing."""
+    features = "array<double>" if dense else FEATURES_TYPE
+    row = [1.0, 2.0] if dense else [(1, 1.0), (2, 2.0)]
+    queries = spark.createDataFrame([(1, row), (2, None)], f"query_id bigint, features {features}")
+    points = spark.createDataFrame(
+        [(1, None, row), (2, 5, None), (3, 5, row)], f"train_id bigint, label int, features {features}"
+    )
+    found = knn.nearest(queries, points, k=5, dense=dense).collect()
+    assert sorted(tuple(r) for r in found) == [(1, 1, 1, None, 0.0), (1, 2, 3, 5, 0.0)]
+    assert not knn.nearest(queries, points.limit(0), k=5, dense=dense).collect()
+    assert not knn.nearest(queries.limit(0), points, k=5, dense=dense).collect()
+
+
 @pytest.mark.parametrize(
     "labels, expected",
     [([1, 1, 2, 2, 2], 2), ([1, 2, 3], 0), ([1, 2, 2, 1], 2), ([2, 1, 1, 2, 3, 3], 1), ([5, 5], 5)],
