@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailsift.functions import paths as P
-from mailsift.session import shuffle_width
+from mailsift.sources.files import FORMAT, WholeFiles
 
 
 def read_lines(spark: SparkSession, *paths: str, recursive: bool = False) -> DataFrame:
@@ -18,30 +15,22 @@ def read_lines(spark: SparkSession, *paths: str, recursive: bool = False) -> Dat
     return reader.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
-def read_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """(path, text): one row per whole file that the paths or patterns name, empty files included.
-
-    Spark's file sources pass over files of length 0, which count as messages here; the whole-file
-    input of the RDD interface lists them.
-    """
-    files = spark.sparkContext.wholeTextFiles(",".join(paths), shuffle_width(spark))
-    return spark.createDataFrame(files, "path string, text string")
+def read_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, text): one row per whole file below ``root``, empty files included, which Spark's own file sources
+    pass over. Tasks get about equal bytes."""
+    spark.dataSource.register(WholeFiles)
+    return spark.read.format(FORMAT).load(_uri(root))
 
 
 def write_files(rows: DataFrame, root: str) -> None:
-    """One file per (path, text) row below ``root``, which must not exist yet. A file that a lost task
-    has written is written again."""
+    """One file per (path, text) row below ``root``; a null text is an empty file. Two rows of one path, or
+    one that is there already, are an error. Files appear when all of them are written."""
+    rows.sparkSession.dataSource.register(WholeFiles)
+    rows.select("path", "text").write.format(FORMAT).mode("append").save(_uri(root))
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(root)
-        for batch in batches:
-            for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist()):
-                store.create_dir(f"{base}/{path}".rpartition("/")[0], recursive=True)
-                with store.open_output_stream(f"{base}/{path}", compression=None) as out:
-                    out.write((text or "").encode())
-            yield batch.select(["path"])
 
-    rows.select("path", "text").mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
+def _uri(root: str) -> str:
+    return root if ":/" in root else f"file://{root}"
 
 
 def read_corpus(spark: SparkSession, root: str) -> DataFrame:
@@ -49,9 +38,9 @@ def read_corpus(spark: SparkSession, root: str) -> DataFrame:
 
     File names repeat between classes, so the id is ``<class name>/<file>``.
     """
-    files = read_files(spark, f"{root}/*/*")
     path = F.col("path")
-    return files.select(
+    depth = len(fs.FileSystem.from_uri(_uri(root))[1].rstrip("/").split("/")) + 2
+    return read_files(spark, root).filter(F.size(F.split(path, "/")) == depth).select(
         F.concat_ws("/", P.directory_name(path), P.file_name(path)).alias("doc_id"),
         P.directory_name(path).alias("class_name"),
         "text",

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailsift.functions.features import FEATURES_TYPE, as_ml_vector
-from mailsift.sources import sparse, tables, text as text_source
+from mailsift.sources import files, sparse, tables, text as text_source
 
 
 @pytest.fixture
@@ -50,10 +50,61 @@ def test_pairs_replace_and_keep_odd_words(spark, tmp_path, rows_of):
         assert rows_of(tables.read_dictionary(spark, path)) == sorted(rows)
 
 
-def test_a_line_without_tab_fails(spark, tmp_path):
-    (tmp_path / "pairs").write_text("word\t1\nbroken\n")
-    with pytest.raises(Exception, match="(?i)malformed"):
-        tables.read_dictionary(spark, str(tmp_path / "pairs")).collect()
+def test_bad_lines_are_data(spark, tmp_path, rows_of):
+    (tmp_path / "pairs").write_text("word\t1\nbroken\nnumber\tx\na\tb\t3\n\tempty\nlast\t2\n")
+    path = str(tmp_path / "pairs")
+    assert rows_of(tables.read_dictionary(spark, path)) == [("last", 2), ("word", 1)]
+    assert rows_of(tables.read_dictionary(spark, path), "word") == [("last",), ("word",)]
+    rejects = tables.read_rejects(spark, path, tables.DICTIONARY)
+    assert rows_of(rejects) == [("\tempty",), ("a\tb\t3",), ("broken",), ("number\tx",)]
+    pairs, counters = tables.read_counted_pairs(spark, path, tables.DICTIONARY)
+    assert len(pairs.collect()) == 2
+    assert counters.get == {"n_rows": 2, "n_rejects": 4}
+
+
+def test_whole_files_in_tasks_of_equal_bytes(tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "OPENING_BYTES", 10)
+    for i in range(12):
+        (tmp_path / f"f{i:02}").write_text("x" * (25 * (i % 3)))
+    (tmp_path / "_SUCCESS").write_text("")
+    reader = files.WholeFileReader({"path": f"file://{tmp_path}", "partitionBytes": "100"})
+    parts = reader.partitions()
+    assert sorted(p for part in parts for p in part.paths) == sorted(str(f) for f in tmp_path.glob("f*"))
+    assert len(parts) == 4
+    rows = [r for part in parts for batch in reader.read(part) for r in batch.to_pylist()]
+    assert {r["path"][-3:]: len(r["text"]) for r in rows} == {f"f{i:02}": 25 * (i % 3) for i in range(12)}
+
+
+def test_a_lost_attempt_leaves_no_file(tmp_path):
+    root = tmp_path / "out"
+    writer = files.WholeFileWriter({"path": f"file://{root}"})
+    rows = [{"path": "a/1", "text": "one"}, {"path": "a/2", "text": None}, {"path": "b/1", "text": "two"}]
+
+    def lost():
+        yield rows[0]
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        writer.write(lost())
+    assert not (root / "a").exists()
+    writer.commit([writer.write(iter(rows[:2])), writer.write(iter(rows[2:]))])
+    found = {str(f.relative_to(root)): f.read_text() for f in root.rglob("*") if f.is_file()}
+    assert found == {"a/1": "one", "a/2": "", "b/1": "two"}
+    assert not (root / "_temporary").exists()
+    with pytest.raises(ValueError, match="two rows have the path"):
+        writer.commit([writer.write(iter(rows[:1]))])
+    with pytest.raises(ValueError, match="needs a path"):
+        writer.write(iter([{"path": None, "text": "x"}]))
+
+
+def test_a_failed_write_is_taken_back(spark, tmp_path):
+    root = tmp_path / "out"
+    rows = spark.createDataFrame([("a/1", "x"), (None, "y")], "path string, text string")
+    with pytest.raises(Exception, match="needs a path"):
+        text_source.write_files(rows, str(root))
+    assert not [f for f in root.rglob("*") if f.is_file()]
+    text_source.write_files(rows.limit(0), str(root))
+    assert text_source.read_files(spark, str(root)).count() == 0
 
 
 def test_prediction_lines(spark, tmp_path, rows_of):
