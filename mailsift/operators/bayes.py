@@ -110,6 +110,33 @@ def linear_scores(scores: DataFrame) -> DataFrame:
     )
 
 
+# Products of so many probabilities cannot leave the range of doubles; longer documents go by their log scores.
+PRODUCT_TOKENS = 20
+
+
+def linear_products(tf: DataFrame, model: BayesModel, longest: int = PRODUCT_TOKENS) -> DataFrame:
+    """(doc_id, class_id, n_tokens, score, underflow): prior times the product of the word probabilities for documents
+    of at most ``longest`` tokens. Longer ones have a null score and the rule of ``linear_scores`` for ``underflow``.
+
+    ``tf`` (doc_id, word, cnt), stored. Words that a class has not seen count with ``1/(tokens_c + V)``; only the
+    others become rows of (document, class, word).
+    """
+    scores = log_scores(tf, model)
+    lengths = tf.groupBy("doc_id").agg(F.sum("cnt").alias("n_tokens"))
+    short = stored(tf.join(lengths.filter(F.col("n_tokens") <= longest), "doc_id").select("doc_id", "word", "cnt"))
+    words = stored(class_lists(model.counts, "word", F.col("cnt") + 1, F.col("cnt")).drop("frequency"), "bayes-words")
+    seen = with_word_values(short, words).select("doc_id", "cnt", F.inline("by_class"))
+    products = seen.groupBy("doc_id", "class_id").agg(F.product(F.pow("value", "cnt")).alias("_product"))
+    n_docs = model.classes.agg(F.sum("n_docs")).scalar()
+    total = F.col("n_tokens") + F.col("vocabulary")
+    constants = model.classes.select("class_id", (F.col("n_docs") / n_docs).alias("_prior"), (1.0 / total).alias("_unseen"))
+    rows = scores.join(lengths, "doc_id").join(constants, "class_id").join(products, ["doc_id", "class_id"], "left")
+    score = F.col("_prior") * F.pow("_unseen", "n_tokens") * F.coalesce("_product", F.lit(1.0))
+    product = F.when(F.col("n_tokens") <= longest, score)
+    gone = F.when(product.isNotNull(), product == 0).otherwise(F.col("score") < LOG_OF_ZERO)
+    return rows.select("doc_id", "class_id", "n_tokens", product.alias("score"), gone.alias("underflow"))
+
+
 def predict(scores: DataFrame) -> DataFrame:
     """(doc_id, prediction): the class with the highest score, the smallest id among equals."""
     best = F.max(F.struct(F.col("score"), (-F.col("class_id")).alias("rank")))

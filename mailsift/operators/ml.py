@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.ml import Model, Pipeline
+from pyspark import keyword_only
+from pyspark.ml import Model, Pipeline, Transformer
 from pyspark.ml.classification import LinearSVC, NaiveBayes, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IDF, FeatureHasher, HashingTF, RegexTokenizer, Word2Vec
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from mailsift.operators.linear import MARGIN_FLOOR, NO_CLASS
+from mailsift.operators.tokens import kept_words
 
 SEED = 42
 BUCKETS = 5000
@@ -23,6 +27,26 @@ def labelled(rows: DataFrame, class_id: str = "class_id") -> DataFrame:
     return rows.withColumn("label", F.col(class_id).cast("double") - 1)
 
 
+class TextCleaner(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """``inputCol`` without header lines and stop words as ``outputCol``, one word per line: the cleaning as a stage,
+    saved and loaded with its pipeline. A null text stays without words."""
+
+    @keyword_only
+    def __init__(self, *, inputCol: str = "text", outputCol: str = "clean"):
+        super().__init__()
+        self._setDefault(inputCol="text", outputCol="clean")
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn(self.getOutputCol(), F.concat_ws("\n", kept_words(F.col(self.getInputCol()))))
+
+
+def mail_classifier(buckets: int = BUCKETS) -> Pipeline:
+    """Raw messages to predictions: cleaning, hashed TF-IDF and Naive Bayes as one pipeline."""
+    tokenizer, *rest = hashing_tfidf(buckets).getStages()
+    return Pipeline(stages=[TextCleaner(), tokenizer.setInputCol("clean"), *rest, naive_bayes()])
+
+
 def hashing_tfidf(buckets: int = BUCKETS) -> Pipeline:
     """text → words → hashed counts → TF-IDF ``features`` (sparse)."""
     return Pipeline(

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from mailsift.functions import text as T
 from mailsift.session import shuffle_width
@@ -62,6 +62,29 @@ def clean_text(messages: DataFrame) -> DataFrame:
     return messages.withColumn("text", F.concat_ws("\n", kept_words(F.col("text"))))
 
 
+def counted_clean_text(messages: DataFrame) -> tuple[DataFrame, Observation]:
+    """``clean_text``, and what the first action on it meets: messages, header lines, letter runs outside of them,
+    stop words among these, words that stay, and messages left without any. Counted in the same pass; a null text
+    is a message without words."""
+    text = F.col("text")
+    n_lines = F.size(F.filter(T.lines(text), T.is_header))
+    n_runs, n_kept = F.size(T.letter_tokens(T.without_headers(text))), F.size(kept_words(text))
+    sized = messages.withColumns({"_headers": n_lines, "_runs": n_runs, "_kept": n_kept})
+    sized = sized.fillna(0, ["_headers", "_runs", "_kept"])
+    counters = Observation()
+    total = lambda c: F.coalesce(F.sum(F.greatest(c, F.lit(0))), F.lit(0))
+    seen = sized.observe(
+        counters,
+        F.count("*").alias("messages"),
+        total(F.col("_headers")).alias("header_lines"),
+        total(F.col("_runs")).alias("letter_runs"),
+        total(F.col("_runs") - F.col("_kept")).alias("stop_words"),
+        total(F.col("_kept")).alias("words"),
+        F.count_if(F.col("_kept") <= 0).alias("empty_messages"),
+    )
+    return clean_text(seen.drop("_headers", "_runs", "_kept")), counters
+
+
 def marked_tokens(messages: DataFrame) -> DataFrame:
     """(…, word, is_first): the clean tokens, the first one of each message marked. Moves no row."""
     carried = [c for c in messages.columns if c != "text"]

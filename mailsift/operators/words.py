@@ -11,9 +11,11 @@ The rows are read twice or three times, so they should be cheap to read: a store
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
 
-from mailsift.session import stored
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from mailsift.session import scratch_path, stored
 
 HOT_WORDS = 10_000
 
@@ -57,3 +59,40 @@ def with_word_values(
 def without_word_values(rows: DataFrame, table: DataFrame, on: str = "word") -> DataFrame:
     """The rows whose word is not in ``table``. The engine splits hot words of the rows."""
     return rows.join(table.select(on), on, "left_anti").select(*rows.columns)
+
+
+class WordTables:
+    """Tables kept by word: rows of equal words lie in buckets of one number, sorted, so that the tables meet without
+    another shuffle however often they are joined. The rows of hot words, which would make one bucket as large as the
+    word is frequent, are kept apart with an even spread.
+    """
+
+    def __init__(self, spark: SparkSession, buckets: int):
+        self.spark, self.buckets = spark, buckets
+        self.hot: DataFrame | None = None
+
+    def _kept(self, rows: DataFrame, name: str) -> DataFrame:
+        table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+        writer = rows.repartition(self.buckets, "word").write.bucketBy(self.buckets, "word").sortBy("word")
+        writer.option("path", scratch_path(self.spark, name)).saveAsTable(table)
+        return self.spark.table(table)
+
+    def rows(self, rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """Many rows per word, kept: those of hot words, which this table decides, and the others in buckets."""
+        rows = stored(rows, name)
+        counts = rows.groupBy("word").agg(F.count("*").alias("n"))
+        self.hot = stored(hot_words(counts), "hot-words")
+        few = stored(rows.join(F.broadcast(self.hot), "word", "left_semi"), name)
+        return few, self._kept(rows.join(F.broadcast(self.hot), "word", "left_anti"), name)
+
+    def values(self, table: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """One row per word, kept: those of the hot words, and all in buckets."""
+        every = self._kept(table, name)
+        return stored(every.join(F.broadcast(self.hot), "word", "left_semi"), name), every
+
+    @staticmethod
+    def join(rows: tuple[DataFrame, DataFrame], values: tuple[DataFrame, DataFrame]) -> DataFrame:
+        """Rows with the values of their words. The buckets are merged where they lie."""
+        few = rows[0].join(values[0], "word")
+        many = rows[1].join(values[1].hint("merge"), "word")
+        return few.unionByName(many)

@@ -263,6 +263,15 @@ named as (
 select '/mail/' || lang || '/' || file_name as path, file_name, lang as directory,
        doc_id::varchar as document, source as second_part, class_id::varchar as last_part
 from named""",
+    "cleaning_counters": f"""with d as (select {_LINES} as ls, {_words('text')} as ws from documents),
+sized as (
+    select len(list_filter(ls, lambda l: regexp_matches(l, '{_HEADER}'))) as headers, len(ws) as runs,
+           len(list_filter(ws, lambda w: w not in ({_STOP}))) as kept
+    from d),
+sums as (select count(*) as m, sum(headers) as h, sum(runs) as r, sum(kept) as k, count(*) filter (kept = 0) as e from sized)
+select unnest(['messages', 'header_lines', 'letter_runs', 'stop_words', 'words', 'empty_messages']) as counter,
+       unnest([m, h, r, r - k, k, e])::bigint as n
+from sums""",
     "class_map": _CLASS_MAP,
     "class_lookup": f"""with {_LANG}, {_PAGES}, {_classes('by_lang')}
 select doc_id, class_id, doc_id || '-' || coalesce(class_id::varchar, 'null') as name
@@ -274,6 +283,8 @@ select doc_id, word, cnt, doc_len, round(tf, 9) as tf from tf""",
     "document_frequency": f"""with {_LANG}, {_tokens('tok', 'by_lang')}, {_tf('tok')}, {_idf('tf', 'by_lang')}
 select word, df, round(idf, 9) as idf from idf""",
     "tfidf": _TFIDF_ROWS,
+    "bucketed_tfidf": f"""with {_TFIDF}, {_DICTIONARY.format(tokens='tok')}
+select doc_id, class_id, word, feature_id, round(weight, 9) as weight from tfidf join dictionary using (word)""",
     "sparse_vectors": f"with {_VECTOR_ROWS} select doc_id, label, n_features::int as n_features, features from vectors",
     "applied_vectors": f"""with {_DOCS_PAGES}, {_tf('train_t', 'train_tf')}, {_idf('train_tf', 'train_m')},
 {_tf('test_t', 'test_tf')}, {_DICTIONARY.format(tokens='train_t')}
@@ -304,6 +315,15 @@ select count(*) as n, sum((label = prediction)::int)::bigint as correct,
 from predictions""",
     "nb_uniform_prior": f"with {_JUDGED_SOURCE}, {_bayes('0.0')} select doc_id, label, prediction from predictions",
     "nb_linear_underflow": _UNDERFLOW,
+    "nb_linear_product": f"""{_PREDICT_SOURCE},
+lengths as (select doc_id, sum(n)::bigint as len from test_tf group by doc_id),
+products as (
+    select doc_id, class_id, exp(any_value(prior)) * product(pow((coalesce(cnt, 0) + 1) / (n_tokens + v), n)) as p
+    from test_tf join lengths using (doc_id) cross join model left join counts using (class_name, word)
+    where len <= 20 group by doc_id, class_id)
+select doc_id, class_id, len as n_tokens, round(log10(p), 6) as log10_score,
+       case when p is null then score < ln(5e-324) else p = 0 end as underflow
+from scores join lengths using (doc_id) left join products using (doc_id, class_id)""",
     "confusion_matrix": f"{_PREDICT_SOURCE} select label, prediction, count(*) as n from predictions group by label, prediction",
     "class_metrics": f"{_PREDICT_SOURCE}, {_METRICS} {_METRIC_ROWS}",
     "class_metrics_quality": f"with {_QUALITY}, {_METRICS} {_METRIC_ROWS}",
@@ -335,6 +355,32 @@ from margins qualify row_number() over (partition by doc_id order by margin desc
     "svm_margins": _AGREEING_PAGES,
     "w2v_means": _AGREEING_PAGES,
     "random_forest_chances": _AGREEING_PAGES,
+    "forest_descent": _AGREEING_PAGES,
+    "svm_sgd_margins": f"""with recursive {_DOCS_PAGES}, {_tf('train_t', 'train_tf')}, {_idf('train_tf', 'train_m')},
+{_tf('test_t', 'test_tf')},
+x as materialized (
+    select doc_id, class_name, word, tf * idf as w from train_tf join idf using (word) where idf <> 0),
+n as (select count(distinct doc_id) as n from train_tf),
+steps as (
+    select 0 as t, class_id, class_name, word, 0.0::double as weight
+    from classes cross join (select distinct word from x)
+    union all
+    select t + 1, s.class_id, s.class_name, s.word,
+           s.weight * (1 - 0.01 / sqrt(t + 1)) + coalesce(g.pull, 0) / (select n from n) / sqrt(t + 1)
+    from steps s left join (
+        select m.class_id, x.word, sum(m.y * x.w) as pull
+        from (
+            select s.class_id, x.doc_id, any_value(case when x.class_name = s.class_name then 1 else -1 end) as y,
+                   sum(s.weight * x.w) as margin
+            from steps s join x on x.word = s.word group by s.class_id, x.doc_id) m
+        join x on x.doc_id = m.doc_id
+        where m.y * m.margin < 1
+        group by m.class_id, x.word) g on g.class_id = s.class_id and g.word = s.word
+    where t < 100),
+last as (select * from steps where t = 100)
+select doc_id, class_id, round(sum(q.tf * i.idf * coalesce(weight, 0)), 6) as margin
+from test_tf q join idf i using (word) join last using (word) group by doc_id, class_id""",
+    "pipeline_model_round_trip": "select count(*) as n, count(*) as n_same from pages",
     "ml_model_round_trip": "select count(*) as n, count(*) as n_same from pages",
     "ml_idf_nb": f"""with {_DOCS_PAGES}, {_tf('train_t', 'train_tf')}, {_tf('test_t', 'test_tf')},
 size as (select count(distinct doc_id) as n, count(distinct word) as v from train_tf),
@@ -377,6 +423,17 @@ select lang, count(*) as n_lines, sum(length(line))::bigint as n_chars from line
     "class_map_round_trip": _CLASS_MAP,
     "class_sizes_round_trip": _CLASS_SIZES,
     "table_round_trip": _DICTIONARY_ROWS,
+    "side_table_rejects": """with parts as (
+    select source, n_chars, doc_id % 7 = 0 as untabbed, doc_id % 11 = 0 as unnumbered from documents),
+lines as (
+    select case when untabbed or unnumbered then 'reject' else 'row' end as kind,
+           case when untabbed or unnumbered
+                then source || case when untabbed then ' ' else chr(9) end || case when unnumbered then 'n' else '' end || n_chars
+                else source || ':' || n_chars end as line
+    from parts)
+select kind, line, count(*) as n, (select count(*) from lines where kind = 'row') as n_rows,
+       (select count(*) from lines where kind = 'reject') as n_rejects
+from lines group by kind, line""",
     "tfidf_round_trip": f"select {_NAMED}, class_id, word, weight from ({_TFIDF_ROWS})",
     "bayes_counts_round_trip": _TRAIN_COUNTS,
     "predictions_round_trip": f"select {_NAMED}, label, prediction from ({_UNDERFLOW})",

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayesModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailsift.functions import paths as P, text as T
 from mailsift.functions.features import as_ml_vector
-from mailsift.operators import bayes, classes as C, evaluate, gaussian, knn, linear, ml, tokens as K
+from mailsift.operators import bayes, classes as C, descent, evaluate, forest, gaussian, knn, linear, ml, tokens as K
 from mailsift.operators.dictionary import feature_dictionary
 from mailsift.operators.tfidf import (
     corpus_size,
@@ -22,9 +23,9 @@ from mailsift.operators.tfidf import (
     term_frequency,
 )
 from mailsift.operators.vectors import unmatched_features as unmatched
-from mailsift.operators.words import with_word_values
+from mailsift.operators.words import WordTables, with_word_values
 from mailsift.plans import corpora, features as V
-from mailsift.session import scratch_path, stored
+from mailsift.session import scratch_path, shuffle_width, stored
 from mailsift.sources import sparse, tables, text as text_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +124,15 @@ def top_words(spark, sf_dir):
     return word_count(spark, sf_dir).limit(20)
 
 
+@query
+def cleaning_counters(spark, sf_dir):
+    """What the cleaning of the documents meets, counted while their clean texts are written."""
+    messages = corpora.table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned, counters = K.counted_clean_text(messages)
+    stored(cleaned, "clean-text")
+    return spark.createDataFrame(list(counters.get.items()), "counter string, n bigint")
+
+
 # --- paths and classes ----------------------------------------------------------------------------
 
 
@@ -204,6 +214,18 @@ def sparse_vectors(spark, sf_dir):
     )
 
 
+@query
+def bucketed_tfidf(spark, sf_dir):
+    """Weights and feature ids from counts and a lexicon that are both kept by word."""
+    messages = _by_lang(spark, sf_dir)
+    tf = V.counted(messages, "class_id")
+    kept = WordTables(spark, shuffle_width(spark))
+    rows = kept.rows(tf.select("doc_id", "class_id", "word", "tf"), "word-counts")
+    values = kept.values(V.lexicon(messages, tf).select("word", "idf", "feature_id"), "word-values")
+    weight = F.round(F.col("tf") * F.col("idf"), 9).alias("weight")
+    return kept.join(rows, values).select("doc_id", "class_id", "word", "feature_id", weight)
+
+
 @query
 def applied_vectors(spark, sf_dir):
     """Pages over the dictionary and idf of the documents."""
@@ -323,6 +345,15 @@ def nb_linear_underflow(spark, sf_dir):
 # --- evaluation -----------------------------------------------------------------------------------
 
 
+@query
+def nb_linear_product(spark, sf_dir):
+    """Products of probabilities for short documents, and where those of any length would be 0."""
+    split = corpora.judged_and_other(spark, sf_dir, "source")
+    model = bayes.train(K.marked_tokens(split.train))
+    found = bayes.linear_products(V.counted(split.test), model)
+    return found.withColumn("score", F.round(F.log10("score"), 6)).withColumnRenamed("score", "log10_score")
+
+
 def _rounded_metrics(confusion: DataFrame) -> DataFrame:
     return evaluate.class_metrics(confusion).select(
         "class_id",
@@ -628,6 +659,37 @@ def random_forest_chances(spark, sf_dir):
     return _predicted_best(spark, sf_dir, _hashed)
 
 
+@query
+def forest_descent(spark, sf_dir):
+    """The chances that a forest gives the pages, by descending its saved nodes as a table, against Spark's own."""
+    train, test = _hashed(spark, sf_dir)
+    test = stored(test.select("doc_id", "features"))
+    path = scratch_path(spark, "forest")
+    model = ml.random_forest().fit(train)
+    ml.save_model(model, path)
+    values = test.select("doc_id", F.inline(ml.entries(F.col("features"))))
+    values = stored(values.withColumnsRenamed({"bucket": "feature", "n": "value"}))
+    own = forest.probabilities(test, values, forest.node_table(spark, path))
+    both = model.transform(test).select("doc_id", vector_to_array("probability").alias("found")).join(own, "doc_id", "left")
+    near = F.forall(F.arrays_zip("found", "probability"), lambda p: F.abs(p["found"] - p["probability"]) < 1e-9)
+    return both.select("doc_id", F.coalesce(near, F.lit(False)).alias("agrees"))
+
+
+@query
+def svm_sgd_margins(spark, sf_dir):
+    """Margins of the pages for each language's machine after 100 steps of gradient descent on the TF-IDF vectors of
+    the documents."""
+    split = corpora.documents_and_pages(spark, sf_dir)
+    vectors = V.train_and_test_vectors(split.train, split.test)
+    size = vectors.dictionary.agg(F.max("feature_id")).first()[0]
+    ids = [r.class_id for r in split.classes.orderBy("class_id").collect()]
+    # No early end: SQL repeats all steps.
+    weights, intercepts = descent.weight_tables(spark, descent.train(vectors.train, ids, size, tolerance=0.0))
+    values = vectors.test.select("doc_id", F.inline("features")).withColumnRenamed("weight", "value")
+    found = linear.margins(stored(values), weights, intercepts, "feature_id")
+    return found.select("doc_id", "class_id", F.round("margin", 6).alias("margin"))
+
+
 @query
 def feature_hasher(spark, sf_dir):
     """Hashed columns of the documents are the sums of what each column gives by itself."""
@@ -738,6 +800,25 @@ def table_round_trip(spark, sf_dir):
     return tables.read_dictionary(spark, path)
 
 
+@query
+def side_table_rejects(spark, sf_dir):
+    """Sources and lengths of the documents as lines, some without a tab, some without a number: the rows and the
+    rejected lines, each with how often it occurs, and the counters of the pass that read the rows."""
+    path = scratch_path(spark, "damaged")
+    documents = corpora.table(spark, sf_dir, "documents")
+    tab = F.when(F.col("doc_id") % 7 == 0, " ").otherwise("\t")
+    number = F.concat(F.when(F.col("doc_id") % 11 == 0, "n").otherwise(""), F.col("n_chars").cast("string"))
+    text_source.write_lines(documents.select(F.concat("source", tab, number).alias("value")), path)
+    schema = "source string, n_chars bigint"
+    pairs, counters = tables.read_counted_pairs(spark, path, schema)
+    rows = stored(pairs).select(F.lit("row").alias("kind"), F.concat_ws(":", "source", "n_chars").alias("line"))
+    rejects = tables.read_rejects(spark, path, schema).select(F.lit("reject").alias("kind"), "line")
+    seen = counters.get
+    return rows.unionByName(rejects).groupBy("kind", "line").agg(
+        F.count("*").alias("n"), F.lit(seen["n_rows"]).alias("n_rows"), F.lit(seen["n_rejects"]).alias("n_rejects")
+    )
+
+
 @query
 def tfidf_round_trip(spark, sf_dir):
     path = scratch_path(spark, "tfidf")
@@ -816,3 +897,17 @@ def ml_model_round_trip(spark, sf_dir):
     both = fitted.transform(test).join(again, "doc_id")
     same = (F.col("prediction") == F.col("again")).cast("bigint")
     return both.agg(F.count("*").alias("n"), F.sum(same).alias("n_same"))
+
+
+@query
+def pipeline_model_round_trip(spark, sf_dir):
+    """How many predictions a pipeline from raw texts repeats, cleaning included, after it was saved and loaded."""
+    split = corpora.documents_and_pages(spark, sf_dir)
+    train, test = (ml.labelled(messages).select("doc_id", "label", "text") for messages in (split.train, split.test))
+    path = scratch_path(spark, "mail-classifier")
+    fitted = ml.mail_classifier().fit(train)
+    ml.save_model(fitted, path)
+    again = PipelineModel.load(path).transform(test).select("doc_id", F.col("prediction").alias("again"))
+    both = fitted.transform(test).select("doc_id", "prediction").join(again, "doc_id")
+    same = (F.col("prediction") == F.col("again")).cast("bigint")
+    return both.agg(F.count("*").alias("n"), F.sum(same).alias("n_same"))
