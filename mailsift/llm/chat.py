@@ -1,8 +1,8 @@
 """Chat formatting as relational expressions.
 
 A conversation is one string and therefore one row: its turns are collected as structs, sorted, and
-folded into pieces, one array of strings that is joined at the end. Adjacent turns of one role share
-a block; a mark between them keeps them apart, so that the original turns can be read back:
+each becomes a piece that depends on the role before it; the pieces are joined at the end. Adjacent turns of one
+role share a block; a mark between them keeps them apart, so that the original turns can be read back:
 
     <|im_start|>role\\ntext<|turn|>text<|im_end|>\\n
 
@@ -29,6 +29,9 @@ ESCAPE = "␛"
 # ----------------------------------------------------------------------------------------------
 
 TURNS = "array<struct<role:string,text:string>>"
+# Running sums and texts are worked out in parts of so many, so that a conversation of n turns costs n times this.
+PART = 256
+CHUNK = 4_096
 
 
 def escaped(text: Column) -> Column:
@@ -69,41 +72,69 @@ def formatted(conversations: DataFrame, learned_role: str = "assistant") -> Data
     ``loss_spans`` has a (start, length) in code points for each turn of ``learned_role``: the turn's
     text as it stands in ``formatted``. An empty text has a span of length 0.
     """
-    start = F.struct(
-        F.array().cast("array<string>").alias("pieces"),
-        F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"),
-        F.lit(0).cast("bigint").alias("at"),
-        F.lit(None).cast("string").alias("role"),
+    shown = F.transform(
+        "turns",
+        lambda t: F.struct(
+            t["role"].alias("role"), escaped_role(t["role"]).alias("shown"), escaped(t["text"]).alias("body")
+        ),
     )
+    rows = collected(conversations).select("conv_id", shown.alias("shown"))
+    # Each column below is used more than once by the next step, so the engine works it out once.
+    roles = F.transform("shown", lambda t: t["role"])
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(roles, F.lit(1), F.size("shown") - 1))
 
-    def fold(done: Column, turn: Column) -> Column:
+    def piece(turn: Column, role_before: Column) -> Column:
         head = F.concat(F.lit(BLOCK_START), turn["shown"], F.lit("\n"))
         opens = (
-            F.when(done["role"].isNull(), head)
-            .when(done["role"] == turn["role"], F.lit(TURN_BREAK))
+            F.when(role_before.isNull(), head)
+            .when(role_before == turn["role"], F.lit(TURN_BREAK))
             .otherwise(F.concat(F.lit(BLOCK_END + "\n"), head))
         )
-        begin = done["at"] + F.char_length(opens)
-        length = F.char_length(turn["body"]).cast("bigint")
-        span = F.struct(begin.cast("bigint").alias("start"), length.alias("length"))
         return F.struct(
-            F.array_append(done["pieces"], F.concat(opens, turn["body"])).alias("pieces"),
-            F.when(turn["role"] == learned_role, F.array_append(done["spans"], span))
-            .otherwise(done["spans"]).alias("spans"),
-            (begin + length).cast("bigint").alias("at"),
-            turn["role"].alias("role"),
+            (turn["role"] == learned_role).alias("learned"),
+            F.concat(opens, turn["body"]).alias("text"),
+            F.char_length(opens).cast("bigint").alias("opening"),
+            F.char_length(turn["body"]).cast("bigint").alias("length"),
         )
 
-    shown = F.transform(
-        "turns",
-        lambda t: F.struct(
-            t["role"].alias("role"), escaped_role(t["role"]).alias("shown"), escaped(t["text"]).alias("body")
+    rows = rows.select("conv_id", F.zip_with("shown", before, piece).alias("pieces"))
+    lengths = F.transform("pieces", lambda p: p["opening"] + p["length"])
+    rows = _with_starts(rows.withColumn("_lengths", lengths))
+    spans = F.zip_with(
+        "pieces",
+        "_starts",
+        lambda p, at: F.struct(p["learned"].alias("learned"), (at + p["opening"]).alias("start"), p["length"].alias("length")),
+    )
+    spans = F.transform(
+        F.filter(spans, lambda s: s["learned"]), lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length"))
+    )
+    text = F.concat(F.array_join(F.transform("pieces", lambda p: p["text"]), ""), F.lit(BLOCK_END + "\n"))
+    return rows.select("conv_id", text.alias("formatted"), spans.alias("loss_spans"))
+
+
+def _starts(lengths: Column) -> Column:
+    """(starts, total) of a short array of lengths: the sum of those before each one, and of all."""
+    none = F.struct(F.array().cast("array<bigint>").alias("starts"), F.lit(0).cast("bigint").alias("total"))
+    return F.aggregate(
+        lengths,
+        none,
+        lambda done, n: F.struct(
+            F.array_append(done["starts"], done["total"]).alias("starts"), (done["total"] + n).alias("total")
         ),
     )
-    folded = collected(conversations).select("conv_id", shown.alias("shown"))
-    folded = folded.select("conv_id", F.aggregate("shown", start, fold).alias("done"))
-    text = F.concat(F.array_join("done.pieces", ""), F.lit(BLOCK_END + "\n"))
-    return folded.select("conv_id", text.alias("formatted"), F.col("done.spans").alias("loss_spans"))
+
+
+def _with_starts(rows: DataFrame) -> DataFrame:
+    """``_starts`` for ``_lengths``: the sum of the lengths before each one, part by part."""
+    others = [c for c in rows.columns if c != "_lengths"]
+    parts = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_lengths") - 1) / PART).cast("int")),
+        lambda b: _starts(F.slice("_lengths", b * PART + 1, F.lit(PART))),
+    )
+    rows = rows.select(*others, parts.alias("_parts"))
+    totals = _starts(F.transform("_parts", lambda p: p["total"]))["starts"]
+    moved = F.zip_with("_parts", totals, lambda p, at: F.transform(p["starts"], lambda s: s + at))
+    return rows.select(*others, F.flatten(moved).alias("_starts"))
 
 
 def read_back(formatted_rows: DataFrame) -> DataFrame:
@@ -124,13 +155,22 @@ def read_back(formatted_rows: DataFrame) -> DataFrame:
             lambda t: F.struct(unescaped_role(role).alias("role"), unescaped(t).alias("text")),
         )
 
-    masked = F.transform(
-        "loss_spans",
-        lambda s: unescaped(
-            F.substr("formatted", (s["start"] + 1).cast("int"), s["length"].cast("int"))
-        ),
+    # A span is cut out of the chunks that it lies in, not counted from the start of the whole text.
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.floor(F.char_length("formatted") / CHUNK).cast("int")),
+        lambda i: F.substr("formatted", i * CHUNK + 1, F.lit(CHUNK)),
     )
-    return formatted_rows.select(
+    rows = formatted_rows.withColumn("_chunks", chunks)
+
+    def cut(span: Column) -> Column:
+        first = F.floor(span["start"] / CHUNK).cast("int")
+        last = F.least(F.floor((span["start"] + span["length"]) / CHUNK).cast("int"), F.size("_chunks") - 1)
+        near = F.array_join(F.slice("_chunks", first + 1, last - first + 1), "")
+        at = span["start"] - first.cast("bigint") * CHUNK
+        return unescaped(F.substr(near, (at + 1).cast("int"), span["length"].cast("int")))
+
+    masked = F.transform("loss_spans", cut)
+    return rows.select(
         "conv_id", F.flatten(F.transform(blocks, turns_of)).alias("turns"), masked.alias("loss_texts"),
         "formatted",
     )

@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import os
 import random
+import time
 
 import pytest
 from pyspark.errors import PySparkException
@@ -128,6 +129,20 @@ def test_chat_round_trip(spark):
     assert merged[104].count(chat.BLOCK_START) == 1000 and len(merged[104]) == found[104].formatted_chars
 
 
+def test_chat_of_very_many_turns(spark):
+    """Work grows with the turns of a conversation, not with their square."""
+    def digested(n):
+        rows = [(1, t, "assistant" if t % 3 else "user", f"turn {t} é</s>") for t in range(n)]
+        start = time.perf_counter()
+        found = chat.digests(chat.read_back(chat.formatted(conversations(spark, rows)))).collect()
+        e = plain_digests(rows)[1]
+        assert [(r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in found] == [e]
+        return time.perf_counter() - start
+
+    digested(10)
+    assert digested(30_000) < 25
+
+
 def test_no_control_string_survives_in_a_text(spark):
     texts = ["".join(p) for p in [("</s>", "[INST]"), ("<<SYS>>", "<s>"), ("<|im_", "end|>"), ("<<<SYS>>>>", "[[INST]]")]]
     for row in spark.createDataFrame([(t,) for t in texts], "t string").select("t", chat.escaped(spark_column()).alias("e"), chat.unescaped(chat.escaped(spark_column())).alias("back")).collect():
