@@ -28,6 +28,8 @@ COSINE = 0.93
 BLOCK_ROWS = 1_024
 # Leading principal directions that form the grid.
 GRID = 8
+# Components that projections look at: fewer than all leave distances in them no larger, so no pair is lost.
+LEADING = 1_024
 # Parts of a node of the interval tree.
 FAN = 8
 # Rounding in projections must not skip a pair at the very border.
@@ -41,13 +43,15 @@ def usable(embedding: Column) -> Column:
 
 
 def _units(column: pa.Array, width: int) -> np.ndarray:
-    """Rows as unit vectors in double precision, filled up with zeros to ``width``."""
+    """The first ``width`` components, or zeros behind the last, of rows as unit vectors in double precision."""
     found = np.zeros((len(column), width))
     for i, v in enumerate(column.to_pylist()):
-        found[i, : len(v)] = v
-    # Scaling first keeps squares of very large or small numbers in range.
-    found /= np.abs(found).max(axis=1, keepdims=True)
-    return found / np.sqrt((found * found).sum(axis=1, keepdims=True))
+        unit = np.array(v, np.float64)
+        # Scaling first keeps squares of very large or small numbers in range.
+        unit /= np.abs(unit).max()
+        unit /= np.sqrt((unit * unit).sum())
+        found[i, : len(unit)] = unit[:width]
+    return found
 
 
 def principal_directions(vectors: DataFrame, width: int, count: int) -> np.ndarray:
@@ -111,9 +115,8 @@ def blocks_in_grid_order(vectors: DataFrame, width: int, directions: np.ndarray,
         def block() -> pa.RecordBatch:
             at = np.array([r["at"] for r in rows])
             lo, hi = at.min(axis=0), at.max(axis=0)
-            vectors = np.zeros((len(rows), width), np.float32)
-            for i, r in enumerate(rows):
-                vectors[i, : len(r["embedding"])] = r["embedding"]
+            # One part has vectors of one length.
+            vectors = np.array([r["embedding"] for r in rows], np.float32)
             made = {"part": rows[0]["part"], "n_rows": len(rows)}
             made |= {f"lo{k}": lo[k] for k in range(count)} | {f"hi{k}": hi[k] for k in range(count)}
             made |= {
@@ -193,11 +196,12 @@ def _local_roots(linked: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.n
         a, b = a_next, b_next
 
 
-def _compared(width: int, cosine: float):
+def _compared(cosine: float):
     """A task that compares pairs of blocks and yields (class, n, root) for linked vectors."""
 
     def read(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        v = np.frombuffer(row[f"{side}_vectors"], np.float32).reshape(-1, width).astype(np.float64)
+        row[f"{side}_n"] = len(row[f"{side}_classes"]) // 8
+        v = np.frombuffer(row[f"{side}_vectors"], np.float32).reshape(row[f"{side}_n"], -1).astype(np.float64)
         v /= np.abs(v).max(axis=1, keepdims=True)
         v /= np.sqrt((v * v).sum(axis=1, keepdims=True))
         return v, np.frombuffer(row[f"{side}_classes"], "<i8"), np.frombuffer(row[f"{side}_copies"], "<i8")
@@ -253,6 +257,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     width = classes.agg(F.max(F.size("embedding"))).first()[0]
     if width is None:
         return alone
+    width = min(width, LEADING)
     directions = principal_directions(classes, width, min(GRID, width))
     count = directions.shape[1]
     blocks = blocks_in_grid_order(classes, width, directions, eps)
@@ -272,7 +277,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     joined = pairs.join(side("a"), ["part", "a"]).join(side("b"), ["part", "b"])
     found = stored(
-        joined.mapInArrow(_compared(width, cosine), "class long, n long, root long"), "vector-links"
+        joined.mapInArrow(_compared(cosine), "class long, n long, root long"), "vector-links"
     )
     linked = found.groupBy("class").agg(F.sum("n").alias("n"))
     roots = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))

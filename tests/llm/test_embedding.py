@@ -58,6 +58,19 @@ def test_repeated_rows_and_empty_table(spark):
     assert embedding.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_one_overlong_vector(spark, by_id):
+    """A stray vector of another length costs what it holds; those of its length are compared on all of it."""
+    rng = np.random.default_rng(3)
+    long = [0.0] * 2_000 + [float(x) for x in rng.integers(1, 9, 98_000)]
+    other = list(long)
+    other[:2_000] = [9.0] * 2_000
+    rows = [(i, [float(x) for x in rng.integers(1, 5, 4)], 1, "", "", "") for i in range(60)]
+    rows += [(100, long, 1, "", "", ""), (101, other, 1, "", "", "")]
+    found = by_id(embedding.near_duplicates(spark.createDataFrame(rows, SCHEMA)), "vec_id")
+    assert {i: (r.n_links, r.component_id) for i, r in found.items()} == brute(rows)
+    assert found[101].component_id == 100
+
+
 def test_distant_blocks_are_skipped(spark, monkeypatch):
     rng = np.random.default_rng(1)
     boxes, blocks = [], 64
