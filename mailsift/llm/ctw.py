@@ -20,8 +20,10 @@ of a checked size, and texts are scanned once for each block.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -171,10 +173,9 @@ def counts(documents: DataFrame) -> DataFrame:
 
         for batch in batches:
             for _, words, streams in _slices(_texts(batch.column("data"))):
-                keys, codes, _ = _coded(words)
-                kinds[0].add(
-                    np.append(keys, END_KEY), np.append(np.bincount(codes, minlength=len(keys)), len(words))
-                )
+                found = Counter(chain.from_iterable(words))
+                keys, n = [token_key(w) for w in found], [*found.values()]
+                kinds[0].add(np.array([*keys, END_KEY], np.int64), np.array([*n, len(words)], np.int64))
                 for strings, _ in _pieces(streams):
                     kinds[1].add(*np.unique(strings, return_counts=True))
                 yield from flush(HELD)
@@ -338,7 +339,7 @@ def node_key(depth: int, key: np.ndarray) -> np.ndarray:
 
 def model_table(strings: DataFrame) -> DataFrame:
     """(kind, key, value, spread): for kind 1 the ln probability of the string's last byte after the
-    others, for kind 2 the chance of a 1 at a node where a path ends. ``spread`` deals contexts to
+    others, for kind 2 the ``signed_chance`` of a 1 at a node where a path ends. ``spread`` deals contexts to
     blocks by their last three bytes; it is null for the nodes of depths 0 to 2, which every block has.
     """
     zero, one = upper_levels(strings)
@@ -376,7 +377,15 @@ def spread_of(last_three: np.ndarray) -> np.ndarray:
     return (mixed >> np.uint64(48)).astype(np.int32)
 
 
+def signed_chance(chance: np.ndarray) -> np.ndarray:
+    """A chance above 1/2 as the negative of what it lacks to 1: a short float holds both ends, so that neither a 0 nor
+    a 1 ever has the probability 0."""
+    return np.where(chance > 0.5, chance - 1.0, chance)
+
+
 def _rows(kind: int, key: np.ndarray, value: np.ndarray, spread) -> Iterator[pa.RecordBatch]:
+    if kind == 2:
+        value = signed_chance(value)
     for at in range(0, len(key), 1 << 18):
         part = slice(at, at + (1 << 18))
         many = len(key[part])
@@ -406,7 +415,7 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 @dataclass
 class Block:
     """A part of the model: strings and nodes in rising order of key, the strings found by an open
-    hash table of their places."""
+    hash table of their places. Chances may be signed."""
 
     part: int
     parts: int
@@ -434,12 +443,23 @@ class Block:
     def logs(self, strings: np.ndarray) -> np.ndarray:
         """ln probability of the last byte of each string; 0 for strings of other blocks."""
         if self.parts > 1:
-            own = spread_of(strings >> (8 * (DEPTH - 2))) % self.parts == self.part
+            own = self.own(strings)
             total = np.zeros(len(strings))
             total[own] = self._own_logs(strings[own])
             return total
         return self._own_logs(strings)
 
+    def own(self, strings: np.ndarray) -> np.ndarray:
+        """The places of the strings that this block has. The number of blocks is a power of two."""
+        return np.flatnonzero(spread_of(strings >> (8 * (DEPTH - 2))) & (self.parts - 1) == self.part)
+
+    def sums(self, strings: np.ndarray, of: np.ndarray, many: int) -> np.ndarray:
+        """``logs`` added up by text."""
+        if self.parts > 1:
+            own = self.own(strings)
+            strings, of = strings[own], of[own]
+        return np.bincount(of, weights=self._own_logs(strings), minlength=many)
+
     def _own_logs(self, strings: np.ndarray) -> np.ndarray:
         found = np.full(len(strings), np.nan)
         left = np.arange(len(strings))
@@ -471,7 +491,8 @@ class Block:
                 left = left[~hit]
                 if not len(left):
                     break
-            total += np.log(np.where((byte >> (7 - b)) & 1, chance, 1 - chance))
+            one = (byte >> (7 - b)) & 1 == 1
+            total += np.log(np.where(one == (chance >= 0), np.abs(chance), 1 - np.abs(chance)))
         return total
 
 
@@ -606,7 +627,7 @@ def _block_scores(documents: DataFrame, table: DataFrame, part: int, parts: int)
 def _model_scores(streams: list[bytes], block: Block) -> np.ndarray:
     total = np.zeros(len(streams))
     for strings, of in _pieces(streams):
-        total += np.bincount(of, weights=block.logs(strings), minlength=len(streams))
+        total += block.sums(strings, of, len(streams))
     return total / LN10
 
 
