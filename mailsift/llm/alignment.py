@@ -1,9 +1,9 @@
 """Alignment of two tokenizers over the same texts.
 
 Tokenizer A is a byte-level BPE, tokenizer B a BPE of pieces with byte fallback. Both see a space and the text. Where
-tokens of both end at the same byte, the text is cut into groups: the ends of each side are the keys of a
-dictionary from end to token, the common keys, sorted, slice both lists of ids, and each slice gives the links of
-the tokens that end with it.
+tokens of both end at the same byte, the text is cut into groups: the hash set of the ends of one side is
+intersected with those of the other, the common ends, sorted, slice both lists of ids, and each slice gives the link
+of the tokens that end with it.
 
 Neither tokenizer joins what stands before and after a break (white space that follows anything else), as long as
 no piece of B holds one inside, which is checked when it is loaded. Texts are therefore cut at breaks, and what is
@@ -26,6 +26,7 @@ from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from mailsift.session import stored
@@ -46,28 +47,31 @@ SUMMED = 1 << 22
 B_BITS = 32
 
 
-Group = tuple[tuple[int, ...], tuple[int, ...]]
+def aligned(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where groups end: the ends that tokens of both sides share, and how many tokens of A and of B end up to each."""
+    ends = np.array(sorted(set(a_ends.tolist()).intersection(b_ends.tolist())), np.int64)
+    return ends, np.searchsorted(a_ends, ends, side="right"), np.searchsorted(b_ends, ends, side="right")
 
 
-def aligned(
-    a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int]
-) -> tuple[list[Group], list[int]]:
-    """The groups (ids of A, ids of B) of a text, and where they end."""
-    at_a = dict(zip(a_ends, range(1, len(a_ends) + 1), strict=True))
-    at_b = dict(zip(b_ends, range(1, len(b_ends) + 1), strict=True))
-    ends = sorted(at_a.keys() & at_b.keys())
-    to_a, to_b = [at_a[e] for e in ends], [at_b[e] for e in ends]
-    slices = zip([0, *to_a], to_a, [0, *to_b], to_b, strict=False)
-    return [(tuple(a_ids[i:k]), tuple(b_ids[j:m])) for i, k, j, m in slices], ends
+def joined(parts: pa.Array, upto: np.ndarray, by: str) -> pa.Array:
+    """Strings put together: the parts up to the first of ``upto``, those from there up to the second, and so on."""
+    offsets = pa.array(np.concatenate([[0], upto]), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, parts), pa.scalar(by, pa.large_string()))
 
 
-class Groups(dict):
-    """The text and the link of each group met so far."""
+class Known(dict):
+    """The number of each stretch met so far. One that is looked up for the first time gets the next number, and is
+    ``new`` until it is learnt."""
 
-    def __missing__(self, group: Group) -> tuple[str, int]:
-        a, b = group
-        found = self[group] = f"{','.join(map(str, a))}|{','.join(map(str, b))}", (a[-1] << B_BITS) | b[-1]
-        return found
+    def __init__(self):
+        self.new: list[str] = []
+        self.next = 0
+
+    def __missing__(self, stretch: str) -> int:
+        number = self[stretch] = self.next
+        self.next += 1
+        self.new.append(stretch)
+        return number
 
 
 class Pair:
@@ -105,65 +109,66 @@ class Pair:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.groups = Groups()
+        self.known = Known()
         self.texts: list[str] = []
         self.sizes = np.zeros((0, 4), np.int64)  # of each stretch: tokens of A and B, groups, whether tokens spell it
         self.keys, self.starts = np.zeros(0, np.int64), np.zeros(1, np.int64)
 
     def learn(self, stretches: list[str]) -> None:
-        """Groups and links of new stretches."""
+        """Groups and links of new stretches, by their numbers. Those that tokens do not spell have none."""
         a_all = [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
-        b_all = [ids[self.n_before :] for ids in self.b.encode([self.before + s for s in stretches], num_threads=1)]
-        if not self.spell(a_all, b_all, "".join(stretches)):
-            spelt = [self.spell([a], [b], s) for a, b, s in zip(a_all, b_all, stretches, strict=True)]
-            for stretch, good in zip(stretches, spelt, strict=True):
-                if not good:
-                    self.add([stretch], [""], np.zeros((1, 4), np.int64), [])
-            stretches, a_all, b_all = (list(compress(v, spelt)) for v in (stretches, a_all, b_all))
+        b_all = self.b.encode([self.before + s for s in stretches], num_threads=1)
+        n_a, a = self.flat(a_all, 0)
+        n_b, b = self.flat(b_all, self.n_before)
+        good = np.ones(len(stretches), bool)
+        if not self.spell(a, b, "".join(stretches)):
+            each = zip(np.split(a, np.cumsum(n_a)), np.split(b, np.cumsum(n_b)), stretches, strict=False)
+            good = np.array([self.spell(x, y, s) for x, y, s in each], bool)
+            a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
         # New stretches are aligned together, one behind the other: each of their ends is common to both sides.
-        groups, ends = aligned(*self.flat(a_all, self.a_lengths), *self.flat(b_all, self.b_lengths))
-        last = np.cumsum([len(s.encode()) for s in stretches], dtype=np.int64)
-        upto = np.searchsorted(np.array(ends, np.int64), last, side="right")
-        found = [self.groups[g] for g in groups]
-        said = [text for text, _ in found]
-        first = (upto - np.diff(upto, prepend=0)).tolist()
-        texts = [";".join(said[i:j]) for i, j in zip(first, upto.tolist(), strict=True)]
-        counts = [[len(v) for v in a_all], [len(v) for v in b_all], np.diff(upto, prepend=0), [1] * len(stretches)]
-        self.add(stretches, texts, np.array(counts, np.int64).T, [key for _, key in found])
-
-    def spell(self, a_all: list[list[int]], b_all: list[list[int]], text: str) -> bool:
+        ends, to_a, to_b = aligned(np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b]))
+        last = np.cumsum(np.fromiter(map(len, map(str.encode, stretches)), np.int64, len(stretches)))
+        if not good.all():
+            last = np.cumsum(np.diff(last, prepend=0) * good)
+        upto = np.searchsorted(ends, last, side="right")
+        said = [joined(pa.array(v).cast(pa.large_string()), to, ",") for v, to in ((a, to_a), (b, to_b))]
+        texts = joined(pc.binary_join_element_wise(*said, pa.scalar("|", pa.large_string())), upto, ";")
+        sizes = np.column_stack([n_a, n_b, np.diff(upto, prepend=0), np.ones(len(stretches), np.int64)])
+        # A link for each group: a token has a byte at least, so of each side only the group's last one ends with it.
+        keys = (a[to_a - 1] << B_BITS) | b[to_b - 1]
+        self.texts.extend(texts.to_numpy(zero_copy_only=False).tolist())
+        self.sizes = np.concatenate([self.sizes, sizes * good[:, None]])
+        self.keys = np.concatenate([self.keys, keys])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + upto])
+
+    def spell(self, a: np.ndarray, b: np.ndarray, text: str) -> bool:
         """Whether the tokens of both sides are the bytes of ``text``."""
         whole = text.encode()
         return all(
-            b"".join([names[i] for ids in every for i in ids]) == whole
-            for every, names in ((a_all, self.a_bytes), (b_all, self.b_bytes))
+            b"".join(map(names.__getitem__, ids.tolist())) == whole
+            for ids, names in ((a, self.a_bytes), (b, self.b_bytes))
         )
 
-    def flat(self, every: list[list[int]], lengths: np.ndarray) -> tuple[list[int], list[int]]:
-        """Ids of stretches in a row, and where they end."""
-        ids = list(chain.from_iterable(every))
-        return ids, np.cumsum(lengths[np.array(ids, np.int64)]).tolist()
-
-    def add(self, stretches: list[str], texts: list[str], sizes: np.ndarray, keys: list[int]) -> None:
-        """A link for each group of the stretches: a token has a byte at least, so of each side only the group's
-        last one ends with it."""
-        at = len(self.texts)
-        self.known.update(zip(stretches, range(at, at + len(stretches)), strict=True))
-        self.texts.extend(texts)
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.keys = np.concatenate([self.keys, np.array(keys, np.int64)])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes[:, 2])])
+    def flat(self, every: list[list[int]], skipped: int) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each stretch has behind the first ``skipped``, and these in a row."""
+        sizes = np.fromiter(map(len, every), np.int64, len(every))
+        ids = np.fromiter(chain.from_iterable(every), np.int64, sizes.sum())
+        place = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return np.maximum(sizes - skipped, 0), ids[place >= skipped]
 
     def rows(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
         """(n_a, n_b, n_groups, groups_sha256, keys of the distinct links, their numbers) of each whole text."""
-        if len(self.known) > KEPT:
+        if len(self.texts) > KEPT:
             self.forget()
-        cut = [self.stretch.findall(" " + t) if t else [] for t in texts]
-        self.learn(list(dict.fromkeys(s for stretches in cut for s in stretches if s not in self.known)))
-        known, said, sizes, starts, keys = self.known, self.texts, self.sizes, self.starts, self.keys
-        for stretches in cut:
-            ids = [known[s] for s in stretches]
+        number = self.known.__getitem__
+        cut = [list(map(number, self.stretch.findall(" " + t))) if t else [] for t in texts]
+        if new := self.known.new:
+            self.learn(new)
+            for stretch in compress(new, (np.fromiter(map(len, new), np.int64, len(new)) > LONGEST).tolist()):
+                del self.known[stretch]
+            self.known.new = []
+        said, sizes, starts, keys = self.texts, self.sizes, self.starts, self.keys
+        for ids in cut:
             kinds, times = np.unique(np.array(ids, np.int64), return_counts=True)
             if not len(ids) or not sizes[kinds, 3].all():
                 yield 0, 0, 0, "", keys[:0], keys[:0]
@@ -175,10 +180,6 @@ class Pair:
             distinct, which = np.unique(keys[at], return_inverse=True)
             numbers = np.bincount(which, np.repeat(times, lengths), len(distinct)).astype(np.int64)
             yield int(n_a), int(n_b), int(n_groups), digest, distinct, numbers
-        for stretches in cut:
-            for s in stretches:
-                if len(s) > LONGEST:
-                    known.pop(s, None)
 
 
 def byte_letters() -> dict[str, int]:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import sys
 from collections import Counter
 
 import pytest
@@ -98,3 +99,19 @@ def test_forgetting_changes_nothing(both, monkeypatch):
     once = [r[:4] for r in both.rows(texts)]
     monkeypatch.setattr(alignment, "KEPT", 5)
     assert [next(both.rows([t]))[:4] for t in texts] == once
+
+
+def test_learning_a_stretch_takes_few_calls(both):
+    text, calls = " ".join(f"word{i}" for i in range(5_000)), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    next(both.rows(["warmed up"]))
+    sys.setprofile(count)
+    try:
+        next(both.rows([text]))
+    finally:
+        sys.setprofile(None)
+    assert calls < 4 * 5_000
