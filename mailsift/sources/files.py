@@ -41,10 +41,15 @@ class WholeFileReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.root = options["path"]
         self.bytes = int(options.get("partitionBytes", PARTITION_BYTES))
+        # Whether it is an error if nothing is there.
+        self.required = options.get("required", "false") == "true"
 
     def partitions(self) -> list[Files]:
         store, base = fs.FileSystem.from_uri(self.root)
-        found = store.get_file_info(fs.FileSelector(base, allow_not_found=True, recursive=True))
+        own = store.get_file_info(base)
+        if own.is_file:
+            return [Files([own.path])]
+        found = store.get_file_info(fs.FileSelector(base, allow_not_found=not self.required, recursive=True))
         hidden = lambda name: any(part[:1] in "._" for part in name.split("/"))
         files = sorted((f.path, f.size) for f in found if f.is_file and not hidden(f.path[len(base) :].lstrip("/")))
         parts, load = [], self.bytes

@@ -148,3 +148,17 @@ def test_libsvm_round_trip(spark, tmp_path):
     sparse.write_libsvm(rows, path)
     assert [r.value for r in spark.read.text(path).collect()] == ["1.0 2:0.5 7:3.0"]
     assert sparse.read_libsvm(spark, path, size=8).collect() == rows.collect()
+
+
+def test_many_small_clean_files_are_one_task(spark, tmp_path):
+    for i in range(400):
+        (tmp_path / f"m-{i}-1").write_text("one\n\ntwo words\r\n" if i % 2 else "")
+    found = text_source.read_clean_tokens(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 1
+    assert sorted({(r.doc_id, r.document, r.class_id, r.word) for r in found.collect() if r.doc_id == "m-7-1"}) == [
+        ("m-7-1", "m-7", 1, word) for word in ("one", "two", "words")
+    ]
+    both = text_source.read_clean_tokens(spark, str(tmp_path / "m-1-1"), str(tmp_path / "m-3-1"))
+    assert both.count() == 6
+    with pytest.raises(Exception, match="absent"):
+        text_source.read_clean_tokens(spark, str(tmp_path / "absent")).count()
