@@ -60,6 +60,28 @@ def test_descent_equals_plain_steps(spark):
     assert intercepts.count() == 3
 
 
+def test_all_machines_descend_in_one_pass(spark):
+    draw = random.Random(5)
+    rows = [(draw.choice([1, 2, 3, None]), [(i, draw.random()) for i in sorted(draw.sample(range(1, 30), 4))]) for _ in range(60)]
+    rows = spark.createDataFrame([*rows, (2, [])], f"class_id int, features {FEATURES_TYPE}")
+    sc = spark.sparkContext
+    sc.setJobGroup("descent", "one pass a step")
+    models = descent.train(rows, [1, 2, 3], 29, 20, 0.0)
+    sc.setJobGroup("", "")
+    assert len(sc.statusTracker().getJobIdsForGroup("descent")) < 40
+    # The machines end one by one where they hardly move, as MLlib's do.
+    from pyspark.mllib.classification import SVMWithSGD
+    from pyspark.mllib.linalg import Vectors as Old
+    from pyspark.mllib.regression import LabeledPoint
+
+    ended = descent.train(rows, [1, 2, 3], 29, 60, 0.05)
+    for own in (1, 2, 3):
+        points = [LabeledPoint(float(r.class_id == own), Old.sparse(29, [(f.feature_id - 1, f.weight) for f in r.features])) for r in rows.collect()]
+        for found, end in ((models, (20, 0.0)), (ended, (60, 0.05))):
+            wanted = SVMWithSGD.train(sc.parallelize(points), iterations=end[0], convergenceTol=end[1])
+            assert np.allclose(found[own].weights.toArray(), wanted.weights.toArray(), atol=1e-9)
+
+
 def test_word_tables_meet_without_exchange(spark, rows_of):
     draw = random.Random(4)
     words = [f"w{int(draw.paretovariate(0.6))}" for _ in range(300)] + ["the"] * 200
