@@ -6,6 +6,7 @@ from pyspark.sql import Observation, functions as F
 
 from mailsift.functions.features import as_ml_vector
 from mailsift.operators import ml
+from mailsift.plans import corpora, queries
 
 
 def test_one_vs_rest_predicts_after_an_observation(spark):
@@ -32,3 +33,32 @@ def test_ml_vectors_of_lists(spark):
     rows = spark.createDataFrame([(1, [(1, 0.5), (4, 2.0)]), (2, [])], f"id int, f {features}")
     found = {r.id: r.v for r in rows.select("id", as_ml_vector(F.col("f"), F.lit(4)).alias("v")).collect()}
     assert found == {1: Vectors.sparse(4, [0, 3], [0.5, 2.0]), 2: Vectors.sparse(4, [], [])}
+
+
+def test_training_texts_are_cleaned_once(spark, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    texts = [(i, i % 3 + 1, f"Date: x\nword{i % 5} the other{i % 7}") for i in range(30)] + [(30, 1, None), (31, 2, "")]
+    rows = spark.createDataFrame(texts, "doc_id long, class_id int, text string")
+    counted = rows.withColumn("text", F.udf(seen).asNondeterministic()("text"))
+    monkeypatch.setattr(corpora, "documents_and_pages", lambda *_: corpora.Split(counted, rows, None))
+    train, test = queries._hashed(spark, "")
+    assert read.value == len(texts)
+    found = {r.doc_id: (r.label, r.features) for r in train.collect()}
+    whole = ml.hashing_tfidf().fit(queries.K.clean_text(rows))
+    wanted = whole.transform(ml.labelled(queries.K.clean_text(rows)))
+    assert found == {r.doc_id: (r.label, r.features) for r in wanted.collect()}
+    assert {r.doc_id: r.features for r in test.collect()} == {d: f for d, (_, f) in found.items()}
+
+
+def test_forest_keeps_the_nodes_of_rows(spark):
+    rows = [(float((i * 7 % 11 > 4) + (i % 5 == 2)), float(i * 7 % 11), float(i * 3 % 13)) for i in range(120)]
+    rows = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(spark.createDataFrame(rows, "label double, x double, y double"))
+    forest = ml.random_forest(4, 8)
+    assert forest.getCacheNodeIds()
+    own, plain = (f.fit(rows).toDebugString.split("\n", 1)[1] for f in (forest, forest.copy().setCacheNodeIds(False)))
+    assert own == plain
