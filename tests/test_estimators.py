@@ -6,7 +6,8 @@ from pyspark.sql import Observation, functions as F
 
 from mailsift.functions.features import as_ml_vector
 from mailsift.operators import ml
-from mailsift.plans import corpora, queries
+from mailsift.operators.dictionary import feature_dictionary
+from mailsift.plans import corpora, features, queries
 
 
 def test_one_vs_rest_predicts_after_an_observation(spark):
@@ -62,3 +63,41 @@ def test_forest_keeps_the_nodes_of_rows(spark):
     assert forest.getCacheNodeIds()
     own, plain = (f.fit(rows).toDebugString.split("\n", 1)[1] for f in (forest, forest.copy().setCacheNodeIds(False)))
     assert own == plain
+
+
+def _messages(spark):
+    texts = [(1, 1, "b a-b the\nDate: x"), (2, None, "c b C"), (3, 2, ""), (4, 1, None), (2, None, "c b C")]
+    return spark.createDataFrame(texts, "doc_id long, class_id int, text string")
+
+
+def test_word_counts_sort_nothing_by_document(spark, monkeypatch):
+    monkeypatch.setattr(features, "stored", lambda df, name="": df)
+    found = features.word_counts(_messages(spark), "class_id")
+    whole = features.counted(_messages(spark), "class_id")
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (found, whole)]
+    assert "Window" not in plans[0] and "Sort" not in plans[0] and "Window" in plans[1]
+    key = lambda r: tuple(str(v) for v in r)
+    rows = [sorted((tuple(r) for r in df.select("doc_id", "class_id", "word", "cnt").collect()), key=key) for df in (found, whole)]
+    assert rows[0] == rows[1] == [(1, 1, "b", 2), (2, None, "b", 2), (2, None, "c", 4)]
+
+
+def test_dictionary_with_frequencies(spark, rows_of):
+    words = spark.createDataFrame([(w,) for w in "dcbcdd"], "word string")
+    assert rows_of(feature_dictionary(words, "n")) == [("b", 1, 1), ("c", 2, 2), ("d", 3, 3)]
+    assert rows_of(feature_dictionary(words)) == [("b", 1), ("c", 2), ("d", 3)]
+
+
+def test_dictionary_vectors_take_frequencies_from_the_dictionary(spark, monkeypatch):
+    asked, join = [], queries.with_word_values
+
+    def spied(rows, table, frequency=None, **others):
+        asked.append(frequency)
+        return join(rows, table, frequency, **others)
+
+    monkeypatch.setattr(queries, "with_word_values", spied)
+    test = spark.createDataFrame([(7, 2, "c zebra"), (8, 1, "zebra")], "doc_id long, class_id int, text string")
+    monkeypatch.setattr(corpora, "documents_and_pages", lambda *_: corpora.Split(_messages(spark), test, None))
+    train, test = queries._dictionary_vectors(spark, "")
+    assert asked == ["n", None]
+    assert {r.doc_id: (r.label, r.rawFeatures) for r in train.collect()} == {1: (0.0, Vectors.sparse(2, [0], [2.0])), 2: (None, Vectors.sparse(2, [0, 1], [2.0, 4.0]))}
+    assert {r.doc_id: r.rawFeatures for r in test.collect()} == {7: Vectors.sparse(2, [1], [1.0])}
