@@ -43,15 +43,17 @@ def test_training_texts_are_cleaned_once(spark, monkeypatch):
         read.add(1)
         return text
 
-    texts = [(i, i % 3 + 1, f"Date: x\nword{i % 5} the other{i % 7}") for i in range(30)] + [(30, 1, None), (31, 2, "")]
-    rows = spark.createDataFrame(texts, "doc_id long, class_id int, text string")
+    texts = [(i, "abc"[i % 3], f"Date: x\nword{i % 5} the other{i % 7}") for i in range(30)] + [(30, "a", None), (31, "b", "")]
+    rows = spark.createDataFrame(texts, "doc_id long, class_name string, text string")
+    # The text of a row is read once, and before rows are dealt out by class.
     counted = rows.withColumn("text", F.udf(seen).asNondeterministic()("text"))
-    monkeypatch.setattr(corpora, "documents_and_pages", lambda *_: corpora.Split(counted, rows, None))
+    monkeypatch.setattr(corpora, "documents", lambda *_: counted)
+    monkeypatch.setattr(corpora, "pages", lambda *_: rows)
     train, test = queries._hashed(spark, "")
     assert read.value == len(texts)
     found = {r.doc_id: (r.label, r.features) for r in train.collect()}
     whole = ml.hashing_tfidf().fit(queries.K.clean_text(rows))
-    wanted = whole.transform(ml.labelled(queries.K.clean_text(rows)))
+    wanted = whole.transform(ml.labelled(queries.K.clean_text(corpora.classified(rows))))
     assert found == {r.doc_id: (r.label, r.features) for r in wanted.collect()}
     assert {r.doc_id: r.features for r in test.collect()} == {d: f for d, (_, f) in found.items()}
 
