@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailsift.functions.features import as_text
+from mailsift.session import shuffles_removed
 
 
 def parse_line(line: Column) -> Column:
@@ -29,9 +30,11 @@ def read_sparse_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(parse_line(F.col("value")).alias("v")).select("v.*")
 
 
-def write_sparse_lines(vectors: DataFrame, path: str) -> None:
-    """Replace ``path`` by one line per (label, features) row."""
-    vectors.select(as_text(F.col("label"), F.col("features"))).write.mode("overwrite").text(path)
+def write_sparse_lines(vectors: DataFrame, path: str, compression: str = "none") -> None:
+    """Replace ``path`` by one line per (label, features) row. Compressed lines are read back like others."""
+    lines = vectors.select(as_text(F.col("label"), F.col("features")))
+    with shuffles_removed(vectors.sparkSession):
+        lines.write.mode("overwrite").option("compression", compression).text(path)
 
 
 def read_libsvm(spark: SparkSession, path: str, size: int | None = None) -> DataFrame:

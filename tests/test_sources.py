@@ -1,7 +1,11 @@
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from mailsift.functions.features import FEATURES_TYPE, as_ml_vector
+from mailsift.session import dropped, stored
 from mailsift.sources import files, sparse, tables, text as text_source
 
 
@@ -162,3 +166,29 @@ def test_many_small_clean_files_are_one_task(spark, tmp_path):
     assert both.count() == 6
     with pytest.raises(Exception, match="absent"):
         text_source.read_clean_tokens(spark, str(tmp_path / "absent")).count()
+
+
+def test_compressed_lines_are_read_back(spark, tmp_path, rows_of):
+    vectors = spark.createDataFrame([(2, [(3, 0.5), (1, 0.25)]), (1, [])], f"label int, features {FEATURES_TYPE}")
+    sparse.write_sparse_lines(vectors, f"file://{tmp_path}/lines", "gzip")
+    assert sparse.read_sparse_lines(spark, f"file://{tmp_path}/lines").orderBy("label").collect() == [(1, []), (2, [(1, 0.25), (3, 0.5)])]
+    weights = spark.createDataFrame([("a-b", 1, "word", 0.1 + 0.2)], "doc_id string, class_id int, word string, weight double")
+    tables.write_tfidf(weights, f"file://{tmp_path}/weights", "gzip")
+    assert rows_of(tables.read_tfidf(spark, f"file://{tmp_path}/weights")) == [("a-b", 1, "word", 0.1 + 0.2)]
+    written = [f.name for kind in ("lines", "weights") for f in (tmp_path / kind).glob("part-*")]
+    assert written and all(name.endswith(".gz") for name in written)
+
+
+def test_stored_tables_leave_no_shuffle_files_and_can_be_dropped(spark):
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    table = stored(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count().repartition(3, "count"))
+    deadline = time.time() + 10
+    while tracker.shuffleStatuses().size() > before and time.time() < deadline:
+        time.sleep(0.1)
+    assert tracker.shuffleStatuses().size() <= before
+    assert table.count() == 7
+    path = table._kept_at.removeprefix("file:")
+    assert os.path.isdir(path.replace("//", "/"))
+    dropped(table)
+    assert not os.path.exists(path.replace("//", "/"))
