@@ -82,6 +82,21 @@ def test_all_machines_descend_in_one_pass(spark):
             assert np.allclose(found[own].weights.toArray(), wanted.weights.toArray(), atol=1e-9)
 
 
+def test_blocks_of_the_descent_are_small_and_read_one_by_one(spark, monkeypatch):
+    draw = random.Random(6)
+    rows = [(draw.choice([1, 2, None]), [(f, draw.random()) for f in sorted(draw.sample(range(1, 60), 6))]) for _ in range(200)]
+    rows = spark.createDataFrame(rows, f"class_id int, features {FEATURES_TYPE}")
+    wanted = descent.train(rows, [1, 2], 60, 5, 0.0)
+    monkeypatch.setattr(descent, "BLOCK_ENTRIES", 30)
+    monkeypatch.setattr(descent, "SENT", 7)
+    blocks = descent._packed(rows, [1, 2])
+    sizes = [len(r.at) // 4 for r in blocks.collect()]
+    assert sum(sizes) == 1200 and max(sizes) <= 30
+    assert len(blocks.inputFiles()) == len(sizes) and blocks.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    found = descent.train(rows, [1, 2], 60, 5, 0.0)
+    assert all(np.allclose(found[c].weights.toArray(), wanted[c].weights.toArray(), atol=1e-12) for c in (1, 2))
+
+
 def test_word_tables_meet_without_exchange(spark, rows_of):
     draw = random.Random(4)
     words = [f"w{int(draw.paretovariate(0.6))}" for _ in range(300)] + ["the"] * 200
